@@ -99,8 +99,8 @@ def parse_mixed_date(text) -> Column:
     """ISO ``yyyy-MM-dd`` and day-first ``dd/MM/yyyy``, each parsed with its
     own explicit format; anything else is null."""
     t = _c(text)
-    return (F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(t, F.lit("yyyy-MM-dd")))
-            .when(t.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.try_to_date(t, F.lit("dd/MM/yyyy"))))
+    return (F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(t, "yyyy-MM-dd"))
+            .when(t.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.try_to_date(t, "dd/MM/yyyy")))
 
 
 def month_start(date_key) -> Column:

@@ -123,6 +123,28 @@ PRELUDE_CTES = [
       cast(max(period_key) < (SELECT max(period_key) FROM master) as integer) AS is_churned
     FROM master GROUP BY customer_id"""),
     ("clean_lab", """SELECT c.*, l.is_churned FROM clean c JOIN cust_label l USING (customer_id)"""),
+    ("baseline_periods", "SELECT DISTINCT period_key FROM fact ORDER BY period_key LIMIT 2"),
+    ("cust_first", """SELECT * EXCLUDE (rn_) FROM (SELECT *, row_number() OVER (
+      PARTITION BY customer_id ORDER BY date_key, fact_id) AS rn_ FROM clean_lab) WHERE rn_ = 1"""),
+    ("model_frame", """SELECT b.*, coalesce(ir.industry_risk, 0.0) AS industry_risk,
+      cast(b.segment = 'BUILDING' as integer) AS is_smb
+    FROM (SELECT customer_id, avg(usage_per_seat) AS usage_per_seat,
+            avg(support_tickets) AS support_tickets, avg(discount_pct) AS discount_pct,
+            avg(seats) AS seats, avg(nps_score) AS nps_score, avg(mrr) AS mrr,
+            max(is_annual_contract) AS is_annual_contract, max(segment) AS segment,
+            max(industry) AS industry, max(company_name) AS company_name,
+            max(region_name) AS region_name, max(is_churned) AS is_churned
+          FROM clean_lab WHERE period_key IN (SELECT period_key FROM baseline_periods)
+          GROUP BY customer_id) b
+    LEFT JOIN industry_risk ir USING (industry)"""),
+    ("scored", f"""SELECT *, 1.0 / (1.0 + exp(-logit)) AS probability,
+      cast(row_number() OVER (ORDER BY logit DESC, customer_id)
+           <= round_even(count(*) OVER () * 0.2, 0) as integer) AS label
+    FROM (SELECT *, -1.15 + -0.85 * usage_per_seat + 0.28 * support_tickets
+                 + 2.1 * discount_pct + -0.045 * nps_score + 0.55 * is_smb
+                 + 0.85 * industry_risk + -0.7 * is_annual_contract
+                 + ({u_sql('c', 'customer_id')} - 0.5) * 1.9 AS logit
+          FROM model_frame)"""),
 ]
 
 
@@ -130,3 +152,15 @@ def with_prelude(final: str, ctes: list[tuple[str, str]] | None = None) -> str:
     parts = PRELUDE_CTES + list(ctes or [])
     body = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in parts)
     return f"WITH {body}\n{final}"
+
+
+def wilson_sql(k: str, n: str, z: float = 1.96) -> tuple[str, str]:
+    """Wilson interval bounds as DuckDB expressions (same arithmetic as Spark's)."""
+    z2 = repr(z * z)
+    p = f"(({k}) * 1.0 / ({n}))"
+    denom = f"(1.0 + {z2} / ({n}))"
+    centre = f"(({p} + {z2} / (2.0 * ({n}))) / {denom})"
+    spread = f"({z!r} * sqrt({p} * (1.0 - {p}) / ({n}) + {z2} / (4.0 * ({n}) * ({n}))) / {denom})"
+    low = f"(CASE WHEN ({n}) <= 0 THEN 0.0 ELSE greatest(0.0, {centre} - {spread}) END)"
+    high = f"(CASE WHEN ({n}) <= 0 THEN 0.0 ELSE least(1.0, {centre} + {spread}) END)"
+    return low, high

@@ -23,6 +23,6 @@ def register(name: str, sql: str | None = None):
 def load_all():
     """Import every plan module so its registrations run."""
     from . import (  # noqa: F401
-        q_sources, q_quality, q_revenue,
+        q_churn, q_quality, q_revenue,
     )
     return QUERIES, ORACLES
