@@ -145,6 +145,27 @@ PRELUDE_CTES = [
                  + 0.85 * industry_risk + -0.7 * is_annual_contract
                  + ({u_sql('c', 'customer_id')} - 0.5) * 1.9 AS logit
           FROM model_frame)"""),
+    ("cluster_base", """SELECT customer_id, avg(usage_per_seat) AS usage_per_seat, avg(support_tickets) AS support_tickets, avg(discount_pct) AS discount_pct, avg(seats) AS seats, avg(nps_score) AS nps_score, avg(mrr) AS mrr,
+      max(segment) AS segment, max(is_churned) AS is_churned, max(company_name) AS company_name
+    FROM clean_lab WHERE period_key IN (SELECT period_key FROM baseline_periods)
+    GROUP BY customer_id"""),
+    ("cluster_frame", """SELECT *,
+      (usage_per_seat - avg(usage_per_seat) OVER ()) / coalesce(nullif(stddev_pop(usage_per_seat) OVER (), 0), 1) AS z_usage_per_seat,
+      (support_tickets - avg(support_tickets) OVER ()) / coalesce(nullif(stddev_pop(support_tickets) OVER (), 0), 1) AS z_support_tickets,
+      (discount_pct - avg(discount_pct) OVER ()) / coalesce(nullif(stddev_pop(discount_pct) OVER (), 0), 1) AS z_discount_pct,
+      (seats - avg(seats) OVER ()) / coalesce(nullif(stddev_pop(seats) OVER (), 0), 1) AS z_seats,
+      (nps_score - avg(nps_score) OVER ()) / coalesce(nullif(stddev_pop(nps_score) OVER (), 0), 1) AS z_nps_score,
+      (mrr - avg(mrr) OVER ()) / coalesce(nullif(stddev_pop(mrr) OVER (), 0), 1) AS z_mrr
+    FROM cluster_base WHERE usage_per_seat IS NOT NULL AND support_tickets IS NOT NULL AND discount_pct IS NOT NULL AND seats IS NOT NULL AND nps_score IS NOT NULL AND mrr IS NOT NULL"""),
+    ("centres", f"""SELECT row_number() OVER (ORDER BY cu, customer_id) - 1 AS cid, z_usage_per_seat, z_support_tickets, z_discount_pct, z_seats, z_nps_score, z_mrr
+    FROM (SELECT *, {u_sql('centre', 'customer_id')} AS cu FROM cluster_frame)
+    ORDER BY cu, customer_id LIMIT 3"""),
+    ("cluster_dists", """SELECT f.customer_id, c.cid, (f.z_usage_per_seat - c.z_usage_per_seat) * (f.z_usage_per_seat - c.z_usage_per_seat) + (f.z_support_tickets - c.z_support_tickets) * (f.z_support_tickets - c.z_support_tickets) + (f.z_discount_pct - c.z_discount_pct) * (f.z_discount_pct - c.z_discount_pct) + (f.z_seats - c.z_seats) * (f.z_seats - c.z_seats) + (f.z_nps_score - c.z_nps_score) * (f.z_nps_score - c.z_nps_score) + (f.z_mrr - c.z_mrr) * (f.z_mrr - c.z_mrr) AS d
+    FROM cluster_frame f CROSS JOIN centres c"""),
+    ("cluster_labelled", """SELECT f.*, cast(l.cid as integer) AS cluster FROM cluster_frame f JOIN (
+      SELECT customer_id, cid FROM (SELECT *, row_number() OVER (
+        PARTITION BY customer_id ORDER BY d, cid) AS rn_ FROM cluster_dists) WHERE rn_ = 1) l
+      USING (customer_id)"""),
 ]
 
 
