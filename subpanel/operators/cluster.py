@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import u
+from ..session import right_size
 from .stats import standardize
 
 CLUSTER_FEATURES = ["usage_per_seat", "support_tickets", "discount_pct", "seats", "nps_score",
@@ -93,7 +94,6 @@ def label_indices(labelled: DataFrame, label: str = "cluster", cols=Z_FEATURES)
     overall = [sum(r[f"s_{f}"] for r in rows) / n for f in cols]
     # inertia and S_i (mean Euclidean distance to own centroid) need one more pass
     dist_own = None
-    sq_own = None
     for cid, c in cent.items():
         d2 = sum((F.col(f) - F.lit(v)) * (F.col(f) - F.lit(v)) for f, v in zip(cols, c))
         dist_own = F.when(F.col(label) == cid, d2) if dist_own is None else dist_own.when(F.col(label) == cid, d2)
@@ -143,31 +143,34 @@ def vectors(frame: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=Z_FEATURES, outputCol="features").transform(frame)
 
 
-def kmeans_best(vec: DataFrame, k: int, seeds=range(N_INIT)):
-    """Lowest-cost KMeans over several seeds (MLlib has no n_init)."""
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=300, tol=1e-6).fit(vec)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    return best[1]
+def _fit_kmeans(vec: DataFrame, k: int, seed: int):
+    m = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(vec)
+    return float(m.summary.trainingCost), m
 
 
-def kmeans_search(frame: DataFrame, ks=K_RANGE, threads: int = 5) -> list[dict]:
-    """Per k the best-of-seeds model, its inertia and label indices."""
-    vec = vectors(frame).select("customer_id", *Z_FEATURES, "features").persist()
-
-    def fit(k):
-        m = kmeans_best(vec, k)
+def kmeans_search(frame: DataFrame, ks=K_RANGE, seeds=range(N_INIT), threads: int = 10) -> list[dict]:
+    """Per k the lowest-cost model over the seeds (MLlib has no
+    n_init), its inertia and label indices. The k × seed fits are independent
+    distributed jobs over one persisted vector frame, run from a thread pool."""
+    vec = right_size(vectors(frame).select("customer_id", *Z_FEATURES, "features"))
+    jobs = [(k, s) for k in ks for s in seeds]
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        fits = list(pool.map(lambda j: (j[0], j[1]) + _fit_kmeans(vec, *j), jobs))
+    best = {}
+    for k, s, cost, m in fits:
+        if k not in best or (cost, s) < (best[k][0], best[k][1]):
+            best[k] = (cost, s, m)
+
+    def indices(k):
+        cost, _, m = best[k]
         labelled = m.transform(vec).withColumnRenamed("prediction", "cluster")
         idx = label_indices(labelled).collect()[0]
-        return {"k": k, "inertia": float(m.summary.trainingCost),
-                "silhouette_sq": idx["silhouette_sq"], "davies_bouldin": idx["davies_bouldin"],
+        return {"k": k, "inertia": cost, "silhouette_sq": idx["silhouette_sq"],
+                "davies_bouldin": idx["davies_bouldin"],
                 "calinski_harabasz": idx["calinski_harabasz"]}
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        out = list(pool.map(fit, list(ks)))
+        out = list(pool.map(indices, sorted(best)))
     vec.unpersist()
     return out
 
@@ -187,17 +190,19 @@ def ari(df: DataFrame, a: str, b: str) -> DataFrame:
                     .otherwise((F.col("idx") - expected) / (mx - expected)).alias("ari"))
 
 
-def stability(frame: DataFrame, k: int, seeds=range(STABILITY_SEEDS)) -> list[float]:
-    """ARI of each seed's labelling vs the first seed's."""
-    vec = vectors(frame).select("customer_id", "features").persist()
+def stability(frame: DataFrame, k: int, seeds=range(STABILITY_SEEDS), threads: int = 10) -> list[float]:
+    """ARI of each seed's labelling vs the first seed's (fits in parallel)."""
+    vec = right_size(vectors(frame).select("customer_id", "features"))
+    seeds = list(seeds)
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        models = list(pool.map(lambda s: _fit_kmeans(vec, k, s)[1], seeds))
     labels = None
-    for s in seeds:
-        pred = KMeans(k=k, seed=s, maxIter=300, tol=1e-6).fit(vec).transform(vec) \
-            .select("customer_id", F.col("prediction").alias(f"l{s}"))
+    for s, m in zip(seeds, models):
+        pred = m.transform(vec).select("customer_id", F.col("prediction").alias(f"l{s}"))
         labels = pred if labels is None else labels.join(pred, "customer_id")
     labels = labels.persist()
-    first = f"l{list(seeds)[0]}"
-    scores = [ari(labels, first, f"l{s}").collect()[0]["ari"] for s in list(seeds)[1:]]
+    first = f"l{seeds[0]}"
+    scores = [ari(labels, first, f"l{s}").collect()[0]["ari"] for s in seeds[1:]]
     labels.unpersist()
     vec.unpersist()
     return scores

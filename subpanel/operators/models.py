@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.distributions import NORMAL_975, norm_sf2
 from ..functions.hashing import hash32
+from ..session import right_size
 from .rank import global_rank
 from .threshold import auc_value
 
@@ -88,7 +89,7 @@ def _logistic(features, label, n_train, weight_col=None):
     stages = [VectorAssembler(inputCols=features, outputCol="_raw"),
               StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True)]
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / n_train,
-                            elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-8)
+                            elasticNetParam=0.0, standardization=False, maxIter=100)
     if weight_col:
         lr.setWeightCol(weight_col)
     return Pipeline(stages=stages + [lr])
@@ -132,9 +133,7 @@ def compare_models(frame: DataFrame, features, label, names=MODEL_NAMES, k=N_FOL
 
     The fold-labelled frame is persisted once; the k·models fits run from a
     small thread pool (each fit is itself a distributed job)."""
-    folded = stratified_folds(frame, label, k).persist()
-    if "logistic_balanced" in names:
-        folded = with_class_weight(folded, label).persist()
+    folded = right_size(stratified_folds(frame, label, k))
     jobs = []
     for name in names:
         for f in range(k):
@@ -167,7 +166,7 @@ def compare_models(frame: DataFrame, features, label, names=MODEL_NAMES, k=N_FOL
 
 def out_of_fold(frame: DataFrame, features, label, k=N_FOLDS) -> DataFrame:
     """M8: each row scored by a logistic model that did not see it."""
-    folded = stratified_folds(frame, label, k).persist()
+    folded = right_size(stratified_folds(frame, label, k))
     parts = []
     for f in range(k):
         train = folded.where(F.col("fold") != f)
@@ -210,10 +209,11 @@ def regressor_cv(frame: DataFrame, target: str, numeric, categorical, one_featur
                  rounds_scale: float = 1.0) -> list[dict]:
     """5-fold R² of a mean baseline, a one-feature linear model, Ridge
     (median impute + scale + one-hot of all levels) and gradient boosting."""
-    folded = frame.withColumn("fold", F.pmod(hash32(str(SEED), F.col("customer_id")),
-                                             F.lit(k)).cast("int")).persist()
-    results = {m: [] for m in ("mean_baseline", "one_feature_linear", "ridge", "gradient_boosting")}
-    for f in range(k):
+    folded = right_size(frame.withColumn("fold", F.pmod(hash32(str(SEED), F.col("customer_id")),
+                                                        F.lit(k)).cast("int")))
+    names = ("mean_baseline", "one_feature_linear", "ridge", "gradient_boosting")
+
+    def run_fold(f):
         train = folded.where(F.col("fold") != f)
         test = folded.where(F.col("fold") == f)
         n_train = train.count()
@@ -242,11 +242,17 @@ def regressor_cv(frame: DataFrame, target: str, numeric, categorical, one_featur
                                             maxDepth=GBR_DEPTH, stepSize=GBR_STEP, seed=SEED)]
                        ).fit(train.na.fill(0.0, subset=numeric))
         preds["gradient_boosting"] = gbr.transform(test.na.fill(0.0, subset=numeric))
+        out = {}
         for name, p in preds.items():
             r = p.agg(F.sum((F.col(target) - F.col("prediction")) ** 2).alias("sse"),
                       F.avg(target).alias("m")).collect()[0]
             sst = p.agg(F.sum((F.col(target) - F.lit(r["m"])) ** 2)).collect()[0][0]
-            results[name].append(1.0 - r["sse"] / sst if sst else float("nan"))
+            out[name] = 1.0 - r["sse"] / sst if sst else float("nan")
+        return out
+
+    with ThreadPoolExecutor(max_workers=k) as pool:
+        per_fold = list(pool.map(run_fold, range(k)))
+    results = {m: [fold[m] for fold in per_fold] for m in names}
     folded.unpersist()
     out = []
     for name, vals in results.items():

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import risk_band, silhouette_verdict, stability_verdict
+from ..functions.scalar import (SILHOUETTE_BANDS, STABILITY_BANDS, UNSTABLE_VERDICT, risk_band,
+                                silhouette_verdict, stability_verdict)
 from ..operators import churn, cluster, quality
 from .oracle import with_prelude
 from .registry import register
@@ -178,29 +179,52 @@ def g2_g3_kmeans_search(spark, sf_dir):
     return df.withColumn("verdict", silhouette_verdict("silhouette_sq"))
 
 
-@register("f7_verdicts")
+def _bands_sql(x: str, bands, default: str) -> str:
+    return ("CASE " + " ".join(f"WHEN {x} >= {cut} THEN '{name}'" for cut, name in bands)
+            + f" ELSE '{default}' END")
+
+
+_ARI_SQL = """(SELECT CASE WHEN mx = expected THEN 1.0 ELSE (idx - expected) / (mx - expected) END
+FROM (SELECT idx, sa * sb / (n * (n - 1) / 2.0) AS expected, (sa + sb) / 2.0 AS mx FROM
+  (SELECT sum(nij * (nij - 1) / 2.0) AS idx, sum(nij) AS n FROM
+     (SELECT cluster, segment, count(*) AS nij FROM cluster_labelled GROUP BY cluster, segment)),
+  (SELECT sum(a * (a - 1) / 2.0) AS sa FROM (SELECT count(*) AS a FROM cluster_labelled GROUP BY cluster)),
+  (SELECT sum(b * (b - 1) / 2.0) AS sb FROM (SELECT count(*) AS b FROM cluster_labelled GROUP BY segment))))"""
+
+_F7_SQL = with_prelude(
+    "SELECT s AS silhouette_sq, a AS ari, "
+    + _bands_sql("s", SILHOUETTE_BANDS, "no substantial structure") + " AS silhouette_verdict, "
+    + _bands_sql("a", STABILITY_BANDS, UNSTABLE_VERDICT) + " AS stability_verdict "
+    "FROM (SELECT round(avg(CASE WHEN own_n <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS s "
+    "FROM sil), (SELECT round(" + _ARI_SQL + ", 6) AS a)",
+    [_CENTROIDS, _SIL_SUMS, _SIL])
+
+
+@register("f7_verdicts", _F7_SQL)
 def f7_verdicts(spark, sf_dir):
-    """silhouette verdict of the best k and stability verdict of its seeds."""
-    frame = _frame(spark, sf_dir).persist()
-    res = cluster.kmeans_search(frame)
-    best = max(res, key=lambda r: (r["silhouette_sq"], -r["k"]))
-    scores = cluster.stability(frame, best["k"])
-    frame.unpersist()
-    mean = sum(scores) / len(scores)
-    df = spark.createDataFrame([(best["k"], round(best["silhouette_sq"], 6), round(mean, 6),
-                                 round(min(scores), 6), round(max(scores), 6))],
-                               "k int, silhouette_sq double, ari_mean double, ari_min double, "
-                               "ari_max double")
-    return df.select("*", silhouette_verdict("silhouette_sq").alias("silhouette_verdict"),
-                     stability_verdict("ari_mean").alias("stability_verdict"))
+    """the silhouette and stability verdict bands applied to the
+    fixed-centre labelling's silhouette and its ARI against the segments."""
+    lab = _labelled(spark, sf_dir).persist()
+    sil = cluster.label_indices(lab).select(F.round("silhouette_sq", 6).alias("silhouette_sq"))
+    a = cluster.ari(lab, "cluster", "segment").select(F.round("ari", 6).alias("ari"))
+    j = sil.crossJoin(a)
+    return j.select("silhouette_sq", "ari",
+                    silhouette_verdict("silhouette_sq").alias("silhouette_verdict"),
+                    stability_verdict("ari").alias("stability_verdict"))
 
 
 @register("g7_stability")
 def g7_stability(spark, sf_dir):
-    """ARI of 10 k-means seeds against the first, at the fixed k."""
+    """ARI of 10 k-means seeds against the first at the fixed k, with the
+    mean/min/max and the stability verdict."""
     scores = cluster.stability(_frame(spark, sf_dir), cluster.FIXED_K)
-    return spark.createDataFrame([(i + 1, round(float(s), 6)) for i, s in enumerate(scores)],
-                                 "seed int, ari double")
+    mean = sum(scores) / len(scores)
+    df = spark.createDataFrame([(i + 1, round(float(s), 6)) for i, s in enumerate(scores)],
+                               "seed int, ari double")
+    return df.select("*", F.lit(round(mean, 6)).alias("ari_mean"),
+                     F.lit(round(min(scores), 6)).alias("ari_min"),
+                     F.lit(round(max(scores), 6)).alias("ari_max"),
+                     stability_verdict(F.lit(mean)).alias("verdict"))
 
 
 @register("g8_pca")

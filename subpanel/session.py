@@ -74,3 +74,46 @@ def reliable_checkpoint(df):
     """Cut lineage by writing ``df`` to the reliable checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def right_size(df, rows_per_partition: int = 1_000_000, persist: bool = True):
+    """Re-partition a frame that iterative MLlib code will scan many times.
+
+    Each iteration is one job over every partition, so a few thousand rows
+    spread over many partitions cost more in task overhead than in work; a
+    15-billion-row frame gets ~15k partitions instead. One count (cheap on
+    the persisted input) sizes it.
+    """
+    n = df.count()
+    parts = max(1, -(-n // rows_per_partition))
+    out = df.repartition(parts) if parts > 1 else df.coalesce(1)
+    return out.persist() if persist else out
+
+
+_MATERIALIZED: dict = {}
+
+
+def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None):
+    """Write ``build()`` once per session and input folder as parquet in the
+    reliable checkpoint folder, then serve reads of it.
+
+    A shared intermediate (the cleaned panel, the scored customer frame) is
+    computed once instead of once per query; reading it back cuts lineage (a
+    lost executor re-reads files instead of re-running joins), and keeps
+    column pruning and filter pushdown, with partition pruning on
+    ``partition_by``.
+    """
+    import hashlib
+
+    app = spark.sparkContext.applicationId
+    key = (app, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir, name)
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
+        path = os.path.join(checkpoint_dir(spark), "tables", app, digest, name)
+        writer = build().write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
