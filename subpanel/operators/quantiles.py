@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,8 +48,10 @@ def exact_quantile(df: DataFrame, value_col: str, group_cols=(), q: float = 0.5,
         key = F.to_json(F.struct(*[F.col(c) for c in group_cols]))
     else:
         key = F.lit("")
+    # the narrow (group, value) column is scanned once per narrowing pass:
+    # keep it on the executors (memory, spilling to disk) for the passes
     base = df.select(key.alias(_GKEY), v.alias("_v"), *[F.col(c) for c in group_cols]) \
-             .where(F.col("_v").isNotNull())
+             .where(F.col("_v").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
     stats = base.groupBy(_GKEY).agg(F.count("_v").alias("n"), F.min("_v").alias("lo"),
                                     F.max("_v").alias("hi"),
                                     *[F.first(c).alias(c) for c in group_cols]).collect()
@@ -117,7 +120,9 @@ def exact_quantile(df: DataFrame, value_col: str, group_cols=(), q: float = 0.5,
                 s["value"] = row["vals"][s["rank"]]
                 values_cache[k] = s["value"]
     else:
+        base.unpersist()
         raise RuntimeError("exact_quantile did not converge")
+    base.unpersist()
     out = []
     for g, row in groups.items():
         r_lo, r_hi, frac = _targets(row["n"], q)

@@ -194,7 +194,7 @@ def c2_c3_usage_impute(spark, sf_dir):
     """C2 + C3: blanks and negatives counted before repair, both filled with the
     median taken after negatives are nulled."""
     m = star.master(spark, sf_dir, dedupe=True)
-    params = quality.clean_params(m)
+    params = quality.session_clean_params(spark, sf_dir)
     filled = F.coalesce(quality.usage_nonneg(), F.lit(params.median_usage))
     return m.agg(
         F.count_if(F.col("usage_events").isNull()).alias("blank_usage"),
@@ -233,7 +233,7 @@ SELECT region_name, count(DISTINCT customer_id) AS customers,
 FROM clean GROUP BY region_name"""))
 def c6_region_mode(spark, sf_dir):
     m = quality.dedup_master_with_hire(spark, sf_dir)
-    params = quality.clean_params(m)
+    params = quality.session_clean_params(spark, sf_dir)
     c = quality.apply_repairs(m, params)
     return c.groupBy("region_name").agg(
         F.countDistinct("customer_id").alias("customers"),
