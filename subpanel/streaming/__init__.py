@@ -1 +1,9 @@
+"""Streaming: intentionally empty.
 
+The workload this package rebuilds is batch only — one read of the star
+schema, one write of the results; there is no watermark, window, state or
+late-data handling to reproduce, so no Structured Streaming job is defined.
+Every operator here takes and returns DataFrames, so a caller can apply the
+stateless ones (cleaning projections, scoring, banding) to a ``readStream``
+source unchanged.
+"""
