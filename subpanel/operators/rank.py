@@ -24,19 +24,19 @@ _POS_BITS = 33
 
 def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank") -> DataFrame:
     """Append a 1-based dense row number in the total order ``order``."""
-    tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    tagged = df.orderBy(*order).withColumn("__x1_mid", F.monotonically_increasing_id())
     tagged = reliable_checkpoint(tagged)
-    with_pid = tagged.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS)) \
-                     .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
-    counts = with_pid.groupBy("_pid").agg(F.count("*").alias("_cnt"))
+    with_pid = tagged.withColumn("__x1_pid", F.shiftright(F.col("__x1_mid"), _POS_BITS)) \
+                     .withColumn("__x1_pos", F.col("__x1_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
+    counts = with_pid.groupBy("__x1_pid").agg(F.count("*").alias("__x1_cnt"))
     # one row per partition: a bounded frame, so a window without partitionBy is fine
     offsets = counts.select(
-        "_pid",
-        (F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    ranked = with_pid.join(F.broadcast(offsets), "_pid")
-    return ranked.withColumn(rank_col, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_pos") + 1) \
-                 .drop("_mid", "_pid", "_pos", "_off")
+        "__x1_pid",
+        (F.sum("__x1_cnt").over(Window.orderBy("__x1_pid").rowsBetween(Window.unboundedPreceding, -1)))
+        .alias("__x1_off"))
+    ranked = with_pid.join(F.broadcast(offsets), "__x1_pid")
+    return ranked.withColumn(rank_col, F.coalesce(F.col("__x1_off"), F.lit(0)) + F.col("__x1_pos") + 1) \
+                 .drop("__x1_mid", "__x1_pid", "__x1_pos", "__x1_off")
 
 
 def average_rank(df: DataFrame, value_col: str, group_cols=(), out_col: str | None = None) -> DataFrame:
@@ -51,18 +51,18 @@ def average_rank(df: DataFrame, value_col: str, group_cols=(), out_col: str | No
     out_col = out_col or f"{value_col}_rank"
     group_cols = list(group_cols)
     counts = df.where(F.col(value_col).isNotNull()) \
-               .groupBy(*group_cols, value_col).agg(F.count("*").alias("_cnt"))
+               .groupBy(*group_cols, value_col).agg(F.count("*").alias("__x1_cnt"))
     if group_cols:
         w = Window.partitionBy(*group_cols).orderBy(value_col) \
                   .rowsBetween(Window.unboundedPreceding, -1)
-        ranks = counts.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+        ranks = counts.withColumn("__x1_before", F.coalesce(F.sum("__x1_cnt").over(w), F.lit(0)))
     else:
-        ranked = global_rank(counts, [F.col(value_col).asc()], "_r")
+        ranked = global_rank(counts, [F.col(value_col).asc()], "__x1_r")
         w = None
         # cumulative count before each distinct value = running sum by rank
-        ranks = cumulative_before(ranked, "_r", "_cnt", "_before")
+        ranks = cumulative_before(ranked, "__x1_r", "__x1_cnt", "__x1_before")
     ranks = ranks.select(*group_cols, value_col,
-                         (F.col("_before") + (F.col("_cnt") + 1) / 2.0).alias(out_col))
+                         (F.col("__x1_before") + (F.col("__x1_cnt") + 1) / 2.0).alias(out_col))
     return df.join(ranks, [*group_cols, value_col], "left")
 
 
@@ -73,14 +73,14 @@ def cumulative_before(df: DataFrame, rank_col: str, weight_col: str, out_col: st
     (partitioned window on the partition id), and adds the broadcast totals
     of the earlier partitions.
     """
-    parted = df.repartitionByRange(F.col(rank_col)).withColumn("_pid", F.spark_partition_id())
+    parted = df.repartitionByRange(F.col(rank_col)).withColumn("__x1_pid", F.spark_partition_id())
     parted = reliable_checkpoint(parted)
-    w = Window.partitionBy("_pid").orderBy(rank_col).rowsBetween(Window.unboundedPreceding, -1)
-    local = parted.withColumn("_local", F.coalesce(F.sum(weight_col).over(w), F.lit(0)))
-    totals = parted.groupBy("_pid").agg(F.sum(weight_col).alias("_tot"))
-    offsets = totals.select("_pid", F.coalesce(F.sum("_tot").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_off"))
-    return local.join(F.broadcast(offsets), "_pid") \
-                .withColumn(out_col, F.col("_off") + F.col("_local")) \
-                .drop("_pid", "_local", "_off")
+    w = Window.partitionBy("__x1_pid").orderBy(rank_col).rowsBetween(Window.unboundedPreceding, -1)
+    local = parted.withColumn("__x1_local", F.coalesce(F.sum(weight_col).over(w), F.lit(0)))
+    totals = parted.groupBy("__x1_pid").agg(F.sum(weight_col).alias("__x1_tot"))
+    offsets = totals.select("__x1_pid", F.coalesce(F.sum("__x1_tot").over(
+        Window.orderBy("__x1_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("__x1_off"))
+    return local.join(F.broadcast(offsets), "__x1_pid") \
+                .withColumn(out_col, F.col("__x1_off") + F.col("__x1_local")) \
+                .drop("__x1_pid", "__x1_local", "__x1_off")
