@@ -29,10 +29,14 @@ def rows_per_table(named: dict) -> DataFrame:
 
 
 def revenue_by_region_raw(raw_master: DataFrame) -> DataFrame:
-    """A2: revenue by region on raw (un-deduplicated) rows, ``(no region)`` kept."""
-    return raw_master.groupBy("region_name").agg(
-        F.countDistinct("customer_id").alias("customers"),
-        F.round(F.sum("mrr"), 2).alias("total_mrr"),
+    """A2: revenue by region on raw (un-deduplicated) rows, ``(no region)`` kept.
+
+    Region is a customer attribute, so rows are first reduced to one per
+    customer (partial aggregate) and customers are then counted per region —
+    no distinct aggregation over fact rows."""
+    per = raw_master.groupBy("customer_id", "region_name").agg(F.sum("mrr").alias("m"))
+    return per.groupBy("region_name").agg(
+        F.count("*").alias("customers"), F.round(F.sum("m"), 2).alias("total_mrr"),
     ).select(F.coalesce("region_name", F.lit("(no region)")).alias("region"),
              "customers", "total_mrr")
 
@@ -124,8 +128,14 @@ def concentration(panel: DataFrame) -> DataFrame:
 
 
 def revenue_by_dimensions(panel: DataFrame, dims=("segment", "region_name", "industry")) -> DataFrame:
-    """Revenue by each dimension in one scan (grouping sets)."""
+    """Revenue by each dimension in one grouping-sets scan.
+
+    The dimensions are customer attributes: rows are reduced to one per
+    customer (sum, row count) first, so the grouping-sets Expand and the
+    distinct-customer count run on the customer grain, not on fact rows."""
     spark = panel.sparkSession
+    per = panel.groupBy("customer_id", *dims).agg(F.sum("mrr").alias("m"),
+                                                  F.count("*").alias("n"))
     sets = ", ".join(f"({d})" for d in dims)
     label = "CASE " + " ".join(
         f"WHEN grouping({d}) = 0 THEN '{d}'" for d in dims) + " END"
@@ -133,10 +143,10 @@ def revenue_by_dimensions(panel: DataFrame, dims=("segment", "region_name", "ind
                                     for d in dims) + ")"
     return spark.sql(f"""
         SELECT {label} AS dimension, {value} AS value,
-               round(sum(mrr), 2) AS total_mrr,
-               count(DISTINCT customer_id) AS customers,
-               round(avg(mrr), 2) AS mean_mrr
-        FROM {{panel}} GROUP BY GROUPING SETS ({sets})""", panel=panel)
+               round(sum(m), 2) AS total_mrr,
+               count(*) AS customers,
+               round(sum(m) / sum(n), 2) AS mean_mrr
+        FROM {{per}} GROUP BY GROUPING SETS ({sets})""", per=per)
 
 
 def month_by_segment(panel: DataFrame) -> DataFrame:
