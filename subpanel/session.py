@@ -93,7 +93,8 @@ def right_size(df, rows_per_partition: int = 1_000_000, persist: bool = True):
 _MATERIALIZED: dict = {}
 
 
-def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None):
+def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None,
+                 bucket_by: str | None = None):
     """Write ``build()`` once per session and input folder as parquet in the
     reliable checkpoint folder, then serve reads of it.
 
@@ -101,19 +102,34 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
     computed once instead of once per query; reading it back cuts lineage (a
     lost executor re-reads files instead of re-running joins), and keeps
     column pruning and filter pushdown, with partition pruning on
-    ``partition_by``.
+    ``partition_by``. With ``bucket_by`` the files are bucketed (and sorted)
+    on that key into ``spark.sql.shuffle.partitions`` buckets and registered
+    as a session table, so later aggregates and joins on the key read
+    co-located buckets instead of shuffling.
     """
     import hashlib
 
     app = spark.sparkContext.applicationId
     key = (app, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir, name)
-    path = _MATERIALIZED.get(key)
-    if path is None:
+    entry = _MATERIALIZED.get(key)
+    if entry is None:
         digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
         path = os.path.join(checkpoint_dir(spark), "tables", app, digest, name)
-        writer = build().write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+        df = build()
+        table = None
+        if bucket_by:
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            table = f"subpanel_{name}_{digest}"
+            writer = df.repartition(n, bucket_by).write.mode("overwrite").option("path", path)
+            if partition_by:
+                writer = writer.partitionBy(partition_by)
+            writer.bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table)
+        else:
+            writer = df.write.mode("overwrite")
+            if partition_by:
+                writer = writer.partitionBy(partition_by)
+            writer.parquet(path)
+        entry = (path, table)
+        _MATERIALIZED[key] = entry
+    path, table = entry
+    return spark.table(table) if table else spark.read.parquet(path)
