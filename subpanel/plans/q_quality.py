@@ -191,16 +191,15 @@ SELECT count(*) FILTER (WHERE usage_events IS NULL) AS blank_usage,
                           (SELECT med FROM clean_params))), 2) AS filled_usage_total
 FROM master"""))
 def c2_c3_usage_impute(spark, sf_dir):
-    """C2 + C3: blanks and negatives counted before repair, both filled with the
-    median taken after negatives are nulled."""
-    m = star.master(spark, sf_dir, dedupe=True)
+    """C2 + C3: blanks and negatives counted before repair (audit columns),
+    both filled with the median taken after negatives are nulled."""
+    c = quality.clean(spark, sf_dir, label=False)
     params = quality.session_clean_params(spark, sf_dir)
-    filled = F.coalesce(quality.usage_nonneg(), F.lit(params.median_usage))
-    return m.agg(
-        F.count_if(F.col("usage_events").isNull()).alias("blank_usage"),
-        F.count_if(F.col("usage_events") < 0).alias("negative_usage"),
+    return c.agg(
+        F.count_if(F.col("usage_events_raw").isNull()).alias("blank_usage"),
+        F.count_if(F.col("usage_events_raw") < 0).alias("negative_usage"),
         F.round(F.lit(params.median_usage), 6).alias("median_usage"),
-        F.round(F.sum(filled), 2).alias("filled_usage_total"))
+        F.round(F.sum("usage_events_filled"), 2).alias("filled_usage_total"))
 
 
 @register("c4_discount_repair", with_prelude("""
@@ -211,12 +210,10 @@ SELECT count(*) FILTER (WHERE discount_pct > 1.0) AS rows_over,
          AS sum_after
 FROM master"""))
 def c4_discount_repair(spark, sf_dir):
-    m = star.master(spark, sf_dir, dedupe=True)
-    fixed = F.when(F.col("discount_pct") > 1.0, F.col("discount_pct") - 1.0) \
-             .otherwise(F.col("discount_pct"))
-    return m.agg(F.count_if(F.col("discount_pct") > 1.0).alias("rows_over"),
-                 F.round(F.max(fixed), 6).alias("max_after"),
-                 F.round(F.sum(fixed), 6).alias("sum_after"))
+    c = quality.clean(spark, sf_dir, label=False)
+    return c.agg(F.count_if(F.col("discount_pct_raw") > 1.0).alias("rows_over"),
+                 F.round(F.max("discount_pct"), 6).alias("max_after"),
+                 F.round(F.sum("discount_pct"), 6).alias("sum_after"))
 
 
 @register("c5_industry_unknown", with_prelude("""
@@ -232,12 +229,12 @@ SELECT region_name, count(DISTINCT customer_id) AS customers,
        (SELECT modal FROM clean_params) AS modal_region
 FROM clean GROUP BY region_name"""))
 def c6_region_mode(spark, sf_dir):
-    m = quality.dedup_master_with_hire(spark, sf_dir)
+    c = quality.clean(spark, sf_dir, label=False)
     params = quality.session_clean_params(spark, sf_dir)
-    c = quality.apply_repairs(m, params)
-    return c.groupBy("region_name").agg(
-        F.countDistinct("customer_id").alias("customers"),
-        F.count_if(F.col("country") == "Unknown").alias("rows_country_unknown"),
+    per = c.groupBy("customer_id", "region_name").agg(
+        F.count_if(F.col("country") == "Unknown").alias("u"))
+    return per.groupBy("region_name").agg(
+        F.count("*").alias("customers"), F.sum("u").alias("rows_country_unknown"),
     ).withColumn("modal_region", F.lit(params.modal_region))
 
 
