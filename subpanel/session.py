@@ -105,7 +105,9 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
     ``partition_by``. With ``bucket_by`` the files are bucketed (and sorted)
     on that key into ``spark.sql.shuffle.partitions`` buckets and registered
     as a session table, so later aggregates and joins on the key read
-    co-located buckets instead of shuffling.
+    co-located buckets instead of shuffling. ``build`` may return
+    ``(df, cleanup)``; ``cleanup`` runs after the write (e.g. to unpersist
+    an input that several bounded actions shared).
     """
     import hashlib
 
@@ -115,7 +117,8 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
     if entry is None:
         digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
         path = os.path.join(checkpoint_dir(spark), "tables", app, digest, name)
-        df = build()
+        built = build()
+        df, cleanup = built if isinstance(built, tuple) else (built, None)
         table = None
         if bucket_by:
             n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -129,6 +132,8 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
             if partition_by:
                 writer = writer.partitionBy(partition_by)
             writer.parquet(path)
+        if cleanup:
+            cleanup()
         entry = (path, table)
         _MATERIALIZED[key] = entry
     path, table = entry
