@@ -146,3 +146,26 @@ def a15_churn_by_dimension(spark, sf_dir):
     b = churn.churn_breakdowns(churn.customer_grain(quality.clean(spark, sf_dir)))
     return b.select("dimension", "category", "churn_rate", "customers") \
             .orderBy("dimension", "churn_rate", "category")
+
+
+# Fixed value: the reference's per-table row cap.
+ROW_CAP = 800
+
+
+@register("p5_row_cap", with_prelude(f"""
+SELECT table_name, rows, {ROW_CAP} AS cap, rows <= {ROW_CAP} AS within_cap FROM (
+  SELECT 'dim_region' AS table_name, count(*) AS rows FROM dim_region
+  UNION ALL SELECT 'dim_rep', count(*) FROM dim_rep
+  UNION ALL SELECT 'dim_plan', count(*) FROM dim_plan
+  UNION ALL SELECT 'dim_customer', count(*) FROM dim_customer
+  UNION ALL SELECT 'fact_subscription_monthly', count(*) FROM fact_raw)"""))
+def p5_row_cap(spark, sf_dir, cap: int = ROW_CAP):
+    """P5: row count per table against the cap (the driver's tables exceed it:
+    reported, not asserted)."""
+    parts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("table_name"), "rows")
+             for n, df in _star_tables(spark, sf_dir).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("table_name", "rows", F.lit(cap).alias("cap"),
+                      (F.col("rows") <= cap).alias("within_cap"))
