@@ -128,7 +128,7 @@ def _fold_metrics(name, model, test, label):
 
 
 def compare_models(frame: DataFrame, features, label, names=MODEL_NAMES, k=N_FOLDS,
-                   rounds_scale: float = 1.0, threads: int = 4) -> list[dict]:
+                   rounds_scale: float = 1.0, threads: int = 8) -> list[dict]:
     """M6: stratified k-fold AUC mean/std (population) and accuracy per model.
 
     The fold-labelled frame is persisted once; the k·models fits run from a
