@@ -58,7 +58,6 @@ def average_rank(df: DataFrame, value_col: str, group_cols=(), out_col: str | No
         ranks = counts.withColumn("__x1_before", F.coalesce(F.sum("__x1_cnt").over(w), F.lit(0)))
     else:
         ranked = global_rank(counts, [F.col(value_col).asc()], "__x1_r")
-        w = None
         # cumulative count before each distinct value = running sum by rank
         ranks = cumulative_before(ranked, "__x1_r", "__x1_cnt", "__x1_before")
     ranks = ranks.select(*group_cols, value_col,

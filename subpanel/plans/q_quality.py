@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import month_start, parse_mixed_date
 from ..operators import quality
-from ..operators.quantiles import exact_quantile
 from ..sources import star
 from .oracle import with_prelude
 from .registry import register
