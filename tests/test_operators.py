@@ -164,3 +164,28 @@ def test_leakage_guard():
     with pytest.raises(ValueError):
         check_leakage(["usage_per_seat", "months_active"])
     check_leakage(["usage_per_seat"])
+
+
+def test_apply_repairs_micro(spark):
+    rows = [
+        # usage, discount, industry, region, country, signup, hire, seats
+        (1, 10.0, 1.2, "  ", None, None, "2024-04-03", "2024-05-01", 0),
+        (2, -4.0, 0.1, None, "EUROPE", "FR", "03/04/2024", "2024-03-01", 2),
+        (3, None, 0.5, "RETAIL", "EUROPE", "DE", "junk", "2024-03-01", 5),
+    ]
+    df = spark.createDataFrame(rows, "customer_id int, usage_events double, discount_pct double, "
+                                     "industry string, region_name string, country string, "
+                                     "signup_date string, hire_date string, seats int")
+    out = {r["customer_id"]: r for r in
+           quality.apply_repairs(df, quality.CleanParams(7.0, "EUROPE")).collect()}
+    assert out[1]["discount_pct"] == pytest.approx(0.2) and out[2]["discount_pct"] == 0.1
+    assert out[1]["industry"] == "Unknown" and out[2]["industry"] == "Unknown"
+    assert out[3]["industry"] == "RETAIL"
+    assert (out[1]["region_name"], out[1]["country"]) == ("EUROPE", "Unknown")
+    assert out[2]["usage_events"] is None and out[2]["usage_events_filled"] == 7.0
+    assert out[3]["usage_events_filled"] == 7.0
+    assert out[1]["usage_per_seat"] == 10.0  # seats 0 → divided by 1
+    assert out[1]["rep_assignment_valid"] is False  # signed before the rep was hired
+    assert out[2]["rep_assignment_valid"] is True
+    assert out[3]["rep_assignment_valid"] is True  # unparseable date → valid
+    assert out[2]["usage_events_raw"] == -4.0 and out[1]["region_missing"] is True
