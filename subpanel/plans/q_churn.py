@@ -24,8 +24,10 @@ def _breakdown_sql(dim: str) -> str:
 FROM cust_first GROUP BY {dim}"""
 
 
-@register("a7_a8_churn_wilson", with_prelude("\nUNION ALL\n".join(
-    _breakdown_sql(d) for d in churn.BREAKDOWN_DIMS)))
+@register("a7_a8_churn_wilson", with_prelude(
+    "SELECT *, count(*) OVER () AS categories_examined, "
+    "cast(sum(cast(differs_from_overall as integer)) OVER () as bigint) AS categories_differing "
+    "FROM (" + "\nUNION ALL\n".join(_breakdown_sql(d) for d in churn.BREAKDOWN_DIMS) + ")"))
 def a7_a8_churn_wilson(spark, sf_dir):
     customers = churn.customer_grain(quality.clean(spark, sf_dir))
     return churn.churn_breakdowns(customers)
