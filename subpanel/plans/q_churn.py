@@ -117,8 +117,8 @@ def f3_logistic_score(spark, sf_dir):
 
 
 @register("w3_exact_n_label", with_prelude("""
-SELECT count(*) AS customers, sum(label) AS positives,
-       sum(CASE WHEN label = 1 THEN customer_id ELSE 0 END) AS positive_id_sum,
+SELECT count(*) AS customers, cast(sum(label) as bigint) AS positives,
+       cast(sum(CASE WHEN label = 1 THEN customer_id ELSE 0 END) as bigint) AS positive_id_sum,
        round(sum(logit), 6) AS logit_sum FROM scored"""))
 def w3_exact_n_label(spark, sf_dir):
     s = _scored(spark, sf_dir)

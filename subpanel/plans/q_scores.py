@@ -87,7 +87,7 @@ def m9_auc_roc(spark, sf_dir):
 @register("m7_baselines", with_prelude("""
 SELECT count(*) AS customers,
        greatest(sum(label), count(*) - sum(label)) * 1.0 / count(*) AS majority_accuracy,
-       sum(label) * 1.0 / count(*) AS base_rate, 0.5 AS chance_auc FROM scored"""))
+       sum(label) * 1.0 / count(*) AS base_rate, cast(0.5 as double) AS chance_auc FROM scored"""))
 def m7_baselines(spark, sf_dir):
     return threshold.baselines(_scored(spark, sf_dir))
 
