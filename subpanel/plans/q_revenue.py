@@ -158,3 +158,26 @@ FROM (SELECT abs(mrr - e) AS diff, abs(mrr - e) / greatest(abs(e), 1.0) * 100 AS
       None))
 def a24_reconcile(spark, sf_dir):
     return revenue.reconcile(quality.clean(spark, sf_dir, label=False))
+
+
+@register("w2_rank_customers", with_prelude("""
+SELECT customer_id, round(total, 2) AS total_mrr,
+       row_number() OVER (ORDER BY total DESC, customer_id) AS revenue_rank,
+       row_number() OVER (ORDER BY total DESC, customer_id)
+         <= greatest(1, round_even(count(*) OVER () * 0.10, 0)) AS in_top_10_pct,
+       row_number() OVER (ORDER BY total DESC, customer_id)
+         > count(*) OVER () - count(*) OVER () // 2 AS in_bottom_half
+FROM (SELECT customer_id, sum(mrr) AS total FROM master GROUP BY customer_id)"""))
+def w2_rank_customers(spark, sf_dir):
+    """Customers ranked by revenue (distributed global rank), with the
+    head (top 10%) and tail (bottom n//2) membership used by A6."""
+    per = revenue.customer_totals(_deduped(spark, sf_dir))
+    ranked = revenue.global_rank(per, [F.col("total").desc(), F.col("customer_id").asc()],
+                                 "revenue_rank")
+    n = per.agg(F.count("*").alias("n"))
+    j = ranked.crossJoin(F.broadcast(n))
+    return j.select(
+        "customer_id", F.round("total", 2).alias("total_mrr"), "revenue_rank",
+        (F.col("revenue_rank") <= F.greatest(F.lit(1), F.bround(F.col("n") * 0.10, 0).cast("long")))
+        .alias("in_top_10_pct"),
+        (F.col("revenue_rank") > F.col("n") - F.floor(F.col("n") / 2)).alias("in_bottom_half"))

@@ -158,3 +158,20 @@ def t11_sign_recovery(spark, sf_dir):
         rows.append((f, float(true), round(float(fitted), 6), bool((fitted > 0) == (true > 0))))
     return spark.createDataFrame(rows, "feature string, true_coefficient double, "
                                        "fitted_coefficient double, sign_matches boolean")
+
+
+_T3_COLS = ["usage_per_seat", "support_tickets", "discount_pct", "nps_score", "seats", "mrr"]
+
+
+@register("t3_skewness", with_prelude("\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature,
+       round((avg({c} * {c} * {c}) - 3 * avg({c}) * avg({c} * {c}) + 2 * avg({c}) * avg({c}) * avg({c}))
+             / pow(avg({c} * {c}) - avg({c}) * avg({c}), 1.5), 4) AS skew FROM model_frame"""
+    for c in _T3_COLS)))
+def t3_skewness(spark, sf_dir):
+    """Population skewness (scipy's default, not the bias-corrected form)
+    of the customer-level baseline features."""
+    mf = _model_frame(spark, sf_dir)
+    agg = mf.agg(*[F.skewness(c).alias(c) for c in _T3_COLS])
+    return agg.unpivot([], _T3_COLS, "feature", "skew").select(
+        "feature", F.round("skew", 4).alias("skew"))
