@@ -33,6 +33,21 @@ def _targets(n: int, q: float) -> tuple[int, int, float]:
     return lo, int(math.ceil(h)), h - lo
 
 
+def _in_ranges(base: DataFrame, ranges) -> DataFrame:
+    """Rows of ``base`` inside each target's [lo, hi] (same group), tagged with
+    the target id. The targets are few (≤ 2 per group), so they are inlined as
+    expressions: a row is fanned out to the targets whose range holds it —
+    no join, no broadcast."""
+    tags = [F.when((F.col(_GKEY) == F.lit(g)) & (F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi)),
+                   F.struct(F.lit(i).alias("tid"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")))
+            for i, g, lo, hi in ranges]
+    hit = F.filter(F.array(*tags), lambda x: x.isNotNull())
+    lo_all = min(r[2] for r in ranges)
+    hi_all = max(r[3] for r in ranges)
+    return base.where((F.col("_v") >= F.lit(lo_all)) & (F.col("_v") <= F.lit(hi_all))) \
+               .select("_v", F.explode(hit).alias("t")).select("_v", "t.tid", "t.lo", "t.hi")
+
+
 def exact_quantile(df: DataFrame, value_col: str, group_cols=(), q: float = 0.5,
                    buckets: int = 4096, final_rows: int = 100_000,
                    max_passes: int = 200) -> DataFrame:
@@ -76,12 +91,8 @@ def exact_quantile(df: DataFrame, value_col: str, group_cols=(), q: float = 0.5,
         if not active:
             break
         tids = list(active)
-        tdf = spark.createDataFrame(
-            [(i, k[0], float(s["lo"]), float(s["hi"])) for i, (k, s) in enumerate(
-                (k, active[k]) for k in tids)],
-            "tid int, g string, lo double, hi double")
-        j = base.join(F.broadcast(tdf), base[_GKEY] == tdf["g"]) \
-                .where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+        ranges = [(i, k[0], float(active[k]["lo"]), float(active[k]["hi"])) for i, k in enumerate(tids)]
+        j = _in_ranges(base, ranges)
         b = F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
                             * F.lit(buckets)), F.lit(buckets - 1)).cast("int")
         hist = j.groupBy("tid", b.alias("b")).agg(
@@ -108,13 +119,9 @@ def exact_quantile(df: DataFrame, value_col: str, group_cols=(), q: float = 0.5,
             else:  # pragma: no cover - the rank is always inside the range
                 raise RuntimeError("quantile target fell outside its range")
         if finals:
-            fdf = spark.createDataFrame(
-                [(i, k[0], float(s["lo"]), float(s["hi"])) for i, (k, s) in enumerate(finals)],
-                "tid int, g string, lo double, hi double")
-            got = base.join(F.broadcast(fdf), base[_GKEY] == fdf["g"]) \
-                      .where((F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi"))) \
-                      .groupBy("tid").agg(F.sort_array(F.collect_list("_v")).alias("vals")) \
-                      .collect()
+            got = _in_ranges(base, [(i, k[0], float(st["lo"]), float(st["hi"]))
+                                    for i, (k, st) in enumerate(finals)]) \
+                .groupBy("tid").agg(F.sort_array(F.collect_list("_v")).alias("vals")).collect()
             for row in got:
                 k, s = finals[row["tid"]]
                 s["value"] = row["vals"][s["rank"]]
