@@ -189,3 +189,20 @@ def test_apply_repairs_micro(spark):
     assert out[2]["rep_assignment_valid"] is True
     assert out[3]["rep_assignment_valid"] is True  # unparseable date → valid
     assert out[2]["usage_events_raw"] == -4.0 and out[1]["region_missing"] is True
+
+
+def test_hot_key_a_third_of_rows(spark):
+    """One key holding a third of all rows: dedupe, global rank and exact
+    median stay exact (the unique id breaks ties inside the hot key)."""
+    n = 9000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+        F.col("id"), (F.col("id") % 101).cast("double").alias("v"))
+    ranked = global_rank(df.repartition(6), [F.col("k").asc(), F.col("id").asc()], "r")
+    pdf = ranked.toPandas().sort_values(["k", "id"]).reset_index(drop=True)
+    assert list(pdf["r"]) == list(range(1, n + 1))
+    first = keep_first(df.select("k", "v", "id"), "k", ["v", "id"])
+    hot = first.where("k = 7").collect()[0]
+    assert (hot["v"], hot["id"]) == (0.0, 0)
+    med = exact_quantile(df, "v", ["k"], buckets=8, final_rows=100).where("k = 7").collect()[0]["v"]
+    assert med == pd.Series([float(i % 101) for i in range(0, n, 3)]).median()
