@@ -79,7 +79,6 @@ def exact_quantile(df: DataFrame, value_col: str, group_cols=(), q: float = 0.5,
         r_lo, r_hi, frac = _targets(row["n"], q)
         for r in {r_lo, r_hi}:
             state[(g, r)] = {"lo": row["lo"], "hi": row["hi"], "rank": r, "value": None}
-    values_cache = {}
     for _ in range(max_passes):
         active = {k: s for k, s in state.items() if s["value"] is None}
         if not active:
@@ -125,7 +124,6 @@ def exact_quantile(df: DataFrame, value_col: str, group_cols=(), q: float = 0.5,
             for row in got:
                 k, s = finals[row["tid"]]
                 s["value"] = row["vals"][s["rank"]]
-                values_cache[k] = s["value"]
     else:
         base.unpersist()
         raise RuntimeError("exact_quantile did not converge")
