@@ -64,7 +64,27 @@ def t4_ols(spark, sf_dir):
     return stats.ols_frame(spark, fit)
 
 
-@register("t5_identity_r2")
+_T5_SQL = with_prelude("""
+SELECT round(1.0 - (syy - (b1 * d1 + b2 * d2 + b3 * d3) / det) / syy, 6) AS r2, n
+FROM (SELECT *,
+        a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13) + a13 * (a12 * a23 - a22 * a13) AS det,
+        b1 * (a22 * a33 - a23 * a23) - a12 * (b2 * a33 - a23 * b3) + a13 * (b2 * a23 - a22 * b3) AS d1,
+        a11 * (b2 * a33 - a23 * b3) - b1 * (a12 * a33 - a23 * a13) + a13 * (a12 * b3 - b2 * a13) AS d2,
+        a11 * (a22 * b3 - b2 * a23) - a12 * (a12 * b3 - b2 * a13) + b1 * (a12 * a23 - a22 * a13) AS d3
+      FROM (SELECT n,
+              sum((x1 - m1) * (x1 - m1)) AS a11, sum((x1 - m1) * (x2 - m2)) AS a12,
+              sum((x1 - m1) * (x3 - m3)) AS a13, sum((x2 - m2) * (x2 - m2)) AS a22,
+              sum((x2 - m2) * (x3 - m3)) AS a23, sum((x3 - m3) * (x3 - m3)) AS a33,
+              sum((x1 - m1) * (y - my)) AS b1, sum((x2 - m2) * (y - my)) AS b2,
+              sum((x3 - m3) * (y - my)) AS b3, sum((y - my) * (y - my)) AS syy
+            FROM (SELECT mrr AS y, cast(seats as double) AS x1, list_price_per_seat AS x2,
+                         discount_pct AS x3 FROM clean) d,
+                 (SELECT avg(mrr) AS my, avg(seats) AS m1, avg(list_price_per_seat) AS m2,
+                         avg(discount_pct) AS m3, count(*) AS n FROM clean) c
+            GROUP BY n))""")
+
+
+@register("t5_identity_r2", _T5_SQL)
 def t5_identity_r2(spark, sf_dir):
     """T5: mrr ~ seats + list price + discount at panel grain; R² only."""
     panel = quality.clean(spark, sf_dir, label=False)
