@@ -103,7 +103,7 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
     lost executor re-reads files instead of re-running joins), and keeps
     column pruning and filter pushdown, with partition pruning on
     ``partition_by``. With ``bucket_by`` the files are bucketed (and sorted)
-    on that key into ``spark.sql.shuffle.partitions`` buckets and registered
+    on that key into ``spark.sql.shuffle.partitions`` buckets (at most four per core) and registered
     as a session table, so later aggregates and joins on the key read
     co-located buckets instead of shuffling. ``build`` may return
     ``(df, cleanup)``; ``cleanup`` runs after the write (e.g. to unpersist
@@ -121,7 +121,11 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
         df, cleanup = built if isinstance(built, tuple) else (built, None)
         table = None
         if bucket_by:
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            # one bucket per shuffle partition, but no more than a few per core:
+            # a session left at 200 partitions on a laptop does not write 200
+            # tiny buckets per period, while a 1000-executor cluster keeps them
+            n = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    4 * spark.sparkContext.defaultParallelism)
             table = f"subpanel_{name}_{digest}"
             writer = df.repartition(n, bucket_by).write.mode("overwrite").option("path", path)
             if partition_by:
