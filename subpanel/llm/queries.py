@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, secrets, token_counts
+from . import language, licenses, secrets, token_counts
 from .common import id_bucket, read_table
 from .registry import ORACLES, QUERIES, register
 
@@ -14,6 +14,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_digest(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+@register("op2_license_scan", licenses.oracle())
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 @register("op9_language_id")
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
