@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, mixing, secrets, token_counts
+from . import language, licenses, mixing, secrets, sharding, token_counts
 from .common import id_bucket, read_table
 from .registry import ORACLES, QUERIES, register
 
@@ -19,6 +19,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+@register("op3_shards")
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                          sharding.SHARDS)
+
+
 @register("op8_source_mix")
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])).select(
