@@ -45,3 +45,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sample_texts(documents: DataFrame, doc_id: str, text: str, rows: int, chars: int) -> list[str]:
+    """About ``rows`` distinct texts, cut to ``chars``, chosen by row hash; at most twice as many.
+
+    For models and caches that are fitted on a bounded sample. The hash
+    threshold follows the row count, so a task sends its share alone.
+    """
+    total = max(documents.count(), 1)
+    key = F.pmod(F.xxhash64(F.col(doc_id).cast("string"), F.col(text)), F.lit(1 << 40))
+    some = documents.where(F.col(text).isNotNull() & (key < int((1 << 40) * min(1.0, rows / total)))) \
+        .select(F.substring(F.col(text), 1, chars).alias("t")).limit(2 * rows)
+    return sorted({row[0] for row in some.collect()})

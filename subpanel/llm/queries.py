@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, licenses, mixing, secrets, sharding, token_counts
+from . import jaccard, language, licenses, mixing, secrets, sharding, token_counts
 from .common import id_bucket, read_table
 from .registry import ORACLES, QUERIES, register
 
@@ -25,6 +25,12 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                           sharding.SHARDS)
 
 
+@register("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(
+        read_table(spark, sf_dir, "documents", ["doc_id", "text"]), k=4, percent=85).drop("cls")
+
+
 @register("op8_source_mix")
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])).select(

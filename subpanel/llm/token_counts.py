@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import utf8_bytes
+from .common import sample_texts, utf8_bytes
 
 SAMPLE_ROWS = 2_000        # texts that tier one is drawn from
 TABLE_ENTRIES = 60_000     # pre-tokens in tier one: about 1 MB to broadcast
@@ -134,36 +134,35 @@ class Counter2Tier:
 _COUNTERS: dict[str, Counter2Tier] = {}
 
 
-def frequent_pre_tokens(documents: DataFrame, path: str, text: str = "text",
+def frequent_pre_tokens(documents: DataFrame, path: str, doc_id: str = "doc_id",
+                        text: str = "text",
                         sample_rows: int = SAMPLE_ROWS,
                         entries: int = TABLE_ENTRIES) -> dict[str, int]:
     """Tier one: counts of the most frequent pre-tokens of ``sample_rows`` texts.
 
-    The sample is the rows of smallest text hash, so it doesn't depend on the
-    layout. It is only a cache: other contents give the same counts.
+    The sample is chosen by row hash, so it doesn't depend on the layout. It is
+    only a cache: other contents give the same counts.
     """
     counter = Counter2Tier(path, {})
     if counter.split is None:
         return {}
     tally: Counter = Counter()
-    some = documents.select(F.substring(F.col(text), 1, 4_000).alias("_t")) \
-        .where("_t is not null").orderBy(F.xxhash64("_t")).limit(sample_rows)
-    for row in some.collect():
-        if counter._plain(row[0]):
-            tally.update(counter.split(row[0]))
+    for some in sample_texts(documents, doc_id, text, sample_rows, 4_000):
+        if counter._plain(some):
+            tally.update(counter.split(some))
     words = sorted(tally, key=lambda w: (-tally[w], w))[:entries]
     return dict(zip(words, counter.encode(words), strict=True)) if words else {}
 
 
-def count_tokens(documents: DataFrame, tokenizer: str, text: str = "text",
-                 sample_rows: int = SAMPLE_ROWS, entries: int = TABLE_ENTRIES):
+def count_tokens(documents: DataFrame, tokenizer: str, doc_id: str = "doc_id",
+                 text: str = "text", sample_rows: int = SAMPLE_ROWS, entries: int = TABLE_ENTRIES):
     """A column expression: tokens of ``text`` under the tokenizer file, as long.
 
     ``tokenizer`` must be readable on every executor (an installed package's
     file, or one that the cluster distributes).
     """
     table = documents.sparkSession.sparkContext.broadcast(
-        frequent_pre_tokens(documents, tokenizer, text, sample_rows, entries))
+        frequent_pre_tokens(documents, tokenizer, doc_id, text, sample_rows, entries))
 
     @F.pandas_udf(LongType())
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -181,5 +180,5 @@ def token_counts(documents: DataFrame, tokenizer: str, limit: int = 512,
     """One row per document: doc_id, n_bytes, n_tokens, over_limit."""
     counted = documents.select(
         F.col(doc_id).alias("doc_id"), utf8_bytes(text).alias("n_bytes"),
-        F.coalesce(count_tokens(documents, tokenizer, text), F.lit(0)).cast("long").alias("n_tokens"))
+        F.coalesce(count_tokens(documents, tokenizer, doc_id, text), F.lit(0)).cast("long").alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > F.lit(limit))
