@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, language, licenses, mixing, secrets, sharding, token_counts
+from . import jaccard, language, licenses, mixing, secrets, sharding, token_counts, toxicity
 from .common import id_bucket, read_table
 from .registry import ORACLES, QUERIES, register
 
@@ -25,6 +25,12 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                           sharding.SHARDS)
 
 
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                             read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+
+
 @register("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(
