@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard, language, licenses, mixing, secrets, sharding, token_counts, toxicity
+from . import jaccard, language, licenses, mixing, neighbours, secrets, sharding, token_counts, toxicity
 from .common import id_bucket, read_table
 from .registry import ORACLES, QUERIES, register
 
@@ -31,6 +32,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                              read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
 
 
+@register("op6_nearest_vectors")
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]),
+                             F.col("vec_id") % 20 == 0, k=20)
+
+
 @register("op7_jaccard_join")
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(
