@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, licenses, mixing, neighbours, secrets, sharding, token_counts, toxicity
+from . import (
+    decontamination,
+    jaccard,
+    language,
+    licenses,
+    mixing,
+    neighbours,
+    secrets,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from .common import id_bucket, read_table
 from .registry import ORACLES, QUERIES, register
 
@@ -26,6 +37,13 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                           sharding.SHARDS)
 
 
+@register("op4_benchmark_leaks")
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated_pairs(
+        read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+        read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
 @register("op5_toxicity")
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
