@@ -16,6 +16,12 @@ emits all of its signatures. Of any two linking sets either one has enough
 telling parts, or both emit everything, so no link is lost: the sample and
 the spares change costs, never results.
 
+The allocation of a set to segments follows the cost of their lists as well: a
+linking pair shares at least c = telling parts - h signatures, h for the set's
+own size, so a set needs none of its c - 1 most frequent ones. The rarest
+signature that the pair shares is kept by both. Sets that share too few
+signatures with any other drop out here, before anything is verified.
+
 Equal sets are one class. Classes that share a signature are verified exactly
 on their whole sets, in three steps that skip what is already connected: each
 class with its most central partner, then with every bucket's most central
@@ -127,8 +133,12 @@ def sets_of(words: Words, k: int = K) -> Sets:
 
 
 def signatures(sets: Sets, plan: list[Band], frequent: np.ndarray, chosen: np.ndarray,
-               percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of the chosen texts' sets, and the class of each."""
+               percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of the chosen texts' sets, the class of each, and a tag.
+
+    The tag is 2 * (signatures the set can do without in this band) + (1 in
+    the band below its own).
+    """
     highs = np.array([b.high for b in plan])
     own = np.searchsorted(highs, sets.size)
     segments, capacity, spare, difference = (np.array([getattr(b, x) for b in plan]) for x in (
@@ -137,7 +147,7 @@ def signatures(sets: Sets, plan: list[Band], frequent: np.ndarray, chosen: np.nd
     value = mix(sets.token ^ _TOKEN)
     at = np.minimum(np.searchsorted(frequent, sets.token), max(len(frequent) - 1, 0))
     telling = frequent[at] != sets.token if len(frequent) else np.ones(len(value), dtype=bool)
-    out_sig, out_cls = [], []
+    out_sig, out_cls, out_tag = [], [], []
     for back in (0, 1):  # as the smaller set in its own band, as the larger in the one below
         band = own - back
         takes = chosen & (sets.size > 0) & (band >= 0)
@@ -160,20 +170,27 @@ def signatures(sets: Sets, plan: list[Band], frequent: np.ndarray, chosen: np.nd
         two = capacity[band][owner] == 2
         weak = np.bincount(owner[told < np.where(two, 2, 1)], minlength=len(m))
         everything = weak > spare[band]
+        partner = highs[band] if back else sets.size * 100 // percent
+        differs = (100 - percent) * (sets.size + partner) // (100 + percent)
+        without = np.where((capacity[band] == 1) & ~everything,
+                           np.maximum(m - weak - differs - 1, 0), 0)
+        tag = (2 * without + back).astype(np.int32)
         key = mix((band[owner].astype(np.uint64) << np.uint64(32))
                   + (np.arange(first[-1]) - first[owner]).astype(np.uint64) + _SEGMENT)
         emit = (told > 0) | everything[owner]
         out_sig.append(mix(total + key)[emit])
         out_cls.append(sets.cls[owner[emit]])
+        out_tag.append(tag[owner[emit]])
         near = two[cell]
         if near.any():  # one-deletion neighbourhoods
             cell, token_value, tells = cell[near], token_value[near], tells[near]
             emit = (told[cell] - tells > 0) | everything[owner[cell]]
             out_sig.append(mix(total[cell] - token_value + key[cell])[emit])
             out_cls.append(sets.cls[owner[cell[emit]]])
+            out_tag.append(tag[owner[cell[emit]]])
     if not out_sig:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(out_sig).view(np.int64), np.concatenate(out_cls)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+    return np.concatenate(out_sig).view(np.int64), np.concatenate(out_cls), np.concatenate(out_tag)
 
 
 def _frequent_shingles(documents: DataFrame, doc_id: str, text: str, k: int) -> np.ndarray:
@@ -189,7 +206,7 @@ def _frequent_shingles(documents: DataFrame, doc_id: str, text: str, k: int) ->
 
 def _signature_rows(documents: DataFrame, doc_id: str, text: str, k: int,
                     percent: int) -> DataFrame:
-    """(sig, cls) of every class, at most once a task and signature."""
+    """(sig, cls, tag) of every class, at most once a task and signature."""
     frequent = documents.sparkSession.sparkContext.broadcast(
         _frequent_shingles(documents, doc_id, text, k))
 
@@ -206,10 +223,10 @@ def _signature_rows(documents: DataFrame, doc_id: str, text: str, k: int,
                     if cls not in seen:
                         seen.add(cls)
                         chosen[t] = True
-                sig, cls = signatures(sets, plan, frequent.value, chosen, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(cls)], names=["sig", "cls"])
+                found = signatures(sets, plan, frequent.value, chosen, percent)
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, found)), names=["sig", "cls", "tag"])
 
-    return documents.select(F.col(text)).mapInArrow(run, "sig long, cls long")
+    return documents.select(F.col(text)).mapInArrow(run, "sig long, cls long, tag int")
 
 
 def _bitmap(classes: DataFrame) -> np.ndarray:
@@ -287,11 +304,17 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
                    percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """``(described, labels)``: doc_id, cls, n of every document; (cls, comp) of candidate classes."""
     by_sig = Window.partitionBy("sig")
+    met = lambda rows: rows.withColumn("low", F.min("cls").over(by_sig)).withColumn(
+        "high", F.max("cls").over(by_sig)).where("low < high").drop("low", "high")
     rows = _signature_rows(documents, doc_id, text, k, percent)
-    shared = rows.repartition("sig").withColumn("low", F.min("cls").over(by_sig)) \
-        .withColumn("high", F.max("cls").over(by_sig)).where("low < high").select("sig", "cls") \
-        .withColumn("members", F.count("*").over(by_sig))
-    shared = stored(shared, "buckets")
+    shared = stored(met(rows.repartition("sig")).withColumn("members", F.count("*").over(by_sig)),
+                    "buckets").distinct()
+    commonest = Window.partitionBy("cls", "back").orderBy(F.desc("members"), "sig")
+    all_shared = shared.withColumn("back", F.col("tag") % 2)
+    kept = all_shared.withColumn("place", F.row_number().over(commonest)).where(
+        F.col("place") > F.shiftright("tag", 1))
+    shared = stored(met(kept.select("sig", "cls", "members", "back", (F.shiftright("tag", 1) + 1).alias("need"))),
+                    "kept-buckets")
     degree = shared.groupBy("cls").agg(F.sum("members").alias("degree"))
     classes = written(degree)
     described = stored(_described(documents, doc_id, text, k, _bitmap(classes)), "sets")
@@ -299,10 +322,10 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         classes.select("cls"), "cls", "left_semi").groupBy("cls").agg(
             F.first("tokens").alias("tokens")), "class-sets")
     sizes = sets.select("cls", F.size("tokens").alias("size"))
-    shared = shared.select("sig", "cls").distinct().join(classes, "cls").join(sizes, "cls")
+    shared = shared.select("sig", "cls", "back", "need").join(classes, "cls").join(sizes, "cls")
     central = F.max(F.struct("degree", F.col("cls").alias("id"), F.col("size").alias("n"))).over(by_sig)
     buckets = stored(shared.withColumn("top", central).select(
-        "sig", "cls", "size", F.col("top.degree").alias("hub_degree"), F.col("top.id").alias("hub"),
+        "sig", "cls", "back", "need", "size", F.col("top.degree").alias("hub_degree"), F.col("top.id").alias("hub"),
         F.col("top.n").alias("hub_size")), "hubs")
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
 
@@ -325,18 +348,46 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         best, ["a", "b"], "left_anti")
     labels = _merged(labels, _verified(apart(others), sets, percent))
 
-    member = buckets.select("sig", "cls", "size", "hub").join(labels, "cls")
+    member = buckets.select("sig", "cls", "back", "need", "size", "hub").join(labels, "cls")
     split = member.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-    member = written(member.join(split.select("sig"), "sig", "left_semi"))
-    a = member.select("sig", F.col("cls").alias("a"), F.col("size").alias("na"), F.col("comp").alias("ca"), "hub")
-    b = member.select("sig", F.col("cls").alias("b"), F.col("size").alias("nb"), F.col("comp").alias("cb"))
-    rest = a.join(b, "sig").where(
-        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits(F.col("na"), F.col("nb"))
-        & (F.col("a") != F.col("hub")) & (F.col("b") != F.col("hub"))).select("a", "b").distinct()
+    member = written(_supported(written(member.join(split.select("sig"), "sig", "left_semi")), sets, percent))
+    lists = all_shared.join(member.select("cls").distinct(), "cls", "left_semi").groupBy("cls", "back").agg(
+        F.collect_list("sig").alias("all"))  # at most as many as the band has segments
+    own = member.groupBy("cls", "back").agg(F.collect_list("sig").alias("kept"))
+    member = member.join(lists, ["cls", "back"]).join(own, ["cls", "back"])
+    side = lambda x: member.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in (
+        "cls", "size", "comp", "support", "need", "hub", "all", "kept")])
+    common, both = F.least("support_a", "support_b"), F.array_intersect("all_a", "all_b")
+    rest = side("a").join(side("b"), "sig").where(
+        (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b"))
+        & (100 * common >= percent * (F.col("size_a") + F.col("size_b") - common))
+        & (F.col("cls_a") != F.col("hub_a")) & (F.col("cls_b") != F.col("hub_b"))
+        # enough signatures in common, and this one stands for them all
+        & (F.size(both) >= F.greatest("need_a", "need_b"))
+        & (F.array_min(F.array_intersect("kept_a", "kept_b")) == F.col("sig"))
+    ).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
     labels = _merged(labels, _verified(rest, sets, percent))
     return described, labels
 
 
+def _supported(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Bucket members that can still link to another component, with their support.
+
+    A set's support is how many of its tokens some set of another component
+    holds, among the sets still in question: no intersection with such a set
+    is larger. Near copies that each went their own way have little of it.
+    """
+    open_ = member.select("cls", "comp").distinct()
+    by_token = Window.partitionBy("token")
+    support = sets.join(open_, "cls").select("cls", "comp", F.explode("tokens").alias("token")) \
+        .withColumn("low", F.min("comp").over(by_token)).withColumn("high", F.max("comp").over(by_token)) \
+        .where("low < high").groupBy("cls").agg(F.count("*").alias("support"))
+    able = member.join(support, "cls").where(100 * F.col("support") >= percent * F.col("size"))
+    by_sig = Window.partitionBy("sig")
+    return able.withColumn("low", F.min("comp").over(by_sig)).withColumn(
+        "high", F.max("comp").over(by_sig)).where("low < high").drop("low", "high")
+
+
 def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels after the edges join components."""
     edges = written(edges)
