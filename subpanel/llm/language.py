@@ -134,18 +134,20 @@ def phrase_counts(parser: Parser, pieces: list[np.ndarray]) -> np.ndarray:
     running = np.searchsorted(-lengths[order], -np.arange(steps), side="left")
     out = np.zeros((count, len(parser.roots)), dtype=np.int64)
     for language, root in enumerate(parser.roots):
-        state = np.full(count, root, dtype=np.int32)
-        phrases = (lengths[order] > 0).astype(np.int32)
+        state = np.full(count, root, dtype=np.int32)  # at the root no phrase is open
+        phrases = np.zeros(count, dtype=np.int32)
         first = parser.moves[root:root + parser.width].copy()
-        first[first == 0] = root
+        lacks = first == 0
+        first[lacks] = root
         for step in range(steps):
             n = running[step]
             symbol = text[step, :n]
             to = parser.moves[state[:n] + symbol]
             stop = to == 0
-            phrases[:n] += stop
+            phrases[:n] += stop & (state[:n] != root)
+            phrases[:n] += lacks[symbol]
             state[:n] = np.where(stop, first[symbol], to)
-        out[order, language] = phrases
+        out[order, language] = phrases + (state != root)
     return out
 
 
