@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,10 +16,10 @@ SILHOUETTE_BANDS = [
     (0.25, "weak — possibly artificial"),
 ]  # else "no substantial structure"
 STABILITY_BANDS = [
-    (0.90, "highly stable — the same grouping is found from any starting point"),
-    (0.75, "moderately stable — the broad shape holds, the edges move"),
+    (0.90, "stable"),
+    (0.75, "mostly stable"),
 ]  # else the unstable verdict below
-UNSTABLE_VERDICT = "unstable — the grouping depends on where the algorithm started"
+UNSTABLE_VERDICT = "unstable"
 
 
 def _c(x) -> Column:
@@ -83,9 +85,15 @@ def stability_verdict(ari) -> Column:
     return _bands(ari, STABILITY_BANDS, UNSTABLE_VERDICT)
 
 
-# Latin-1 accented letters and their base letters (NFKD without marks).
-_ACCENTED = "ÀÁÂÃÄÅàáâãäåÈÉÊËèéêëÌÍÎÏìíîïÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿÑñÇç"
-_PLAIN = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuYyyNnCc"
+def _base_letters() -> tuple[str, str]:
+    """Accented letters and the base letters Unicode decomposes them to."""
+    pairs = [(chr(p), unicodedata.normalize("NFKD", chr(p))[0]) for p in range(0xC0, 0x1F00)
+             if unicodedata.normalize("NFKD", chr(p))[0].isascii()
+             and unicodedata.normalize("NFKD", chr(p))[0].isalpha()]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+_ACCENTED, _PLAIN = _base_letters()
 
 
 def slug(text) -> Column:
@@ -107,12 +115,6 @@ def month_start(date_key) -> Column:
     return F.to_date(_c(date_key).cast("string"), "yyyyMM")
 
 
-def ym_split(date_key):
-    """(year, month) from a YYYYMM integer key."""
-    k = _c(date_key)
-    return (k / 100).cast("int"), F.pmod(k, F.lit(100)).cast("int")
-
-
 def blank_to_null(text) -> Column:
     return F.nullif(F.trim(_c(text)), F.lit(""))
 

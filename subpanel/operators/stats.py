@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distributions import f_sf, t_ppf, t_sf2
-from .rank import global_rank
+from ..session import reliable_checkpoint
+from .rank import cumulative_before, global_rank
 
 SIGNIFICANCE = 0.05
 
@@ -207,15 +208,26 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 
 def spearman_long(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Spearman matrix via MLlib (distributed rank per column, tie-averaged),
-    returned long as (row, col, value)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=cols, outputCol="_f").transform(
-        df.select(*[F.col(c).cast("double") for c in cols]))
-    mat = Correlation.corr(vec, "_f", "spearman").collect()[0][0].toArray()  # p×p, bounded
-    rows = [(a, b, float(mat[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "row string, col string, value double")
+    """Spearman matrix, long as (row, col, value): Pearson of tie-averaged ranks.
+
+    Ranks are taken at the grain of distinct (column, value) pairs, all columns
+    in one global order, so tied rows are counted instead of gathered; rows
+    get their ranks by a join that AQE may split where a value is common.
+    """
+    rows = df.select(F.monotonically_increasing_id().alias("_id"),
+                     *[F.col(c).cast("double").alias(c) for c in cols])
+    long = reliable_checkpoint(rows.unpivot(["_id"], cols, "_c", "_v"))
+    counts = long.where("_v is not null").groupBy("_c", "_v").agg(F.count("*").alias("_n"))
+    ranked = global_rank(counts, [F.col("_c"), F.col("_v")], "_r")
+    before = cumulative_before(ranked, "_r", "_n", "_before")
+    start = before.groupBy("_c").agg(F.min("_before").alias("_start"))  # a row a column
+    ranks = before.join(F.broadcast(start), "_c").select(
+        "_c", "_v", (F.col("_before") - F.col("_start") + (F.col("_n") + 1) / 2.0).alias("_rank"))
+    wide = long.join(ranks, ["_c", "_v"]).groupBy("_id").agg(
+        *[F.max(F.when(F.col("_c") == c, F.col("_rank"))).alias(c) for c in cols])
+    pairs = [F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.corr(a, b).alias("value"))
+             for a in cols for b in cols]
+    return wide.agg(F.array(*pairs).alias("_m")).select(F.inline("_m"))
 
 
 def pearson_with(df: DataFrame, cols: list[str], target: str) -> DataFrame:

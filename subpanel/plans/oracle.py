@@ -68,8 +68,8 @@ PRELUDE_CTES = [
     ("fact", _fact_sql("li_dedup")),
     ("dim_region", "SELECT cast(r_regionkey as integer) AS region_id, r_name AS region_name FROM region"),
     ("dim_rep", """SELECT cast(s_suppkey as integer) AS rep_id, s_name AS rep_name,
-      strftime(date '1995-03-01' + cast(s_suppkey * 120 as integer), '%Y-%m-%d') AS hire_date
-      FROM supplier WHERE s_suppkey < 10"""),
+      strftime(date '1995-03-01' + cast(s_suppkey % 10 * 120 as integer), '%Y-%m-%d') AS hire_date
+      FROM supplier"""),
     ("dim_plan", """SELECT p_partkey AS plan_id, p_name AS plan_name,
       p_retailprice AS list_price_per_seat, cast(p_size as integer) AS tier_rank FROM part"""),
     ("industry_risk", """SELECT n_name AS industry,
@@ -84,7 +84,7 @@ PRELUDE_CTES = [
            THEN strftime(date '1998-01-01' - cast(30 + (c.c_custkey * 37) % 420 as integer), '%d/%m/%Y')
            ELSE strftime(date '1998-01-01' - cast(30 + (c.c_custkey * 37) % 420 as integer), '%Y-%m-%d')
       END AS signup_date,
-      cast(c.c_custkey % 10 as integer) AS rep_id,
+      cast(c.c_custkey % (SELECT max(s_suppkey) + 1 FROM supplier) as integer) AS rep_id,
       cast(c.c_acctbal > 4000.0 as integer) AS is_annual_contract,
       n.n_name AS nation_name
     FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""),
@@ -140,7 +140,7 @@ PRELUDE_CTES = [
     ("scored", f"""SELECT *, 1.0 / (1.0 + exp(-logit)) AS probability,
       cast(row_number() OVER (ORDER BY logit DESC, customer_id)
            <= round_even(count(*) OVER () * 0.2, 0) as integer) AS label
-    FROM (SELECT *, -1.15 + -0.85 * usage_per_seat + 0.28 * support_tickets
+    FROM (SELECT *, 13.0 + -0.85 * usage_per_seat + 0.28 * support_tickets
                  + 2.1 * discount_pct + -0.045 * nps_score + 0.55 * is_smb
                  + 0.85 * industry_risk + -0.7 * is_annual_contract
                  + ({u_sql('c', 'customer_id')} - 0.5) * 1.9 AS logit

@@ -28,19 +28,17 @@ def s7_preview(spark, sf_dir):
 
 
 @register("p9_leakage", with_prelude("\nUNION ALL\n".join(
-    f"SELECT '{c}' AS feature, false AS is_forbidden, count({c}) AS non_null FROM scored"
-    for c in churn.CHURN_FEATURES)))
+    f"SELECT '{c}' AS feature, {str(c in churn.CHURN_FORBIDDEN).lower()} AS is_forbidden, "
+    f"count({c}) AS non_null FROM scored" for c in [*churn.CHURN_FEATURES, "is_churned"])))
 def p9_leakage(spark, sf_dir):
-    """The churn feature list is checked against the forbidden (post-outcome)
-    columns — raising, not warning — and every feature is present and counted."""
-    churn.check_leakage(churn.CHURN_FEATURES)
-    s = churn.scored_frame(spark, sf_dir, quality.clean(spark, sf_dir))
-    missing = [c for c in churn.CHURN_FEATURES if c not in s.columns]
-    if missing:
-        raise ValueError(f"feature columns missing from the model frame: {missing}")
-    agg = s.agg(*[F.count(c).alias(c) for c in churn.CHURN_FEATURES])
-    long = agg.unpivot([], churn.CHURN_FEATURES, "feature", "non_null")
-    return long.select("feature", F.lit(False).alias("is_forbidden"), "non_null")
+    """Features and post-outcome columns that the scored frame's schema holds,
+    told apart and counted; a post-outcome column in the feature list raises."""
+    s = churn.check_leakage(churn.scored_frame(spark, sf_dir, quality.clean(spark, sf_dir)),
+                            churn.CHURN_FEATURES)
+    known = [c for c in s.columns if c in churn.CHURN_FEATURES + churn.CHURN_FORBIDDEN]
+    long = s.agg(*[F.count(c).alias(c) for c in known]).unpivot([], known, "feature", "non_null")
+    return long.select("feature", F.col("feature").isin(churn.CHURN_FORBIDDEN).alias("is_forbidden"),
+                       "non_null")
 
 
 def churn_fields(labels):

@@ -264,7 +264,7 @@ def c8_rep_valid(spark, sf_dir):
     """Signup before the rep's hire date is flagged invalid (null dates are valid)."""
     c = star.dim_customer(spark, sf_dir)
     rep = star.dim_rep(spark, sf_dir).select("rep_id", "hire_date")
-    j = c.join(F.broadcast(rep), "rep_id", "left")
+    j = c.join(rep, "rep_id", "left")
     impossible = F.coalesce(parse_mixed_date(F.col("signup_date")) < F.to_date("hire_date"),
                             F.lit(False))
     return j.select("customer_id", "rep_id", "hire_date", (~impossible).alias("rep_assignment_valid"))

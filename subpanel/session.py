@@ -8,9 +8,11 @@ scratch folder of its own when the setting is absent.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # Engine settings every job in this package assumes. AQE re-plans joins and
 # coalesces shuffle partitions at runtime, and splits skewed join partitions.
@@ -60,7 +62,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises on some versions
             configured = None
     if not configured:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/ABFS) before running iterative or ranking operators")
@@ -76,25 +78,10 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
-def right_size(df, rows_per_partition: int = 1_000_000, persist: bool = True):
-    """Re-partition a frame that iterative MLlib code will scan many times.
-
-    Each iteration is one job over every partition, so a few thousand rows
-    spread over many partitions cost more in task overhead than in work; a
-    15-billion-row frame gets ~15k partitions instead. One count (cheap on
-    the persisted input) sizes it.
-    """
-    n = df.count()
-    parts = max(1, -(-n // rows_per_partition))
-    out = df.repartition(parts) if parts > 1 else df.coalesce(1)
-    return out.persist() if persist else out
-
-
 _MATERIALIZED: dict = {}
 
 
-def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None,
-                 bucket_by: str | None = None):
+def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None):
     """Write ``build()`` once per session and input folder as parquet in the
     reliable checkpoint folder, then serve reads of it.
 
@@ -102,43 +89,24 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_b
     computed once instead of once per query; reading it back cuts lineage (a
     lost executor re-reads files instead of re-running joins), and keeps
     column pruning and filter pushdown, with partition pruning on
-    ``partition_by``. With ``bucket_by`` the files are bucketed (and sorted)
-    on that key into ``spark.sql.shuffle.partitions`` buckets (at most four per core) and registered
-    as a session table, so later aggregates and joins on the key read
-    co-located buckets instead of shuffling. ``build`` may return
-    ``(df, cleanup)``; ``cleanup`` runs after the write (e.g. to unpersist
-    an input that several bounded actions shared).
+    ``partition_by``. Files of a partition are rebalanced: AQE sizes the
+    writing tasks by bytes and splits large ones, so neither the cores at hand
+    nor a hot key decides how many there are. The path holds the application
+    id, so jobs that share a folder don't share files.
     """
     import hashlib
 
     app = spark.sparkContext.applicationId
     key = (app, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir, name)
-    entry = _MATERIALIZED.get(key)
-    if entry is None:
+    path = _MATERIALIZED.get(key)
+    if path is None:
         digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
         path = os.path.join(checkpoint_dir(spark), "tables", app, digest, name)
-        built = build()
-        df, cleanup = built if isinstance(built, tuple) else (built, None)
-        table = None
-        if bucket_by:
-            # one bucket per shuffle partition, but no more than a few per core:
-            # a session left at 200 partitions on a laptop does not write 200
-            # tiny buckets per period, while a 1000-executor cluster keeps them
-            n = min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                    4 * spark.sparkContext.defaultParallelism)
-            table = f"subpanel_{name}_{digest}"
-            writer = df.repartition(n, bucket_by).write.mode("overwrite").option("path", path)
-            if partition_by:
-                writer = writer.partitionBy(partition_by)
-            writer.bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table)
+        df = build()
+        if partition_by:
+            df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(
+                partition_by).parquet(path)
         else:
-            writer = df.write.mode("overwrite")
-            if partition_by:
-                writer = writer.partitionBy(partition_by)
-            writer.parquet(path)
-        if cleanup:
-            cleanup()
-        entry = (path, table)
-        _MATERIALIZED[key] = entry
-    path, table = entry
-    return spark.table(table) if table else spark.read.parquet(path)
+            df.write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)

@@ -27,13 +27,11 @@ from .tables import read_table
 # Fixed values of the fixture mapping.
 DEDUPE_TIEBREAK = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-REP_COUNT = 10
 REP_HIRE_BASE = "1995-03-01"
 REP_HIRE_STEP_DAYS = 120
+REP_HIRE_STEPS = 10  # hire dates repeat after so many suppliers
 SIGNUP_BASE = "1998-01-01"
 ANNUAL_ACCTBAL = 4000.0
-FINAL_PERIOD_NOTE = "churned = last observed period_key < the panel's final period_key"
-BASELINE_PERIODS = 2  # the first two period keys form the baseline window
 
 LINE_COLUMNS = ["l_orderkey", "l_linenumber"] + DEDUPE_TIEBREAK
 
@@ -121,9 +119,8 @@ def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_rep(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    s = s.where(F.col("s_suppkey") < REP_COUNT)
     hire = F.date_add(F.lit(REP_HIRE_BASE).cast("date"),
-                      (F.col("s_suppkey") * REP_HIRE_STEP_DAYS).cast("int"))
+                      (F.col("s_suppkey") % REP_HIRE_STEPS * REP_HIRE_STEP_DAYS).cast("int"))
     return s.select(F.col("s_suppkey").cast("int").alias("rep_id"),
                     F.col("s_name").alias("rep_name"),
                     F.date_format(hire, "yyyy-MM-dd").alias("hire_date"))
@@ -154,6 +151,10 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     # nation has one row per country: bounded, broadcast.
     j = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")
+    # every supplier is a rep; one row, the number of rep keys
+    reps = read_table(spark, sf_dir, "supplier", ["s_suppkey"]).agg(
+        (F.max("s_suppkey") + 1).alias("rep_keys"))
+    j = j.crossJoin(F.broadcast(reps))
     key = F.col("c_custkey")
     signup = F.date_sub(F.lit(SIGNUP_BASE).cast("date"), (30 + (key * 37) % 420).cast("int"))
     return j.select(
@@ -165,7 +166,7 @@ def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
         F.when(key % 25 == 6, F.date_format(signup, "dd/MM/yyyy"))
          .otherwise(F.date_format(signup, "yyyy-MM-dd")).alias("signup_date"),
-        (key % REP_COUNT).cast("int").alias("rep_id"),
+        (key % F.col("rep_keys")).cast("int").alias("rep_id"),
         (F.col("c_acctbal") > ANNUAL_ACCTBAL).cast("int").alias("is_annual_contract"),
         F.col("n_name").alias("nation_name"),
     )

@@ -29,7 +29,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
         df = df.select(*columns)
     return df
 
-
-def read_csv_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """CSV scan with a declared schema and header (S2); no inference."""
-    return spark.read.schema(schema).option("header", True).csv(path)

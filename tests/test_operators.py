@@ -24,7 +24,7 @@ def test_exact_quantile_matches_pandas(spark, parts):
     rows = [(g, float(rng.choice([1, 2, 2, 3, 5, 8]) if g == "ties" else rng.gauss(0, 1)))
             for g in ("ties", "cont") for _ in range(1001 if g == "ties" else 2000)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(parts)
-    got = {r["g"]: r["v"] for r in exact_quantile(df, "v", ["g"], buckets=16, final_rows=50).collect()}
+    got = {r["g"]: r["v"] for r in exact_quantile(df, "v", ["g"], buckets=16).collect()}
     pdf = pd.DataFrame(rows, columns=["g", "v"])
     for g, expect in pdf.groupby("g")["v"].median().items():
         assert got[g] == pytest.approx(expect, abs=1e-12)
@@ -159,11 +159,14 @@ def test_silhouette_sq_matches_brute_force(spark):
     assert got == pytest.approx(np.mean(s), abs=1e-9)
 
 
-def test_leakage_guard():
+def test_leakage_guard(spark):
     from subpanel.operators.churn import check_leakage
+    frame = spark.createDataFrame([(1.0, 3)], "usage_per_seat double, months_active int")
     with pytest.raises(ValueError):
-        check_leakage(["usage_per_seat", "months_active"])
-    check_leakage(["usage_per_seat"])
+        check_leakage(frame, ["usage_per_seat", "months_active"])
+    with pytest.raises(ValueError):
+        check_leakage(frame, ["usage_per_seat", "seats"])
+    assert check_leakage(frame, ["usage_per_seat"]) is frame
 
 
 def test_apply_repairs_micro(spark):
@@ -204,5 +207,5 @@ def test_hot_key_a_third_of_rows(spark):
     first = keep_first(df.select("k", "v", "id"), "k", ["v", "id"])
     hot = first.where("k = 7").collect()[0]
     assert (hot["v"], hot["id"]) == (0.0, 0)
-    med = exact_quantile(df, "v", ["k"], buckets=8, final_rows=100).where("k = 7").collect()[0]["v"]
+    med = exact_quantile(df, "v", ["k"], buckets=8).where("k = 7").collect()[0]["v"]
     assert med == pd.Series([float(i % 101) for i in range(0, n, 3)]).median()

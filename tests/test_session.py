@@ -1,5 +1,7 @@
 """Checkpoint-folder policy: read from the session; never a local folder on a cluster."""
 
+import os
+
 import pytest
 
 from subpanel.session import checkpoint_dir
@@ -57,4 +59,4 @@ def test_setting_is_read_from_the_session():
 
 
 def test_local_mode_gets_a_scratch_folder():
-    assert checkpoint_dir(_Spark("local[2]", {})).startswith("/tmp")
+    assert checkpoint_dir(_Spark("local[2]", {})).startswith(os.environ.get("TMPDIR", "/tmp"))
