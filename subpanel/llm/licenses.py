@@ -45,7 +45,7 @@ NOTICES = (
     ("licensed under the gnu general public license version 3", "gpl-3"),
     ("you can redistribute it and or modify it under the terms of the gnu general public license "
      "as published by the free software foundation", "gpl"),
-    ("under the terms of the gnu lesser general public license", "lgpl"),
+    ("gnu lesser general public license", "lgpl"),
     ("subject to the terms of the mozilla public license v 2 0", "mpl-2"),
     ("redistribution and use in source and binary forms with or without modification are permitted",
      "bsd"),
