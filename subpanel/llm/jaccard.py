@@ -25,9 +25,11 @@ signatures with any other drop out here, before anything is verified.
 Equal sets are one class. Classes that share a signature are verified exactly
 on their whole sets, in three steps that skip what is already connected: each
 class with its most central partner, then with every bucket's most central
-member, then all pairs of a bucket that are still in different components.
-Large groups of near copies are thus joined through their centre instead of
-through all pairs.
+member, then the pairs of a bucket that are still in different components and
+that neither the sets' support (tokens any other component has) nor bitmaps of
+the two sets rule out. Large groups of near copies are thus joined through
+their centre instead of through all pairs, and families of texts that are
+alike but not enough leave few pairs.
 
 Defined results: null and empty texts and texts without words have no
 shingles and link with nothing; a text of fewer than k words is one shingle;
@@ -56,8 +58,10 @@ FREQUENT = 5            # in how many of them a frequent shingle is, at least
 SHORT_COST = 20.0       # a signature of one token or none costs as much as so many others
 UNTELLING_COST = 200.0  # and one of an untelling part, which meets in long lists
 FILTER_BITS = 24        # of the bitmap that tells which sets will be verified
+BITMAP_BITS = 8         # per token, of the bitmaps that bound a pair's difference
 
-_SEGMENT, _TOKEN, _CLASS = (np.uint64(x) for x in (0x51ED270B, 0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47))
+_SEGMENT, _TOKEN, _CLASS, _BITMAP = (np.uint64(x) for x in (
+    0x51ED270B, 0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47, 0xC2B2AE3D27D4EB4F))
 
 
 @dataclass(frozen=True)
@@ -310,11 +314,9 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     shared = stored(met(rows.repartition("sig")).withColumn("members", F.count("*").over(by_sig)),
                     "buckets").distinct()
     commonest = Window.partitionBy("cls", "back").orderBy(F.desc("members"), "sig")
-    all_shared = shared.withColumn("back", F.col("tag") % 2)
-    kept = all_shared.withColumn("place", F.row_number().over(commonest)).where(
+    kept = shared.withColumn("back", F.col("tag") % 2).withColumn("place", F.row_number().over(commonest)).where(
         F.col("place") > F.shiftright("tag", 1))
-    shared = stored(met(kept.select("sig", "cls", "members", "back", (F.shiftright("tag", 1) + 1).alias("need"))),
-                    "kept-buckets")
+    shared = stored(met(kept.select("sig", "cls", "members", "back")), "kept-buckets")
     degree = shared.groupBy("cls").agg(F.sum("members").alias("degree"))
     classes = written(degree)
     described = stored(_described(documents, doc_id, text, k, _bitmap(classes)), "sets")
@@ -322,10 +324,10 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         classes.select("cls"), "cls", "left_semi").groupBy("cls").agg(
             F.first("tokens").alias("tokens")), "class-sets")
     sizes = sets.select("cls", F.size("tokens").alias("size"))
-    shared = shared.select("sig", "cls", "back", "need").join(classes, "cls").join(sizes, "cls")
+    shared = shared.select("sig", "cls", "back").join(classes, "cls").join(sizes, "cls")
     central = F.max(F.struct("degree", F.col("cls").alias("id"), F.col("size").alias("n"))).over(by_sig)
     buckets = stored(shared.withColumn("top", central).select(
-        "sig", "cls", "back", "need", "size", F.col("top.degree").alias("hub_degree"), F.col("top.id").alias("hub"),
+        "sig", "cls", "back", "size", F.col("top.degree").alias("hub_degree"), F.col("top.id").alias("hub"),
         F.col("top.n").alias("hub_size")), "hubs")
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
 
@@ -348,22 +350,23 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         best, ["a", "b"], "left_anti")
     labels = _merged(labels, _verified(apart(others), sets, percent))
 
-    member = buckets.select("sig", "cls", "back", "need", "size", "hub").join(labels, "cls")
+    member = buckets.select("sig", "cls", "back", "size", "hub").join(labels, "cls")
     split = member.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     member = written(_supported(written(member.join(split.select("sig"), "sig", "left_semi")), sets, percent))
-    lists = all_shared.join(member.select("cls").distinct(), "cls", "left_semi").groupBy("cls", "back").agg(
-        F.collect_list("sig").alias("all"))  # at most as many as the band has segments
-    own = member.groupBy("cls", "back").agg(F.collect_list("sig").alias("kept"))
-    member = member.join(lists, ["cls", "back"]).join(own, ["cls", "back"])
+    own = member.groupBy("cls", "back").agg(F.collect_list("sig").alias("kept"))  # a band's segments at most
+    member = written(member.join(own, ["cls", "back"]).join(
+        _bitmaps(member.select("cls", "back").distinct(), sets, percent), ["cls", "back"]))
     side = lambda x: member.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in (
-        "cls", "size", "comp", "support", "need", "hub", "all", "kept")])
-    common, both = F.least("support_a", "support_b"), F.array_intersect("all_a", "all_b")
+        "cls", "size", "comp", "support", "hub", "kept", "bits")])
+    common, total = F.least("support_a", "support_b"), F.col("size_a") + F.col("size_b")
+    unlike = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda n, x: n + x)
     rest = side("a").join(side("b"), "sig").where(
         (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b"))
-        & (100 * common >= percent * (F.col("size_a") + F.col("size_b") - common))
+        & (100 * common >= percent * (total - common))
         & (F.col("cls_a") != F.col("hub_a")) & (F.col("cls_b") != F.col("hub_b"))
-        # enough signatures in common, and this one stands for them all
-        & (F.size(both) >= F.greatest("need_a", "need_b"))
+        & ((100 + percent) * unlike <= (100 - percent) * total)
+        # of all buckets that the pair shares, this one stands for it
         & (F.array_min(F.array_intersect("kept_a", "kept_b")) == F.col("sig"))
     ).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
     labels = _merged(labels, _verified(rest, sets, percent))
@@ -388,6 +391,36 @@ def _supported(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "high", F.max("comp").over(by_sig)).where("low < high").drop("low", "high")
 
 
+def _bitmaps(wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(cls, back, bits): hashed bitmaps of sets, as long as the band asks for.
+
+    A bit that one set has and another lacks stands for at least one token of
+    the difference, so two bitmaps bound the difference of their sets from
+    below; at BITMAP_BITS bits a token the bound is close.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = bands(1 << 10, percent)
+        for batch in batches:
+            out = []
+            for back, tokens in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                token = tokens.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                if len(token) > plan[-1].high:
+                    plan = bands(len(token), percent)
+                own = next(i for i, band in enumerate(plan) if len(token) <= band.high)
+                words = -(-plan[own - back].high * BITMAP_BITS // 64)
+                place = mix(token ^ _BITMAP) % np.uint64(64 * words)
+                bits = np.zeros(words, dtype=np.uint64)
+                np.bitwise_or.at(bits, (place >> np.uint64(6)).astype(np.int64),
+                                 np.uint64(1) << (place & np.uint64(63)))
+                out.append(bits.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))],
+                names=["cls", "back", "bits"])
+
+    return wanted.join(sets, "cls").select("cls", F.col("back").cast("int").alias("back"), "tokens").mapInArrow(
+        run, "cls long, back int, bits array<long>")
+
+
 def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels after the edges join components."""
     edges = written(edges)
