@@ -43,12 +43,14 @@ def p9_leakage(spark, sf_dir):
 
 def churn_fields(labels):
     """Post-hoc churn fields derived from the panel label: the month after the
-    last observed period, and a hashed reason code, both null unless churned."""
+    last observed period, and a hashed reason code, both null unless churned;
+    some customers get a reason without having churned, for P10 to find."""
     churned = F.col("is_churned") == 1
     return labels.select(
         "customer_id",
         F.when(churned, ((F.col("last_period") + 1) * 100 + 1).cast("int")).alias("churned_month"),
-        F.when(churned, bucket("reason", F.col("customer_id"), 5) + 1).alias("churn_reason_id"))
+        F.when(churned | (F.col("customer_id") % 29 == 4),
+               bucket("reason", F.col("customer_id"), 5) + 1).alias("churn_reason_id"))
 
 
 @register("p10_reason_consistency", with_prelude(f"""
@@ -58,7 +60,8 @@ SELECT count(*) AS customers, count(churned_month) AS churned_customers,
          AS reason_without_churn
 FROM (SELECT customer_id,
         CASE WHEN is_churned = 1 THEN cast((last_period + 1) * 100 + 1 as integer) END AS churned_month,
-        CASE WHEN is_churned = 1 THEN {bucket_sql('reason', 'customer_id', 5)} + 1 END AS churn_reason_id
+        CASE WHEN is_churned = 1 OR customer_id % 29 = 4
+             THEN {bucket_sql('reason', 'customer_id', 5)} + 1 END AS churn_reason_id
       FROM cust_label)"""))
 def p10_reason_consistency(spark, sf_dir):
     """P10: a churn reason exists only where the customer churned."""

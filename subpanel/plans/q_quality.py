@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import month_start, parse_mixed_date
 from ..operators import quality
 from ..sources import star
+from ..sources.tables import read_table
 from .oracle import with_prelude
 from .registry import register
 
@@ -53,12 +54,17 @@ FROM s9_src UNPIVOT INCLUDE NULLS
       (v FOR "column" IN (fact_id, customer_id, plan_id, date_key, seats, support_tickets))
 GROUP BY "column\"""", [("s9_src", """SELECT cast(fact_id as varchar) AS fact_id,
       cast(customer_id as varchar) AS customer_id, cast(plan_id as varchar) AS plan_id,
-      cast(date_key as varchar) AS date_key, cast(seats as varchar) AS seats,
+      CASE WHEN fact_id % 131 = 7 THEN '199x' ELSE cast(date_key as varchar) END AS date_key,
+      CASE WHEN fact_id % 97 = 11 THEN 'n/a' ELSE cast(seats as varchar) END AS seats,
       cast(support_tickets as varchar) AS support_tickets FROM fact_raw""")]))
 def s9_enforce_ints(spark, sf_dir):
-    """Coerce declared integer columns from text; unparseable → null, counted."""
+    """Coerce declared integer columns from text; unparseable → null, counted.
+
+    Some rows get text that is no number, so that the check has what to find."""
     f = star.fact(spark, sf_dir, dedupe=False, with_plan=False)
-    text = f.select(*[F.col(c).cast("string").alias(c) for c in FACT_INT_COLUMNS])
+    text = f.select(*[F.col(c).cast("string").alias(c) for c in FACT_INT_COLUMNS]).withColumns({
+        "date_key": F.when(f["fact_id"] % 131 == 7, F.lit("199x")).otherwise(F.col("date_key")),
+        "seats": F.when(f["fact_id"] % 97 == 11, F.lit("n/a")).otherwise(F.col("seats"))})
     long = text.unpivot([], FACT_INT_COLUMNS, "column", "v")
     coerced = F.expr("try_cast(v AS BIGINT)")
     return long.groupBy("column").agg(
@@ -115,24 +121,42 @@ def p6_pk_unique(spark, sf_dir):
 
 
 @register("p7_fk_resolve", with_prelude("""
-SELECT 'fact.customer_id' AS check_name,
-       (SELECT count(*) FROM fact_raw f ANTI JOIN dim_customer c USING (customer_id)) AS violations
-UNION ALL SELECT 'fact.plan_id',
-       (SELECT count(*) FROM fact_raw f ANTI JOIN dim_plan p USING (plan_id))
+SELECT 'orders.customer_id' AS check_name,
+       (SELECT count(*) FROM orders ANTI JOIN customer ON o_custkey = c_custkey) AS violations
+UNION ALL SELECT 'lines.order_id',
+       (SELECT count(*) FROM lineitem ANTI JOIN orders ON l_orderkey = o_orderkey)
+UNION ALL SELECT 'lines.plan_id',
+       (SELECT count(*) FROM (SELECT CASE WHEN (l_orderkey * 10 + l_linenumber) % 211 = 9 THEN -1
+                                     ELSE l_partkey END AS plan_id FROM lineitem) l
+        ANTI JOIN part ON plan_id = p_partkey)
+UNION ALL SELECT 'orders.date_key',
+       (SELECT count(*) FROM (SELECT CASE WHEN o_orderkey % 307 = 1 THEN 13
+                                     ELSE month(o_orderdate) END AS m FROM orders)
+        WHERE m IS NULL OR m NOT BETWEEN 1 AND 12)
 UNION ALL SELECT 'dim_customer.rep_id',
        (SELECT count(*) FROM dim_customer c ANTI JOIN dim_rep r USING (rep_id))
 UNION ALL SELECT 'dim_customer.region_id is null',
        (SELECT count(*) FROM dim_customer WHERE region_id IS NULL)"""))
 def p7_fk_resolve(spark, sf_dir):
-    """Foreign-key resolution by anti joins, plus null region keys."""
-    f = star.fact(spark, sf_dir, dedupe=False, with_plan=False)
+    """Foreign-key resolution by anti joins, plus null region keys.
+
+    Keys are checked as they stand in the raw tables, before any inner join
+    could hide a broken one; some plan and month keys are broken on purpose."""
+    line = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
+    line = line.withColumn("plan_id", F.when(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")) % 211 == 9, F.lit(-1)).otherwise(
+            F.col("l_partkey")))
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    month = F.when(F.col("o_orderkey") % 307 == 1, F.lit(13)).otherwise(F.month("o_orderdate"))
     c = star.dim_customer(spark, sf_dir)
     p = star.dim_plan(spark, sf_dir)
     rep = star.dim_rep(spark, sf_dir)
     checks = [
-        ("fact.customer_id", f.join(c, "customer_id", "left_anti")),
-        ("fact.plan_id", f.join(p, "plan_id", "left_anti")),
-        ("dim_customer.rep_id", c.join(F.broadcast(rep), "rep_id", "left_anti")),
+        ("orders.customer_id", orders.join(c, orders["o_custkey"] == c["customer_id"], "left_anti")),
+        ("lines.order_id", line.join(orders, line["l_orderkey"] == orders["o_orderkey"], "left_anti")),
+        ("lines.plan_id", line.join(p, "plan_id", "left_anti")),
+        ("orders.date_key", orders.where(~F.coalesce(month.between(1, 12), F.lit(False)))),
+        ("dim_customer.rep_id", c.join(rep, "rep_id", "left_anti")),
         ("dim_customer.region_id is null", c.where(F.col("region_id").isNull())),
     ]
     parts = [df.agg(F.count("*").alias("violations")).select(F.lit(n).alias("check_name"), "violations")
@@ -146,10 +170,13 @@ FROM p8_src UNPIVOT INCLUDE NULLS
       (v FOR "column" IN (fact_id, customer_id, plan_id, date_key, seats, support_tickets))
 GROUP BY "column\"""", [("p8_src", """SELECT cast(fact_id as double) AS fact_id,
       cast(customer_id as double) AS customer_id, cast(plan_id as double) AS plan_id,
-      cast(date_key as double) AS date_key, cast(seats as double) AS seats,
+      cast(date_key as double) AS date_key,
+      cast(seats as double) + CASE WHEN fact_id % 89 = 3 THEN 0.5 ELSE 0 END AS seats,
       cast(support_tickets as double) AS support_tickets FROM fact_raw""")]))
 def p8_integer_check(spark, sf_dir):
-    f = star.fact(spark, sf_dir, dedupe=False, with_plan=False)
+    """Rows whose declared integer isn't whole; half a seat is put into some rows."""
+    f = star.fact(spark, sf_dir, dedupe=False, with_plan=False).withColumn(
+        "seats", F.col("seats") + F.when(F.col("fact_id") % 89 == 3, 0.5).otherwise(0.0))
     long = f.select(*[F.col(c).cast("double").alias(c) for c in FACT_INT_COLUMNS]) \
             .unpivot([], FACT_INT_COLUMNS, "column", "v")
     return long.groupBy("column").agg(
