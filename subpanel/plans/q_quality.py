@@ -63,8 +63,8 @@ def s9_enforce_ints(spark, sf_dir):
     Some rows get text that is no number, so that the check has what to find."""
     f = star.fact(spark, sf_dir, dedupe=False, with_plan=False)
     text = f.select(*[F.col(c).cast("string").alias(c) for c in FACT_INT_COLUMNS]).withColumns({
-        "date_key": F.when(f["fact_id"] % 131 == 7, F.lit("199x")).otherwise(F.col("date_key")),
-        "seats": F.when(f["fact_id"] % 97 == 11, F.lit("n/a")).otherwise(F.col("seats"))})
+        "date_key": F.when(F.col("fact_id").cast("long") % 131 == 7, F.lit("199x")).otherwise(F.col("date_key")),
+        "seats": F.when(F.col("fact_id").cast("long") % 97 == 11, F.lit("n/a")).otherwise(F.col("seats"))})
     long = text.unpivot([], FACT_INT_COLUMNS, "column", "v")
     coerced = F.expr("try_cast(v AS BIGINT)")
     return long.groupBy("column").agg(
