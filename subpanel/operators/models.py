@@ -274,11 +274,9 @@ def grouped_auc(df: DataFrame, group: str, score: str, label: str, group_size: i
     globally ranked by (group, score), and the rows before each score inside
     its group are the distributed cumulative count minus ``group·group_size``.
     No group is ever gathered into one task."""
-    from .rank import cumulative_before
     c = df.groupBy(group, score).agg(
         F.count("*").alias("_cnt"), F.count_if(F.col(label) == 1).alias("_pos"))
-    ranked = global_rank(c, [F.col(group).asc(), F.col(score).asc()], "_r")
-    cum = cumulative_before(ranked, "_r", "_cnt", "_before_all")
+    cum = global_rank(c, [F.col(group).asc(), F.col(score).asc()], "_r", {"_before_all": "_cnt"})
     before = F.col("_before_all") - F.col(group).cast("long") * F.lit(group_size)
     avg_rank = before + (F.col("_cnt") + 1) / 2.0
     p, n = float(positives), float(negatives)

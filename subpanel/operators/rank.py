@@ -22,21 +22,33 @@ from ..session import reliable_checkpoint
 _POS_BITS = 33
 
 
-def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank") -> DataFrame:
-    """Append a 1-based dense row number in the total order ``order``."""
+def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
+                totals: dict[str, str] | None = None) -> DataFrame:
+    """Append a 1-based dense row number in the total order ``order``.
+
+    ``totals`` names running sums to append as well, new column → summed
+    column: the sum over all rows before this one. They come from the same
+    sort: a running sum within each partition plus what earlier ones add up to.
+    """
+    totals = totals or {}
     tagged = df.orderBy(*order).withColumn("__x1_mid", F.monotonically_increasing_id())
     tagged = reliable_checkpoint(tagged)
     with_pid = tagged.withColumn("__x1_pid", F.shiftright(F.col("__x1_mid"), _POS_BITS)) \
                      .withColumn("__x1_pos", F.col("__x1_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
-    counts = with_pid.groupBy("__x1_pid").agg(F.count("*").alias("__x1_cnt"))
+    counts = with_pid.groupBy("__x1_pid").agg(
+        F.count("*").alias("__x1_cnt"), *[F.sum(w).alias(f"__x1_t_{out}") for out, w in totals.items()])
     # one row per partition: a bounded frame, so a window without partitionBy is fine
+    earlier = Window.orderBy("__x1_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "__x1_pid",
-        (F.sum("__x1_cnt").over(Window.orderBy("__x1_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__x1_off"))
+        "__x1_pid", F.sum("__x1_cnt").over(earlier).alias("__x1_off"),
+        *[F.coalesce(F.sum(f"__x1_t_{out}").over(earlier), F.lit(0)).alias(f"__x1_o_{out}")
+          for out in totals])
     ranked = with_pid.join(F.broadcast(offsets), "__x1_pid")
+    inside = Window.partitionBy("__x1_pid").orderBy("__x1_pos").rowsBetween(Window.unboundedPreceding, -1)
+    for out, w in totals.items():
+        ranked = ranked.withColumn(out, F.col(f"__x1_o_{out}") + F.coalesce(F.sum(w).over(inside), F.lit(0)))
     return ranked.withColumn(rank_col, F.coalesce(F.col("__x1_off"), F.lit(0)) + F.col("__x1_pos") + 1) \
-                 .drop("__x1_mid", "__x1_pid", "__x1_pos", "__x1_off")
+                 .drop("__x1_mid", "__x1_pid", "__x1_pos", "__x1_off", *[f"__x1_o_{out}" for out in totals])
 
 
 def average_rank(df: DataFrame, value_col: str, group_cols=(), out_col: str | None = None) -> DataFrame:
@@ -57,29 +69,9 @@ def average_rank(df: DataFrame, value_col: str, group_cols=(), out_col: str | No
                   .rowsBetween(Window.unboundedPreceding, -1)
         ranks = counts.withColumn("__x1_before", F.coalesce(F.sum("__x1_cnt").over(w), F.lit(0)))
     else:
-        ranked = global_rank(counts, [F.col(value_col).asc()], "__x1_r")
-        # cumulative count before each distinct value = running sum by rank
-        ranks = cumulative_before(ranked, "__x1_r", "__x1_cnt", "__x1_before")
+        # cumulative count before each distinct value
+        ranks = global_rank(counts, [F.col(value_col).asc()], "__x1_r", {"__x1_before": "__x1_cnt"})
     ranks = ranks.select(*group_cols, value_col,
                          (F.col("__x1_before") + (F.col("__x1_cnt") + 1) / 2.0).alias(out_col))
     return df.join(ranks, [*group_cols, value_col], "left")
 
-
-def cumulative_before(df: DataFrame, rank_col: str, weight_col: str, out_col: str) -> DataFrame:
-    """Sum of ``weight_col`` over rows with a smaller ``rank_col`` (distributed).
-
-    Range-partitions by rank, takes a running sum inside each partition
-    (partitioned window on the partition id), and adds the broadcast totals
-    of the earlier partitions.
-    """
-    parted = df.repartitionByRange(F.col(rank_col)).withColumn("__x1_pid", F.spark_partition_id())
-    parted = reliable_checkpoint(parted)
-    w = Window.partitionBy("__x1_pid").orderBy(rank_col).rowsBetween(Window.unboundedPreceding, -1)
-    local = parted.withColumn("__x1_local", F.coalesce(F.sum(weight_col).over(w), F.lit(0)))
-    totals = parted.groupBy("__x1_pid").agg(F.sum(weight_col).alias("__x1_tot"))
-    offsets = totals.select("__x1_pid", F.coalesce(F.sum("__x1_tot").over(
-        Window.orderBy("__x1_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("__x1_off"))
-    return local.join(F.broadcast(offsets), "__x1_pid") \
-                .withColumn(out_col, F.col("__x1_off") + F.col("__x1_local")) \
-                .drop("__x1_pid", "__x1_local", "__x1_off")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.distributions import f_sf, t_ppf, t_sf2
 from ..session import reliable_checkpoint
-from .rank import cumulative_before, global_rank
+from .rank import global_rank
 
 SIGNIFICANCE = 0.05
 
@@ -218,8 +218,7 @@ def spearman_long(df: DataFrame, cols: list[str]) -> DataFrame:
                      *[F.col(c).cast("double").alias(c) for c in cols])
     long = reliable_checkpoint(rows.unpivot(["_id"], cols, "_c", "_v"))
     counts = long.where("_v is not null").groupBy("_c", "_v").agg(F.count("*").alias("_n"))
-    ranked = global_rank(counts, [F.col("_c"), F.col("_v")], "_r")
-    before = cumulative_before(ranked, "_r", "_n", "_before")
+    before = global_rank(counts, [F.col("_c"), F.col("_v")], "_r", {"_before": "_n"})
     start = before.groupBy("_c").agg(F.min("_before").alias("_start"))  # a row a column
     ranks = before.join(F.broadcast(start), "_c").select(
         "_c", "_v", (F.col("_before") - F.col("_start") + (F.col("_n") + 1) / 2.0).alias("_rank"))

@@ -177,7 +177,7 @@ SELECT (SELECT count(*) FROM dim_customer SEMI JOIN fact USING (customer_id)) AS
        (SELECT count(*) FROM dim_customer ANTI JOIN fact USING (customer_id)) AS customers_without_facts,
        (SELECT count(*) FROM dim_plan SEMI JOIN fact USING (plan_id)) AS plans_used"""))
 def j5_fk_semi_anti(spark, sf_dir):
-    f = star.fact(spark, sf_dir, dedupe=True, with_plan=False)
+    f = quality.dedup_panel(spark, sf_dir)
     c = star.dim_customer(spark, sf_dir).select("customer_id")
     p = star.dim_plan(spark, sf_dir).select("plan_id")
     a = c.join(f.select("customer_id"), "customer_id", "left_semi").agg(
@@ -191,7 +191,7 @@ def j5_fk_semi_anti(spark, sf_dir):
 @register("j7_churn_label", with_prelude("""
 SELECT customer_id, last_period, is_churned FROM cust_label"""))
 def j7_churn_label(spark, sf_dir):
-    f = star.fact(spark, sf_dir, dedupe=True, with_plan=False)
+    f = quality.dedup_panel(spark, sf_dir)
     return quality.customer_labels(f)
 
 

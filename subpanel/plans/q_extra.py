@@ -65,7 +65,7 @@ FROM (SELECT customer_id,
       FROM cust_label)"""))
 def p10_reason_consistency(spark, sf_dir):
     """P10: a churn reason exists only where the customer churned."""
-    f = star.fact(spark, sf_dir, dedupe=True, with_plan=False)
+    f = quality.dedup_panel(spark, sf_dir)
     fields = churn_fields(quality.customer_labels(f))
     return fields.agg(
         F.count("*").alias("customers"), F.count("churned_month").alias("churned_customers"),

@@ -194,7 +194,7 @@ SELECT (SELECT count(DISTINCT customer_id) FROM dim_customer) AS customers,
 def p11_baseline_coverage(spark, sf_dir):
     """Customers with rows in the baseline window vs all customers."""
     from ..operators.churn import baseline_periods
-    f = star.fact(spark, sf_dir, dedupe=True, with_plan=False)
+    f = quality.dedup_panel(spark, sf_dir)
     c = star.dim_customer(spark, sf_dir).select("customer_id")
     base = f.where(F.col("period_key").isin(baseline_periods(f))).select("customer_id").distinct()
     total = c.agg(F.countDistinct("customer_id").alias("customers"))
@@ -376,7 +376,7 @@ SELECT metric, value FROM (
 def s6_quality_report(spark, sf_dir):
     """Row counts, defect inventory (raw rows) and churn count/rate, long format."""
     raw = star.fact(spark, sf_dir, dedupe=False, with_plan=False)
-    ded = star.fact(spark, sf_dir, dedupe=True, with_plan=False)
+    ded = quality.dedup_panel(spark, sf_dir)
     cust = star.dim_customer(spark, sf_dir)
     labels = quality.customer_labels(ded)
     fa = raw.agg(F.count("*").alias("n"), F.count_if(F.col("usage_events").isNull()).alias("bu"),

@@ -76,6 +76,12 @@ FROM (SELECT *, sum(n_pos * (N - fp_cum + n_neg / 2.0)) OVER () / (P * N) AS auc
               sum(n_pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) * 1.0 / P AS tpr,
               sum(n_neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) * 1.0 / N AS fpr,
               sum(n_neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp_cum
+            FROM (SELECT probability AS score, count(*) FILTER (WHERE label = 1) AS n_pos,
+                         count(*) FILTER (WHERE label = 0) AS n_neg FROM scored GROUP BY probability),
+                 (SELECT sum(label) AS P, count(*) - sum(label) AS N FROM scored)))
+UNION ALL SELECT 0, NULL, 0.0, 0.0, round(max(auc), 9)
+FROM (SELECT sum(n_pos * (N - fp_cum + n_neg / 2.0)) OVER () / (P * N) AS auc
+      FROM (SELECT *, sum(n_neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp_cum
             FROM (SELECT probability AS score, count(*) FILTER (WHERE label = 1) AS n_pos,
                          count(*) FILTER (WHERE label = 0) AS n_neg FROM scored GROUP BY probability),
                  (SELECT sum(label) AS P, count(*) - sum(label) AS N FROM scored)))"""))
@@ -192,7 +198,7 @@ GROUP BY part"""))
 def u1_union_append(spark, sf_dir):
     """Append two slices of the fact (baseline window and the rest) and
     count per slice; the parts add up to the whole."""
-    f = star.fact(spark, sf_dir, dedupe=True, with_plan=False)
+    f = quality.dedup_panel(spark, sf_dir)
     periods = churn.baseline_periods(f)
     inside = f.where(F.col("period_key").isin(periods)).select(F.lit("baseline").alias("part"), "customer_id")
     outside = f.where(~F.col("period_key").isin(periods)).select(F.lit("later").alias("part"), "customer_id")
