@@ -166,7 +166,7 @@ def kmeans_search(frame: DataFrame, ks=K_RANGE, seeds=range(N_INIT), threads: in
         idx = label_indices(labelled).collect()[0]
         return {"k": k, "inertia": cost, "silhouette_sq": idx["silhouette_sq"],
                 "davies_bouldin": idx["davies_bouldin"],
-                "calinski_harabasz": idx["calinski_harabasz"]}
+                "calinski_harabasz": idx["calinski_harabasz"], "model": best[k][2]}
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
         out = list(pool.map(indices, sorted(best)))
@@ -174,6 +174,17 @@ def kmeans_search(frame: DataFrame, ks=K_RANGE, seeds=range(N_INIT), threads: in
     return out
 
 
+def best_k(search: list[dict]) -> dict:
+    """The searched k of largest silhouette, the smaller k on ties."""
+    return max(search, key=lambda r: (r["silhouette_sq"], -r["k"]))
+
+
+def best_k_labels(frame: DataFrame) -> DataFrame:
+    """The frame with the cluster that the best k's model assigns."""
+    model = best_k(kmeans_search(frame))["model"]
+    return model.setPredictionCol("cluster").transform(vectors(frame)).drop("features")
+
+
 def ari(df: DataFrame, a: str, b: str) -> DataFrame:
     """Adjusted Rand Index from the contingency table (bounded by
     #labels_a × #labels_b), 1 when both partitions are trivial."""
@@ -195,11 +206,10 @@ def stability(frame: DataFrame, k: int, seeds=range(STABILITY_SEEDS), threads: i
     seeds = list(seeds)
     with ThreadPoolExecutor(max_workers=threads) as pool:
         models = list(pool.map(lambda s: _fit_kmeans(vec, k, s)[1], seeds))
-    labels = None
-    for s, m in zip(seeds, models):
-        pred = m.transform(vec).select("customer_id", F.col("prediction").alias(f"l{s}"))
-        labels = pred if labels is None else labels.join(pred, "customer_id")
-    labels = labels.persist()
+    labels = vec
+    for s, m in zip(seeds, models):  # each model adds its own column to the one frame
+        labels = m.setPredictionCol(f"l{s}").transform(labels)
+    labels = labels.drop("features").persist()
     first = f"l{seeds[0]}"
     scores = [ari(labels, first, f"l{s}").collect()[0]["ari"] for s in seeds[1:]]
     labels.unpersist()

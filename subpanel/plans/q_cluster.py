@@ -170,7 +170,7 @@ def m16_risk_table(spark, sf_dir):
 def g2_g3_kmeans_search(spark, sf_dir):
     """k = 2…6, best of 10 seeds each; indices, best k and verdict."""
     res = cluster.kmeans_search(_frame(spark, sf_dir))
-    best = max(res, key=lambda r: (r["silhouette_sq"], -r["k"]))["k"]
+    best = cluster.best_k(res)["k"]
     rows = [(r["k"], round(r["inertia"], 6), round(r["silhouette_sq"], 6),
              round(r["davies_bouldin"], 6), round(r["calinski_harabasz"], 6), r["k"] == best)
             for r in res]
@@ -215,9 +215,11 @@ def f7_verdicts(spark, sf_dir):
 
 @register("g7_stability")
 def g7_stability(spark, sf_dir):
-    """ARI of 10 k-means seeds against the first at the fixed k, with the
+    """ARI of 10 k-means seeds against the first at the best k, with the
     mean/min/max and the stability verdict."""
-    scores = cluster.stability(_frame(spark, sf_dir), cluster.FIXED_K)
+    from .q_fitted import best_labels
+    k = best_labels(spark, sf_dir).agg(F.count_distinct("cluster")).first()[0]
+    scores = cluster.stability(_frame(spark, sf_dir), k)
     mean = sum(scores) / len(scores)
     df = spark.createDataFrame([(i + 1, round(float(s), 6)) for i, s in enumerate(scores)],
                                "seed int, ari double")

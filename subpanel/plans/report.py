@@ -32,24 +32,24 @@ SECTIONS = {
     "fig12_qq": "t9_qq",
     "fig12_histogram": "t10_histogram",
     "fig13_regressors": "m14_regressors",
-    "fig14_roc": "m9_auc_roc",
-    "fig15_thresholds": "m10_threshold_sweep",
-    "fig16_confusion": "m12_confusion",
+    "fig14_roc": "m9_roc_fitted",
+    "fig15_thresholds": "m10_sweep_fitted",
+    "fig16_confusion": "m12_confusion_fitted",
     "fig17_importance": "m13_permutation",
     "fig18_logit": "t7_logit_compare",
     "fig19_cluster_search": "g2_g3_kmeans_search",
     "fig20_pca": "g8_pca",
-    "fig21_cluster_profiles": "g11_profile_z",
+    "fig21_cluster_profiles": "g11_profile_z_fitted",
     "fig22_stability": "g7_stability",
     "concentration": "a6_concentration",
     "churn_breakdowns": "a7_a8_churn_wilson",
     "revenue_by_dimension": "a13_revenue_by_dim",
-    "optimal_threshold": "m11_optimal_threshold",
+    "optimal_threshold": "m11_optimal_fitted",
     "model_comparison": "m6_model_comparison",
-    "customers": "m16_risk_table",
-    "call_list": "w4_call_list",
-    "cluster_profiles": "a18_profiles",
-    "cluster_vs_segment": "a19_crosstab",
+    "customers": "m16_risk_table_fitted",
+    "call_list": "w4_call_list_fitted",
+    "cluster_profiles": "a18_profiles_fitted",
+    "cluster_vs_segment": "a19_crosstab_fitted",
     "quality_report": "s6_quality_report",
 }
 

@@ -209,3 +209,25 @@ def test_hot_key_a_third_of_rows(spark):
     assert (hot["v"], hot["id"]) == (0.0, 0)
     med = exact_quantile(df, "v", ["k"], buckets=8).where("k = 7").collect()[0]["v"]
     assert med == pd.Series([float(i % 101) for i in range(0, n, 3)]).median()
+
+
+def test_fitted_payload(spark):
+    """Out-of-fold scores and best-k labels reach the risk table, riskiest first, bands agreeing."""
+    import __spark_entry__ as entry
+    from .conftest import SF_SMALL
+    q = entry.queries()
+    rows = q["m16_risk_table_fitted"](spark, SF_SMALL).collect()
+    scored = q["m8_oof_scores"](spark, SF_SMALL).count()
+    assert len(rows) == len({r["customer_id"] for r in rows}) == scored
+    p = [r["churn_probability"] for r in rows]
+    assert p == sorted(p, reverse=True) and 0 <= p[-1] <= p[0] <= 1
+    assert all(r["risk_band"] == ("High" if r["churn_probability"] >= 0.6 else "Medium"
+               if r["churn_probability"] >= 0.3 else "Low")
+               for r in rows if min(abs(r["churn_probability"] - c) for c in (0.3, 0.6)) > 1e-4)
+    clusters = {r["cluster"] for r in rows}
+    profiles = q["a18_profiles_fitted"](spark, SF_SMALL).collect()
+    assert len(profiles) == len(clusters - {None}) >= 2
+    sweep = sorted((r["threshold"], r["recall"]) for r in q["m10_sweep_fitted"](spark, SF_SMALL).collect())
+    assert [x for _, x in sweep] == sorted((x for _, x in sweep), reverse=True) and sweep[0][1] > sweep[-1][1]
+    calls = q["w4_call_list_fitted"](spark, SF_SMALL).collect()
+    assert 0 < len(calls) <= 25 and all(r["probability"] >= 0.5 for r in calls)
