@@ -18,9 +18,10 @@ the spares change costs, never results.
 
 The allocation of a set to segments follows the cost of their lists as well: a
 linking pair shares at least c = telling parts - h signatures, h for the set's
-own size, so a set needs none of its c - 1 most frequent ones. The rarest
-signature that the pair shares is kept by both. Sets that share too few
-signatures with any other drop out here, before anything is verified.
+own size, so a set can do without c - 1 of its signatures and emits h + 1 of
+them. Those of the largest parts go first, whose lists are shortest; since
+that order depends on a part's content alone, the first signature that a
+linking pair shares in it is emitted by both.
 
 Equal sets are one class. Classes that share a signature are verified exactly
 on their whole sets, in three steps that skip what is already connected: each
@@ -56,6 +57,7 @@ PERCENT = 85
 SAMPLE_ROWS = 2_000     # texts that show which shingles are frequent
 FREQUENT = 5            # in how many of them a frequent shingle is, at least
 SHORT_COST = 20.0       # a signature of one token or none costs as much as so many others
+SURE_DIFFERENCE = 16    # from here on the signatures a set does without are allowed for
 UNTELLING_COST = 200.0  # and one of an untelling part, which meets in long lists
 FILTER_BITS = 24        # of the bitmap that tells which sets will be verified
 BITMAP_BITS = 8         # per token, of the bitmaps that bound a pair's difference
@@ -88,6 +90,9 @@ def _allocate(low: int, high: int, difference: int) -> Band:
             over = 0.5 * math.erfc((segments - need + 0.5 - segments * weak) / deviation / math.sqrt(2))
             signatures = segments * (1 if capacity == 1 else 1 + part)
             short = segments * math.exp(-part) * (1 + part)
+            if capacity == 1 and difference >= SURE_DIFFERENCE:
+                signatures = difference * low / high + 1
+                short = max(0.0, short - (segments - signatures))
             cost = signatures + SHORT_COST * short + UNTELLING_COST * over * segments * weak
             band = Band(low, high, difference, segments, capacity, segments - need)
             if best is None or cost < best[0]:
@@ -137,21 +142,17 @@ def sets_of(words: Words, k: int = K) -> Sets:
 
 
 def signatures(sets: Sets, plan: list[Band], frequent: np.ndarray, chosen: np.ndarray,
-               percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures of the chosen texts' sets, the class of each, and a tag.
-
-    The tag is 2 * (signatures the set can do without in this band) + (1 in
-    the band below its own).
-    """
+               percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of the chosen texts' sets, and the class of each."""
     highs = np.array([b.high for b in plan])
     own = np.searchsorted(highs, sets.size)
     segments, capacity, spare, difference = (np.array([getattr(b, x) for b in plan]) for x in (
         "segments", "capacity", "spare", "difference"))
-    place = mix(sets.token ^ _SEGMENT) >> np.uint64(32)
+    spot = mix(sets.token ^ _SEGMENT) >> np.uint64(32)
     value = mix(sets.token ^ _TOKEN)
     at = np.minimum(np.searchsorted(frequent, sets.token), max(len(frequent) - 1, 0))
     telling = frequent[at] != sets.token if len(frequent) else np.ones(len(value), dtype=bool)
-    out_sig, out_cls, out_tag = [], [], []
+    out_sig, out_cls = [], []
     for back in (0, 1):  # as the smaller set in its own band, as the larger in the one below
         band = own - back
         takes = chosen & (sets.size > 0) & (band >= 0)
@@ -165,7 +166,7 @@ def signatures(sets: Sets, plan: list[Band], frequent: np.ndarray, chosen: np.nd
         first = np.concatenate(([0], np.cumsum(m)))
         mine = takes[sets.text]
         text, token_value, tells = sets.text[mine], value[mine], telling[mine]
-        segment = ((place[mine] * m[text].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        segment = ((spot[mine] * m[text].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         cell = first[text] + segment
         total = np.zeros(first[-1], dtype=np.uint64)
         np.add.at(total, cell, token_value)
@@ -178,23 +179,25 @@ def signatures(sets: Sets, plan: list[Band], frequent: np.ndarray, chosen: np.nd
         differs = (100 - percent) * (sets.size + partner) // (100 + percent)
         without = np.where((capacity[band] == 1) & ~everything,
                            np.maximum(m - weak - differs - 1, 0), 0)
-        tag = (2 * without + back).astype(np.int32)
         key = mix((band[owner].astype(np.uint64) << np.uint64(32))
                   + (np.arange(first[-1]) - first[owner]).astype(np.uint64) + _SEGMENT)
         emit = (told > 0) | everything[owner]
-        out_sig.append(mix(total + key)[emit])
+        value_of = mix(total + key)
+        order = np.lexsort((value_of, -told, ~emit, owner))  # by text: telling parts, large ones first
+        place = np.arange(len(order)) - first[owner[order]]
+        goes = np.bincount(owner[emit], minlength=len(m)) - without
+        emit[order] &= place < goes[owner[order]]
+        out_sig.append(value_of[emit])
         out_cls.append(sets.cls[owner[emit]])
-        out_tag.append(tag[owner[emit]])
         near = two[cell]
         if near.any():  # one-deletion neighbourhoods
             cell, token_value, tells = cell[near], token_value[near], tells[near]
             emit = (told[cell] - tells > 0) | everything[owner[cell]]
             out_sig.append(mix(total[cell] - token_value + key[cell])[emit])
             out_cls.append(sets.cls[owner[cell[emit]]])
-            out_tag.append(tag[owner[cell[emit]]])
     if not out_sig:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-    return np.concatenate(out_sig).view(np.int64), np.concatenate(out_cls), np.concatenate(out_tag)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(out_sig).view(np.int64), np.concatenate(out_cls)
 
 
 def _frequent_shingles(documents: DataFrame, doc_id: str, text: str, k: int) -> np.ndarray:
@@ -210,7 +213,7 @@ def _frequent_shingles(documents: DataFrame, doc_id: str, text: str, k: int) ->
 
 def _signature_rows(documents: DataFrame, doc_id: str, text: str, k: int,
                     percent: int) -> DataFrame:
-    """(sig, cls, tag) of every class, at most once a task and signature."""
+    """(sig, cls) of every class, at most once a task and signature."""
     frequent = documents.sparkSession.sparkContext.broadcast(
         _frequent_shingles(documents, doc_id, text, k))
 
@@ -228,9 +231,9 @@ def _signature_rows(documents: DataFrame, doc_id: str, text: str, k: int,
                         seen.add(cls)
                         chosen[t] = True
                 found = signatures(sets, plan, frequent.value, chosen, percent)
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, found)), names=["sig", "cls", "tag"])
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, found)), names=["sig", "cls"])
 
-    return documents.select(F.col(text)).mapInArrow(run, "sig long, cls long, tag int")
+    return documents.select(F.col(text)).mapInArrow(run, "sig long, cls long")
 
 
 def _bitmap(classes: DataFrame) -> np.ndarray:
@@ -313,10 +316,6 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     rows = _signature_rows(documents, doc_id, text, k, percent)
     shared = stored(met(rows.repartition("sig")).withColumn("members", F.count("*").over(by_sig)),
                     "buckets").distinct()
-    commonest = Window.partitionBy("cls", "back").orderBy(F.desc("members"), "sig")
-    kept = shared.withColumn("back", F.col("tag") % 2).withColumn("place", F.row_number().over(commonest)).where(
-        F.col("place") > F.shiftright("tag", 1))
-    shared = stored(met(kept.select("sig", "cls", "members", "back")), "kept-buckets")
     degree = shared.groupBy("cls").agg(F.sum("members").alias("degree"))
     classes = written(degree)
     described = stored(_described(documents, doc_id, text, k, _bitmap(classes)), "sets")
@@ -324,10 +323,10 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         classes.select("cls"), "cls", "left_semi").groupBy("cls").agg(
             F.first("tokens").alias("tokens")), "class-sets")
     sizes = sets.select("cls", F.size("tokens").alias("size"))
-    shared = shared.select("sig", "cls", "back").join(classes, "cls").join(sizes, "cls")
+    shared = shared.select("sig", "cls").join(classes, "cls").join(sizes, "cls")
     central = F.max(F.struct("degree", F.col("cls").alias("id"), F.col("size").alias("n"))).over(by_sig)
     buckets = stored(shared.withColumn("top", central).select(
-        "sig", "cls", "back", "size", F.col("top.degree").alias("hub_degree"), F.col("top.id").alias("hub"),
+        "sig", "cls", "size", F.col("top.degree").alias("hub_degree"), F.col("top.id").alias("hub"),
         F.col("top.n").alias("hub_size")), "hubs")
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
 
@@ -350,16 +349,18 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         best, ["a", "b"], "left_anti")
     labels = _merged(labels, _verified(apart(others), sets, percent))
 
-    member = buckets.select("sig", "cls", "back", "size", "hub").join(labels, "cls")
+    member = buckets.select("sig", "cls", "size", "hub").join(labels, "cls")
     split = member.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     member = written(_supported(written(member.join(split.select("sig"), "sig", "left_semi")), sets, percent))
-    own = member.groupBy("cls", "back").agg(F.collect_list("sig").alias("kept"))  # a band's segments at most
-    member = written(member.join(own, ["cls", "back"]).join(
-        _bitmaps(member.select("cls", "back").distinct(), sets, percent), ["cls", "back"]))
+    own = member.groupBy("cls").agg(F.collect_list("sig").alias("kept"))  # a set's signatures at most
+    member = written(member.join(own, "cls").join(
+        _bitmaps(member.select("cls").distinct(), sets, percent), "cls"))
     side = lambda x: member.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in (
-        "cls", "size", "comp", "support", "hub", "kept", "bits")])
+        "cls", "size", "comp", "support", "hub", "kept", "bits", "wide")])
     common, total = F.least("support_a", "support_b"), F.col("size_a") + F.col("size_b")
-    unlike = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+    of = lambda x, y: F.when(F.size(f"bits_{x}") < F.size(f"bits_{y}"), F.col(f"wide_{x}")).otherwise(
+        F.col(f"bits_{x}"))
+    unlike = F.aggregate(F.zip_with(of("a", "b"), of("b", "a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                          F.lit(0), lambda n, x: n + x)
     rest = side("a").join(side("b"), "sig").where(
         (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b"))
@@ -391,34 +392,39 @@ def _supported(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "high", F.max("comp").over(by_sig)).where("low < high").drop("low", "high")
 
 
+def _bitmap_of(token: np.ndarray, level: int) -> np.ndarray:
+    """A hashed bitmap of BITMAP_BITS * 2 ** level bits, in words of 64."""
+    words = max(1, (BITMAP_BITS << level) // 64)
+    place = mix(token ^ _BITMAP) % np.uint64(64 * words)
+    bits = np.zeros(words, dtype=np.uint64)
+    np.bitwise_or.at(bits, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    return bits.view(np.int64)
+
+
 def _bitmaps(wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(cls, back, bits): hashed bitmaps of sets, as long as the band asks for.
+    """(cls, bits, wide): hashed bitmaps of sets, as long as their size asks for.
 
     A bit that one set has and another lacks stands for at least one token of
     the difference, so two bitmaps bound the difference of their sets from
-    below; at BITMAP_BITS bits a token the bound is close.
+    below; at BITMAP_BITS bits a token or more the bound is close. Lengths
+    double with the size; a set that can link to one of the next length has a
+    bitmap of that length as well.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = bands(1 << 10, percent)
         for batch in batches:
-            out = []
-            for back, tokens in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+            bits, wide = [], []
+            for tokens in batch.column(1):
                 token = tokens.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                if len(token) > plan[-1].high:
-                    plan = bands(len(token), percent)
-                own = next(i for i, band in enumerate(plan) if len(token) <= band.high)
-                words = -(-plan[own - back].high * BITMAP_BITS // 64)
-                place = mix(token ^ _BITMAP) % np.uint64(64 * words)
-                bits = np.zeros(words, dtype=np.uint64)
-                np.bitwise_or.at(bits, (place >> np.uint64(6)).astype(np.int64),
-                                 np.uint64(1) << (place & np.uint64(63)))
-                out.append(bits.view(np.int64))
+                level = len(token).bit_length()
+                bits.append(_bitmap_of(token, level))
+                near = 100 * len(token) >= percent * (1 << level) - 100
+                wide.append(_bitmap_of(token, level + 1) if near else None)
+            kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))],
-                names=["cls", "back", "bits"])
+                [batch.column(0), pa.array(bits, kind), pa.array(wide, kind)], names=["cls", "bits", "wide"])
 
-    return wanted.join(sets, "cls").select("cls", F.col("back").cast("int").alias("back"), "tokens").mapInArrow(
-        run, "cls long, back int, bits array<long>")
+    return wanted.join(sets, "cls").select("cls", "tokens").mapInArrow(
+        run, "cls long, bits array<long>, wide array<long>")
 
 
 def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
