@@ -37,10 +37,15 @@ def _row_id() -> Column:
 
 
 def _joined(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """Rows of docs that ``decided`` (doc_id, text_hash, ...) names, with its other columns."""
-    other = decided.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    return docs.join(other, (F.xxhash64(docs["text"]) == other["_hash"])
-                     & docs["doc_id"].eqNullSafe(other["_id"]))
+    """Rows of docs that ``decided`` (doc_id, text_hash, ...) names, with its other columns.
+
+    Plain key columns, so that a later step by the same keys needs no further
+    exchange of the texts; a null id is keyed as the empty text.
+    """
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    other = decided.select(F.col("text_hash").alias("_hash"), key.alias("_id"),
+                           *[c for c in decided.columns if c not in ("doc_id", "text_hash")])
+    return docs.withColumn("_hash", F.xxhash64("text")).withColumn("_id", key).join(other, ["_hash", "_id"])
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,16 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are no longer referenced.
+
+    Its cleaner acts when the driver's JVM collects garbage, which on a driver
+    with memory to spare may be long after a step's files are of no use.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def id_bucket(id_column: str, buckets: int):
     """crc32 of the id as text, modulo ``buckets``; null ids count as the empty text."""
     text = F.coalesce(F.col(id_column).cast("string"), F.lit(""))

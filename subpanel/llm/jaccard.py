@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sample_texts, stored, written
+from .common import release, sample_texts, stored, written
 from .textops import Words, mix, shingles, slices
 
 K = 4
@@ -313,9 +313,11 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     by_sig = Window.partitionBy("sig")
     met = lambda rows: rows.withColumn("low", F.min("cls").over(by_sig)).withColumn(
         "high", F.max("cls").over(by_sig)).where("low < high").drop("low", "high")
-    rows = _signature_rows(documents, doc_id, text, k, percent)
-    shared = stored(met(rows.repartition("sig")).withColumn("members", F.count("*").over(by_sig)),
+    rows = _signature_rows(documents, doc_id, text, k, percent).repartition("sig")
+    shared = stored(met(rows).withColumn("members", F.count("*").over(by_sig)),
                     "buckets").distinct()
+    del rows
+    release(documents.sparkSession)
     degree = shared.groupBy("cls").agg(F.sum("members").alias("degree"))
     classes = written(degree)
     described = stored(_described(documents, doc_id, text, k, _bitmap(classes)), "sets")
@@ -328,6 +330,7 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     buckets = stored(shared.withColumn("top", central).select(
         "sig", "cls", "size", F.col("top.degree").alias("hub_degree"), F.col("top.id").alias("hub"),
         F.col("top.n").alias("hub_size")), "hubs")
+    release(documents.sparkSession)
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
 
     spokes = buckets.where(F.col("cls") != F.col("hub")).groupBy("cls", "hub").agg(
@@ -434,8 +437,11 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     lb = labels.select(F.col("cls").alias("b"), F.col("comp").alias("cb"))
     between = edges.join(la, "a").join(lb, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     joined = _components(between).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-    return written(labels.join(joined, "comp", "left").select(
+    labels = written(labels.join(joined, "comp", "left").select(
         "cls", F.coalesce("to", "comp").alias("comp")))
+    del edges, between, joined, la, lb
+    release(labels.sparkSession)
+    return labels
 
 
 def jaccard_components(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
