@@ -60,7 +60,7 @@ SHORT_COST = 20.0       # a signature of one token or none costs as much as so m
 SURE_DIFFERENCE = 16    # from here on the signatures a set does without are allowed for
 UNTELLING_COST = 200.0  # and one of an untelling part, which meets in long lists
 FILTER_BITS = 24        # of the bitmap that tells which sets will be verified
-BITMAP_BITS = 8         # per token, of the bitmaps that bound a pair's difference
+BITMAP_BITS = 4         # per token, of the bitmaps that bound a pair's difference
 
 _SEGMENT, _TOKEN, _CLASS, _BITMAP = (np.uint64(x) for x in (
     0x51ED270B, 0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47, 0xC2B2AE3D27D4EB4F))
@@ -355,11 +355,9 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     member = buckets.select("sig", "cls", "size", "hub").join(labels, "cls")
     split = member.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     member = written(_supported(written(member.join(split.select("sig"), "sig", "left_semi")), sets, percent))
-    own = member.groupBy("cls").agg(F.collect_list("sig").alias("kept"))  # a set's signatures at most
-    member = written(member.join(own, "cls").join(
-        _bitmaps(member.select("cls").distinct(), sets, percent), "cls"))
+    member = member.join(written(_bitmaps(member.select("cls").distinct(), sets, percent)), "cls")
     side = lambda x: member.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in (
-        "cls", "size", "comp", "support", "hub", "kept", "bits", "wide")])
+        "cls", "size", "comp", "support", "hub", "bits", "wide")])
     common, total = F.least("support_a", "support_b"), F.col("size_a") + F.col("size_b")
     of = lambda x, y: F.when(F.size(f"bits_{x}") < F.size(f"bits_{y}"), F.col(f"wide_{x}")).otherwise(
         F.col(f"bits_{x}"))
@@ -369,10 +367,7 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b"))
         & (100 * common >= percent * (total - common))
         & (F.col("cls_a") != F.col("hub_a")) & (F.col("cls_b") != F.col("hub_b"))
-        & ((100 + percent) * unlike <= (100 - percent) * total)
-        # of all buckets that the pair shares, this one stands for it
-        & (F.array_min(F.array_intersect("kept_a", "kept_b")) == F.col("sig"))
-    ).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+        & ((100 + percent) * unlike <= (100 - percent) * total)).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
     labels = _merged(labels, _verified(rest, sets, percent))
     return described, labels
 
