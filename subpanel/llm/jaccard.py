@@ -367,7 +367,8 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b"))
         & (100 * common >= percent * (total - common))
         & (F.col("cls_a") != F.col("hub_a")) & (F.col("cls_b") != F.col("hub_b"))
-        & ((100 + percent) * unlike <= (100 - percent) * total)).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+        & ((100 + percent) * unlike <= (100 - percent) * total)).select(
+            F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
     labels = _merged(labels, _verified(rest, sets, percent))
     return described, labels
 
