@@ -1,21 +1,24 @@
 """Toxicity by nearest labelled examples (operator 5).
 
 A text's score is the distance-weighted vote of its nearest labelled
-examples by TF-IDF cosine. The neighbours are exact: the examples lie in an
-inverted index of blocks of ``BLOCK`` examples that keeps, for every term and
-block, the block's largest weight. A query's bound on a block is the sum over
-its terms; blocks are visited from the largest bound down and the visit ends
-when no bound reaches the k-th best cosine found.
+examples by cosine over the TF-IDF weights of all terms. The neighbours are exact. The
+``HEAD`` terms that most examples hold are a dense matrix, all others an
+inverted index: a text's products with all examples are a matrix product in
+single precision plus sums over postings, and every example whose sum comes
+within ``SLACK`` of the k-th largest is scored again in double precision.
 
 Terms are words and the first ``PREFIX`` bytes of longer words (inflected
-forms of one stem share them), chosen by how much more often toxic examples
-hold them than others do. The examples are a bounded sample (``TRAIN_ROWS``)
-of the labelled rows, near copies counted once; document frequencies are
-counted over all documents. The vote is calibrated on the examples
-themselves, each scored without itself, by isotonic regression.
-
-Defined results: null and empty texts and texts without a chosen term have no
-neighbour and get the calibrated rate of such examples; with no labelled row
+forms of one stem share them). The examples are a bounded sample
+(``TRAIN_ROWS``) of the labelled rows, near copies counted once; every term of
+theirs is in the index, with its document frequency over all documents. A
+term's idf counts as many times as its toxic rate among the examples surely
+exceeds the base rate, and once if it doesn't: no term is left out. A
+term that no example holds adds to a text's norm with the weight of a term of
+one document. The vote is calibrated on the examples themselves, each scored
+without itself, by isotonic regression.
+
+Defined results: null and empty texts and texts without a term of an example have
+no neighbour and get the rate of examples without a term; with no labelled row
 every score is 0. If a doc_id is labelled more than once it is toxic if any
 label says so; null labels and null ids teach nothing. Each input row gives
 one output row; an empty table gives an empty result; other columns of either
@@ -26,10 +29,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,13 +42,12 @@ from .common import id_bucket, stored
 from .textops import ALNUM, Words, mix, shingles, slices
 
 TRAIN_ROWS = 20_000   # labelled examples, about
-TERMS = 2_048         # chosen terms at most
-MIN_RATE = 0.35       # of toxic ones among a term's examples, that conceded
-MIN_ROWS = 4          # examples a chosen term stands in
+HEAD = 512            # terms kept as a dense matrix
+SLACK = 1e-5          # more than single precision can be off by
+LANES = 128           # texts multiplied at a time
 Z = 3.0               # deviations of a term's toxic rate that are conceded
 PREFIX = 4            # bytes of a stem
 NEIGHBOURS = 25
-BLOCK = 64
 PRIOR = 0.5           # weight of the base rate in a vote
 PREDICT_AT = 0.3
 
@@ -61,18 +65,9 @@ def _terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((text, text[long])), np.concatenate((words.hash, mix(stem)))
 
 
-def _counts(words: Words, vocabulary: np.ndarray | None = None):
-    """(text, term, count); terms are hashes, or places in a sorted vocabulary."""
+def _counts(words: Words):
+    """(text, term, count), in that order; terms are hashes."""
     text, term = _terms(words)
-    if vocabulary is not None:
-        if not len(vocabulary):
-            none = np.zeros(0, dtype=np.int64)
-            return none, none, none
-        place = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
-        known = vocabulary[place] == term
-        key = text[known] * len(vocabulary) + place[known]
-        key, count = np.unique(key, return_counts=True)
-        return key // len(vocabulary), key % len(vocabulary), count
     order = np.lexsort((term, text))
     text, term = text[order], term[order]
     fresh = np.flatnonzero(np.concatenate((
@@ -81,6 +76,18 @@ def _counts(words: Words, vocabulary: np.ndarray | None = None):
     return text[fresh], term[fresh], np.diff(np.append(fresh, len(text)))
 
 
+def _known_counts(words: Words, vocabulary: np.ndarray):
+    """(text, term, count) of the terms in a sorted vocabulary, as places there; (text, count) of all others."""
+    text, term = _terms(words)
+    place = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
+    known = vocabulary[place] == term
+    key, count = np.unique(text[known] * len(vocabulary) + place[known], return_counts=True)
+    other = np.flatnonzero(~known)
+    _, first, times = np.unique(mix(term[other] + mix(text[other].astype(np.uint64))),
+                                return_index=True, return_counts=True)
+    return key // len(vocabulary), key % len(vocabulary), count, text[other[first]], times
+
+
 def _examples(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
               rows: int) -> DataFrame:
     """The sampled examples, near copies once: doc_id, toxic, terms, counts."""
@@ -118,41 +125,75 @@ def _examples(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, l
 
 @dataclass
 class Index:
-    """Block-max inverted index of the examples that hold a chosen term."""
+    """The examples that hold a term: a dense matrix of frequent terms, postings of the others."""
 
     vocabulary: np.ndarray   # sorted term hashes
     idf: np.ndarray
+    unseen_idf: float        # of a term that isn't in the vocabulary
+    column: np.ndarray       # of each term in the matrix, -1 for terms with postings
+    head: np.ndarray         # weights, examples x frequent terms
     example: np.ndarray      # per posting, term by term and in example order
     weight: np.ndarray
-    bounds: np.ndarray       # postings of (term, block): bounds[term, block] … bounds[term, block + 1]
-    ceiling: np.ndarray      # largest weight of (term, block)
+    bounds: np.ndarray       # postings of each term: bounds[term] … bounds[term + 1]
     toxic: np.ndarray        # per example
     ids: list
     base_rate: float
-    none_rate: float         # toxic rate of examples without a chosen term
+    none_rate: float         # toxic rate of examples without a term
     curve: tuple[np.ndarray, np.ndarray]  # calibration: votes, rates
 
+    @cached_property
+    def narrow(self) -> np.ndarray:
+        return np.ascontiguousarray(self.head.T.astype(np.float32))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "narrow"}
+
+    def nearest(self, text: np.ndarray, terms: np.ndarray, counts: np.ndarray, texts: int,
+                unseen: np.ndarray, k: int = NEIGHBOURS,
+                without: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each text's k examples of largest cosine above 0 (ties: first example), and their cosines.
+
+        ``unseen``: squares of the weights of a text's other terms; ``without``: an example
+        a text that isn't met.
+        """
+        query = (1 + np.log(counts)) * self.idf[terms]
+        norm = np.sqrt(np.bincount(text, query * query, minlength=texts) + unseen)
+        query = query / norm[text]
+        at, column = np.searchsorted(text, np.arange(texts + 1)), self.column[terms]
+        low, size = self.bounds[terms], self.bounds[terms + 1] - self.bounds[terms]
+        for start in range(0, texts, LANES):
+            stop = min(start + LANES, texts)
+            some = np.arange(at[start], at[stop])
+            some = some[column[some] >= 0]
+            dense = np.zeros((stop - start, self.head.shape[1]))
+            dense[text[some] - start, column[some]] = query[some]
+            product = dense.astype(np.float32) @ self.narrow
+            for i in range(start, stop):
+                own = np.arange(at[i], at[i + 1])
+                own = own[size[own] > 0]
+                if len(own):
+                    posts = [slice(a, a + n) for a, n in zip(low[own].tolist(), size[own].tolist(), strict=True)]
+                    tail = np.bincount(
+                        np.concatenate([self.example[x] for x in posts]),
+                        np.concatenate([self.weight[x] for x in posts]) * np.repeat(query[own], size[own]),
+                        minlength=len(self.ids))
+                else:
+                    tail = np.zeros(len(self.ids))
+                score = tail + product[i - start]
+                if without is not None:
+                    score[without[i]] = -1
+                least = np.partition(score, -k)[-k] if len(score) > k else 0.0
+                near = np.flatnonzero((score >= least - SLACK) & (score >= 0))
+                exact = tail[near] + self.head[near] @ dense[i - start]
+                near, exact = near[exact > 0], exact[exact > 0]
+                order = np.lexsort((near, -exact))[:k]
+                yield near[order], exact[order]
+
     def neighbours(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS,
                    without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of largest cosine (ties: first example), and their cosines."""
-        query = (1 + np.log(counts)) * self.idf[terms]
-        query /= np.sqrt((query * query).sum())
-        bound = query @ self.ceiling[terms]
-        best_id, best = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(best) == k and bound[block] < best[-1] - 1e-12):
-                break
-            score = np.zeros(BLOCK)
-            for term, value in zip(terms, query, strict=True):
-                a, b = self.bounds[term, block], self.bounds[term, block + 1]
-                score[self.example[a:b] - block * BLOCK] += value * self.weight[a:b]
-            hit = np.flatnonzero(score > 0)
-            hit = hit[hit + block * BLOCK != without]
-            best_id = np.concatenate((best_id, hit + block * BLOCK))
-            best = np.concatenate((best, score[hit]))
-            order = np.lexsort((best_id, -best))[:k]
-            best_id, best = best_id[order], best[order]
-        return best_id, best
+        """The k examples of largest cosine of one text whose terms are all known."""
+        return next(self.nearest(np.zeros(len(terms), np.int64), terms, counts, 1, np.zeros(1), k,
+                                 np.array([without]) if without >= 0 else None))
 
     def vote(self, ids: np.ndarray, cosines: np.ndarray) -> float:
         weight = cosines ** 2
@@ -177,7 +218,7 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def build_index(vocabulary: np.ndarray, idf: np.ndarray, examples: pd.DataFrame,
-                base_rate: float) -> Index:
+                base_rate: float, unseen_idf: float = 1.0) -> Index:
     """``examples``: doc_id, toxic, terms (places in the vocabulary), counts; by doc_id."""
     holds = examples["terms"].map(len).to_numpy() > 0
     none = examples["toxic"][~holds]
@@ -188,16 +229,21 @@ def build_index(vocabulary: np.ndarray, idf: np.ndarray, examples: pd.DataFrame,
     weight = (1 + np.log(np.maximum(counts, 1))) * idf[terms] if len(terms) else np.zeros(0)
     norm = np.sqrt(np.bincount(example, weight ** 2, minlength=len(kept)))
     weight = weight / norm[example]
+    held = np.bincount(terms, minlength=len(vocabulary))
+    frequent = np.argsort(-held, kind="stable")[:HEAD]
+    column = np.full(len(vocabulary), -1)
+    column[frequent] = np.arange(len(frequent))
+    inside = column[terms] >= 0
+    head = np.zeros((len(kept), len(frequent)))
+    head[example[inside], column[terms[inside]]] = weight[inside]
+    terms, example, weight = terms[~inside], example[~inside], weight[~inside]
     order = np.lexsort((example, terms))
-    terms, example, weight = terms[order], example[order], weight[order]
-    blocks = max(1, -(-len(kept) // BLOCK))
-    cells = np.arange(len(vocabulary))[:, None] * blocks + np.arange(blocks + 1)[None, :]
-    bounds = np.searchsorted(terms * blocks + example // BLOCK, cells)
-    ceiling = np.zeros((len(vocabulary), blocks))
-    np.maximum.at(ceiling, (terms, example // BLOCK), weight)
+    terms, example, weight = terms[order], example[order].astype(np.int32), weight[order]
+    bounds = np.searchsorted(terms, np.arange(len(vocabulary) + 1))
     toxic = kept["toxic"].to_numpy(dtype=float)
-    index = Index(vocabulary, idf, example, weight, bounds, ceiling, toxic, kept["doc_id"].tolist(),
-                  base_rate, float((none.sum() + 0.5 * base_rate) / (len(none) + 0.5)),
+    index = Index(vocabulary, idf, unseen_idf, column, head, example, weight, bounds, toxic,
+                  kept["doc_id"].tolist(), base_rate,
+                  float((none.sum() + 0.5 * base_rate) / (len(none) + 0.5)),
                   (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
     if len(kept) > 1:
         votes = [index.vote(*index.neighbours(np.asarray(t, dtype=np.int64), np.asarray(c, dtype=float),
@@ -207,6 +253,14 @@ def build_index(vocabulary: np.ndarray, idf: np.ndarray, examples: pd.DataFrame,
     return index
 
 
+def _relevance(held: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
+    """How many times the base rate a term's toxic rate is at least (lower end by Wilson); 1 or more."""
+    p, z2 = toxic / np.maximum(held, 1), Z ** 2
+    n = np.maximum(held, 1)
+    lower = (p + z2 / (2 * n) - Z * np.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+    return np.maximum(1.0, lower / base) if base else np.ones(len(held))
+
+
 def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "toxic", rows: int = TRAIN_ROWS) -> Index | None:
     """The index of a bounded sample of ``labels``; idf counts every document."""
@@ -215,28 +269,25 @@ def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     if not total:
         return None
     base = toxic / total
-    # lower end of the interval of a term's toxic rate (Wilson)
-    n, p, z2 = F.col("n").cast("double"), F.col("t") / F.col("n"), Z ** 2
-    lower = (p + z2 / (2 * n) - Z * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
-    chosen = examples.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count("*").alias("n"), F.sum("toxic").alias("t")).withColumn("lower", lower).where(
-            (F.col("n") >= MIN_ROWS) & (F.col("lower") >= max(MIN_RATE, 2 * base))).orderBy(
-                F.desc("lower"), "term").limit(TERMS)
-    vocabulary = np.sort(np.array([r["term"] for r in chosen.collect()], dtype=np.int64).view(np.uint64))
+    found = examples.orderBy("doc_id").select("doc_id", "toxic", "terms", "counts").toArrow()  # TRAIN_ROWS texts' terms
+    terms, counts = (found[x].combine_chunks() for x in ("terms", "counts"))
+    hashes = terms.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    vocabulary, place = np.unique(hashes, return_inverse=True)
     frequency, documents_n = _document_frequency(documents, text, vocabulary)
     idf = np.log((1 + documents_n) / (1 + frequency)) + 1
-    here = {t: i for i, t in enumerate(vocabulary.view(np.int64).tolist())}
-    known = F.array(*map(F.lit, here)) if here else F.array().cast("array<long>")
-    pairs = F.filter(F.arrays_zip("terms", "counts"), lambda x: F.array_contains(known, x["terms"]))
-    rows_ = examples.withColumn("pairs", pairs).select(
-        "doc_id", "toxic", F.col("pairs.terms").alias("terms"), F.col("pairs.counts").alias("counts")) \
-        .orderBy("doc_id").toPandas()  # TRAIN_ROWS rows of a few chosen terms
-    rows_["terms"] = rows_["terms"].map(lambda x: np.array([here[t] for t in x], dtype=np.int64))
-    return build_index(vocabulary, idf, rows_, float(base))
+    rows_ = found.select(["doc_id", "toxic"]).to_pandas()
+    ends = np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False))[:-1]
+    held = np.bincount(place, minlength=len(vocabulary))
+    toxic_held = np.bincount(place, np.repeat(rows_["toxic"].to_numpy(dtype=float), pc.list_value_length(terms)),
+                             minlength=len(vocabulary))
+    idf *= _relevance(held, toxic_held, base)
+    rows_["terms"] = np.split(place, ends)
+    rows_["counts"] = np.split(counts.flatten().to_numpy(zero_copy_only=False), ends)
+    return build_index(vocabulary, idf, rows_, float(base), float(np.log((1 + documents_n) / 2) + 1))
 
 
 def _document_frequency(documents: DataFrame, text: str, vocabulary: np.ndarray):
-    """Documents that hold each chosen term, and all documents; a row a term and task is shuffled."""
+    """Documents that hold each term, and all documents; a row a term that a task meets is shuffled."""
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,10 +295,11 @@ def _document_frequency(documents: DataFrame, text: str, vocabulary: np.ndarray)
         for batch in batches:
             frequency[-1] += batch.num_rows
             for words in slices(batch.column(0), ALNUM):
-                _, term, _ = _counts(words, shared.value)
-                frequency[:-1] += np.bincount(term, minlength=len(shared.value))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(frequency))), pa.array(frequency)], names=["term", "n"])
+                if len(shared.value):
+                    _, term, *_ = _known_counts(words, shared.value)
+                    frequency[:-1] += np.bincount(term, minlength=len(shared.value))
+        met = np.flatnonzero(frequency)
+        yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(frequency[met])], names=["term", "n"])
 
     counted = documents.select(F.col(text)).mapInArrow(run, "term long, n long").groupBy("term").agg(
         F.sum("n").alias("n")).toPandas()
@@ -270,11 +322,11 @@ def score(documents: DataFrame, index: Index | None, doc_id: str = "doc_id",
             scores = np.full(n, index.none_rate if index else 0.0)
             nearest, cosine = [None] * n, [None] * n
             for words in slices(batch.column(1), ALNUM) if index and index.ids else ():
-                owner, term, count = _counts(words, index.vocabulary)
-                bounds = np.searchsorted(owner, np.arange(words.n + 1))
-                for t in np.flatnonzero(np.diff(bounds)):
-                    a, b = bounds[t], bounds[t + 1]
-                    ids, cosines = index.neighbours(term[a:b], count[a:b])
+                owner, term, count, other, times = _known_counts(words, index.vocabulary)
+                unseen = np.bincount(other, ((1 + np.log(times)) * index.unseen_idf) ** 2, minlength=words.n)
+                has, text_ = np.unique(owner, return_inverse=True)
+                found = index.nearest(text_, term, count, len(has), unseen[has])
+                for t, (ids, cosines) in zip(has, found, strict=True):
                     at = words.first + t
                     scores[at] = index.calibrated(index.vote(ids, cosines))
                     if len(ids):

@@ -53,3 +53,34 @@ def test_messy_and_empty(spark, messy):
     assert toxicity.toxicity(messy.limit(0), labels).count() == 0
     none = toxicity.toxicity(messy, labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.0}
+
+
+def test_all_terms_take_part(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "HEAD", 8)
+    plain = [f"w{i}x w{i}y w{i}z shared word{i % 3}" for i in range(12)]
+    rows = [(i, x) for i, x in enumerate(plain)]
+    # a copy of a toxic example of ordinary words; a long text that shares one term with an example
+    rows += [(100, plain[4].upper()), (101, "w5x " + " ".join(f"other{i}" for i in range(60)))]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 4)) for i in range(12)], "doc_id long, toxic int")
+    index = toxicity.train(documents, labels)
+    got = {r["doc_id"]: r for r in toxicity.score(documents, index).collect()}
+    assert got[100]["nearest_id"] == 4 and abs(got[100]["nearest_cosine"] - 1) < 1e-9
+    assert got[101]["nearest_id"] == 5 and got[101]["nearest_cosine"] < 0.5
+
+
+def test_postings_and_matrix_give_one_cosine(monkeypatch):
+    rng = np.random.default_rng(8)
+    idf = rng.uniform(1, 5, 60)
+    examples = pd.DataFrame([
+        {"doc_id": i, "toxic": 0, "terms": np.sort(rng.choice(60, n, replace=False)),
+         "counts": rng.integers(1, 6, n)} for i, n in enumerate(rng.integers(1, 12, 300))])
+    vocabulary = np.arange(60, dtype=np.uint64)
+    whole = toxicity.build_index(vocabulary, idf, examples, 0.3)
+    monkeypatch.setattr(toxicity, "HEAD", 5)
+    split = toxicity.build_index(vocabulary, idf, examples, 0.3)
+    for _ in range(40):
+        terms = np.sort(rng.choice(60, 9, replace=False))
+        counts = rng.integers(1, 5, 9)
+        np.testing.assert_allclose(split.neighbours(terms, counts)[1], whole.neighbours(terms, counts)[1],
+                                   atol=1e-12)
