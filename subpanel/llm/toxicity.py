@@ -35,7 +35,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import id_bucket, stored
@@ -45,6 +46,8 @@ TRAIN_ROWS = 20_000   # labelled examples, about
 HEAD = 512            # terms kept as a dense matrix
 SLACK = 1e-5          # more than single precision can be off by
 LANES = 128           # texts multiplied at a time
+CHUNK = 1 << 20       # postings handled at a time on the driver
+TASK_EXAMPLES = 1_000  # examples a task scores without themselves
 Z = 3.0               # deviations of a term's toxic rate that are conceded
 PREFIX = 4            # bytes of a stem
 NEIGHBOURS = 25
@@ -101,9 +104,11 @@ def _examples(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, l
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40  # numbered once: the rows are stored
         for batch in batches:
             for words in slices(batch.column(1), ALNUM):
                 owner, term, count = _counts(words)
+                row += words.n
                 bounds = np.searchsorted(owner, np.arange(words.n + 1)).astype(np.int32)
                 of, _, shingle = shingles(words, 5, whole_if_short=True)
                 sketch = np.zeros(words.n, dtype=np.uint64)
@@ -114,53 +119,88 @@ def _examples(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, l
                     [batch.column(0).slice(words.first, words.n),
                      batch.column(2).slice(words.first, words.n), pa.array(sketch.view(np.int64)),
                      pa.ListArray.from_arrays(bounds, pa.array(term.view(np.int64))),
-                     pa.ListArray.from_arrays(bounds, pa.array(count.astype(np.int32)))],
-                    names=["doc_id", "toxic", "sketch", "terms", "counts"])
+                     pa.ListArray.from_arrays(bounds, pa.array(count.astype(np.int32))),
+                     pa.array(np.arange(row - words.n, row))],
+                    names=["doc_id", "toxic", "sketch", "terms", "counts", "row"])
 
     described = stored(texts.select("doc_id", "text", "toxic").mapInArrow(
-        run, f"doc_id {id_type}, toxic int, sketch long, terms array<long>, counts array<int>"), "examples")
-    one = described.groupBy("sketch", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    return described.join(one, ["sketch", "toxic", "doc_id"]).dropDuplicates(["doc_id"])
+        run, f"doc_id {id_type}, toxic int, sketch long, terms array<long>, counts array<int>, row long"), "examples")
+    one = described.groupBy("sketch", "toxic").agg(F.min(F.struct("doc_id", "row")).alias("x")).groupBy(
+        "x.doc_id").agg(F.min("x.row").alias("row"))
+    return described.join(F.broadcast(one.select("row")), "row", "left_semi")
 
 
 @dataclass
 class Index:
-    """The examples that hold a term: a dense matrix of frequent terms, postings of the others."""
+    """Postings of all terms of the examples; matrix and weights are made where they are used."""
 
     vocabulary: np.ndarray   # sorted term hashes
     idf: np.ndarray
     unseen_idf: float        # of a term that isn't in the vocabulary
-    column: np.ndarray       # of each term in the matrix, -1 for terms with postings
-    head: np.ndarray         # weights, examples x frequent terms
     example: np.ndarray      # per posting, term by term and in example order
-    weight: np.ndarray
+    count: np.ndarray
     bounds: np.ndarray       # postings of each term: bounds[term] … bounds[term + 1]
-    toxic: np.ndarray        # per example
+    norm: np.ndarray         # per example
+    toxic: np.ndarray
     ids: list
     base_rate: float
     none_rate: float         # toxic rate of examples without a term
-    curve: tuple[np.ndarray, np.ndarray]  # calibration: votes, rates
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k in self.__dataclass_fields__}
+
+    @cached_property
+    def weight(self) -> np.ndarray:
+        out = 1 + np.log(self.count.astype(float))
+        out *= np.repeat(self.idf, np.diff(self.bounds))
+        out /= self.norm[self.example]
+        return out
+
+    @cached_property
+    def column(self) -> np.ndarray:
+        """Of the terms that most examples hold their column in ``head``, -1 for others."""
+        frequent = np.argsort(-np.diff(self.bounds), kind="stable")[:HEAD]
+        column = np.full(len(self.vocabulary), -1)
+        column[frequent] = np.arange(len(frequent))
+        return column
+
+    @cached_property
+    def head(self) -> np.ndarray:
+        """Weights of frequent terms, examples x columns."""
+        out = np.zeros((len(self.ids), int(self.column.max(initial=-1)) + 1))
+        for term in np.flatnonzero(self.column >= 0):
+            a, b = self.bounds[term], self.bounds[term + 1]
+            out[self.example[a:b], self.column[term]] = self.weight[a:b]
+        return out
 
     @cached_property
     def narrow(self) -> np.ndarray:
         return np.ascontiguousarray(self.head.T.astype(np.float32))
 
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "narrow"}
+    def own_weights(self, first: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(example - first, term, weight) of examples first … stop - 1, example by example."""
+        at = np.flatnonzero((self.example >= first) & (self.example < stop))
+        order = np.argsort(self.example[at], kind="stable")
+        at = at[order]
+        return (self.example[at].astype(np.int64) - first, np.searchsorted(self.bounds, at, "right") - 1,
+                self.weight[at])
+
+    def query_weights(self, text: np.ndarray, terms: np.ndarray, counts: np.ndarray, texts: int,
+                      unseen: np.ndarray) -> np.ndarray:
+        """Weights of texts' terms in unit vectors; ``unseen``: squares of a text's other weights."""
+        query = (1 + np.log(counts)) * self.idf[terms]
+        return query / np.sqrt(np.bincount(text, query * query, minlength=texts) + unseen)[text]
 
-    def nearest(self, text: np.ndarray, terms: np.ndarray, counts: np.ndarray, texts: int,
-                unseen: np.ndarray, k: int = NEIGHBOURS,
+    def nearest(self, text: np.ndarray, terms: np.ndarray, query: np.ndarray, texts: int,
+                k: int = NEIGHBOURS,
                 without: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Each text's k examples of largest cosine above 0 (ties: first example), and their cosines.
 
-        ``unseen``: squares of the weights of a text's other terms; ``without``: an example
-        a text that isn't met.
+        ``without``: an example a text that isn't met.
         """
-        query = (1 + np.log(counts)) * self.idf[terms]
-        norm = np.sqrt(np.bincount(text, query * query, minlength=texts) + unseen)
-        query = query / norm[text]
         at, column = np.searchsorted(text, np.arange(texts + 1)), self.column[terms]
-        low, size = self.bounds[terms], self.bounds[terms + 1] - self.bounds[terms]
+        low = self.bounds[terms]
+        size = np.where(column < 0, self.bounds[terms + 1] - low, 0)
         for start in range(0, texts, LANES):
             stop = min(start + LANES, texts)
             some = np.arange(at[start], at[stop])
@@ -192,15 +232,19 @@ class Index:
     def neighbours(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS,
                    without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine of one text whose terms are all known."""
-        return next(self.nearest(np.zeros(len(terms), np.int64), terms, counts, 1, np.zeros(1), k,
+        text = np.zeros(len(terms), np.int64)
+        return next(self.nearest(text, terms, self.query_weights(text, terms, counts, 1, np.zeros(1)), 1, k,
                                  np.array([without]) if without >= 0 else None))
 
     def vote(self, ids: np.ndarray, cosines: np.ndarray) -> float:
         weight = cosines ** 2
         return float((PRIOR * self.base_rate + (weight * self.toxic[ids]).sum()) / (PRIOR + weight.sum()))
 
-    def calibrated(self, vote: float) -> float:
-        return float(np.interp(vote, *self.curve))
+
+@dataclass
+class Fitted:
+    index: Broadcast
+    curve: tuple[np.ndarray, np.ndarray]  # calibration: votes, rates
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,40 +261,54 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             np.maximum.accumulate(np.array([(b + 0.5) / (n + 1) for _, b, n in pools])))
 
 
+def _smallest(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 def build_index(vocabulary: np.ndarray, idf: np.ndarray, examples: pd.DataFrame,
                 base_rate: float, unseen_idf: float = 1.0) -> Index:
     """``examples``: doc_id, toxic, terms (places in the vocabulary), counts; by doc_id."""
-    holds = examples["terms"].map(len).to_numpy() > 0
-    none = examples["toxic"][~holds]
-    kept = examples[holds].reset_index(drop=True)
-    terms = np.concatenate([*map(np.asarray, kept["terms"]), np.zeros(0, np.int64)]).astype(np.int64)
-    counts = np.concatenate([*map(np.asarray, kept["counts"]), np.zeros(0)])
-    example = np.repeat(np.arange(len(kept)), kept["terms"].map(len).to_numpy(dtype=np.int64))
-    weight = (1 + np.log(np.maximum(counts, 1))) * idf[terms] if len(terms) else np.zeros(0)
-    norm = np.sqrt(np.bincount(example, weight ** 2, minlength=len(kept)))
-    weight = weight / norm[example]
-    held = np.bincount(terms, minlength=len(vocabulary))
-    frequent = np.argsort(-held, kind="stable")[:HEAD]
-    column = np.full(len(vocabulary), -1)
-    column[frequent] = np.arange(len(frequent))
-    inside = column[terms] >= 0
-    head = np.zeros((len(kept), len(frequent)))
-    head[example[inside], column[terms[inside]]] = weight[inside]
-    terms, example, weight = terms[~inside], example[~inside], weight[~inside]
-    order = np.lexsort((example, terms))
-    terms, example, weight = terms[order], example[order].astype(np.int32), weight[order]
-    bounds = np.searchsorted(terms, np.arange(len(vocabulary) + 1))
-    toxic = kept["toxic"].to_numpy(dtype=float)
-    index = Index(vocabulary, idf, unseen_idf, column, head, example, weight, bounds, toxic,
-                  kept["doc_id"].tolist(), base_rate,
-                  float((none.sum() + 0.5 * base_rate) / (len(none) + 0.5)),
-                  (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
-    if len(kept) > 1:
-        votes = [index.vote(*index.neighbours(np.asarray(t, dtype=np.int64), np.asarray(c, dtype=float),
-                                              without=i))
-                 for i, (t, c) in enumerate(zip(kept["terms"], kept["counts"], strict=True))]
-        index.curve = _isotonic(np.array(votes), toxic)
-    return index
+    size = examples["terms"].map(len).to_numpy(dtype=np.int64)
+    return _index(vocabulary, idf, examples["doc_id"].tolist(), examples["toxic"].to_numpy(dtype=float), size,
+                  np.concatenate([*map(np.asarray, examples["terms"]), np.zeros(0, np.int64)]).astype(np.int32),
+                  np.concatenate([*map(np.asarray, examples["counts"]), np.zeros(0, np.int64)]).astype(np.int64),
+                  base_rate, unseen_idf)
+
+
+def _index(vocabulary: np.ndarray, idf: np.ndarray, ids: list, toxic: np.ndarray, size: np.ndarray,
+           terms: np.ndarray, counts: np.ndarray, base_rate: float, unseen_idf: float) -> Index:
+    """``terms`` and ``counts`` of all examples, one example after the other."""
+    holds = size > 0
+    none, kept = toxic[~holds], int(holds.sum())
+    example = np.repeat(_smallest(np.arange(kept)), size[holds])
+    square = np.zeros(kept)
+    for a in range(0, len(terms), CHUNK):
+        b = a + CHUNK
+        square += np.bincount(example[a:b], ((1 + np.log(counts[a:b].astype(float))) * idf[terms[a:b]]) ** 2,
+                              minlength=kept)
+    order = np.argsort(terms, kind="stable")
+    bounds = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=len(vocabulary)))))
+    return Index(vocabulary, idf, unseen_idf, example[order], _smallest(counts)[order], bounds, np.sqrt(square),
+                 toxic[holds], [x for x, y in zip(ids, holds, strict=True) if y], base_rate,
+                 float((none.sum() + 0.5 * base_rate) / (len(none) + 0.5)))
+
+
+def own_votes(spark: SparkSession, shared: Broadcast, count: int) -> pd.DataFrame:
+    """(vote, toxic) of an index's ``count`` examples, each scored without itself; tasks share the work."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for batch in batches:
+            for first in batch.column(0).to_pylist():
+                stop = min(first + TASK_EXAMPLES, count)
+                text, term, weight = index.own_weights(first, stop)
+                found = index.nearest(text, term, weight, stop - first, without=np.arange(first, stop))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([index.vote(*x) for x in found], pa.float64()), pa.array(index.toxic[first:stop])],
+                    names=["vote", "toxic"])
+
+    return spark.range(0, count, TASK_EXAMPLES, -(-count // TASK_EXAMPLES)).mapInArrow(
+        run, "vote double, toxic double").toArrow().to_pandas()
 
 
 def _relevance(held: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
@@ -262,28 +320,43 @@ def _relevance(held: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
 
 
 def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          label: str = "toxic", rows: int = TRAIN_ROWS) -> Index | None:
-    """The index of a bounded sample of ``labels``; idf counts every document."""
-    examples = stored(_examples(documents, labels, doc_id, text, label, rows), "distinct-examples")
-    total, toxic = examples.agg(F.count("*"), F.sum("toxic")).first()
-    if not total:
+          label: str = "toxic", rows: int = TRAIN_ROWS) -> Fitted | None:
+    """The index of a bounded sample of ``labels``, broadcast once, and its curve; idf counts every document."""
+    found = _examples(documents, labels, doc_id, text, label, rows).select(
+        "doc_id", "toxic", "terms", "counts").toArrow()  # TRAIN_ROWS texts' terms
+    if not len(found):
         return None
-    base = toxic / total
-    found = examples.orderBy("doc_id").select("doc_id", "toxic", "terms", "counts").toArrow()  # TRAIN_ROWS texts' terms
-    terms, counts = (found[x].combine_chunks() for x in ("terms", "counts"))
-    hashes = terms.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    vocabulary, place = np.unique(hashes, return_inverse=True)
+    ids = found["doc_id"].to_pylist()
+    toxic = found["toxic"].to_numpy().astype(float)
+    size = pc.list_value_length(found["terms"]).to_numpy().astype(np.int64)
+    flat = lambda name, kind: np.concatenate([
+        x.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False) for x in found[name].chunks])
+    counts, hashes = _smallest(flat("counts", np.int32)), flat("terms", np.int64).view(np.uint64)
+    del found
+    pa.default_memory_pool().release_unused()
+    vocabulary = np.unique(hashes)
+    place = np.concatenate([np.searchsorted(vocabulary, hashes[a:a + CHUNK]).astype(np.int32)
+                            for a in range(0, max(len(hashes), 1), CHUNK)])
+    del hashes
+    order, at = sorted(range(len(ids)), key=ids.__getitem__), np.concatenate(([0], np.cumsum(size)))
+    by_id = lambda x: np.concatenate([x[at[i]:at[i + 1]] for i in order])
+    place, counts = by_id(place), by_id(counts)
+    ids, toxic, size = [ids[i] for i in order], toxic[order], size[order]
+    base = float(toxic.mean())
     frequency, documents_n = _document_frequency(documents, text, vocabulary)
     idf = np.log((1 + documents_n) / (1 + frequency)) + 1
-    rows_ = found.select(["doc_id", "toxic"]).to_pandas()
-    ends = np.cumsum(pc.list_value_length(terms).to_numpy(zero_copy_only=False))[:-1]
-    held = np.bincount(place, minlength=len(vocabulary))
-    toxic_held = np.bincount(place, np.repeat(rows_["toxic"].to_numpy(dtype=float), pc.list_value_length(terms)),
-                             minlength=len(vocabulary))
-    idf *= _relevance(held, toxic_held, base)
-    rows_["terms"] = np.split(place, ends)
-    rows_["counts"] = np.split(counts.flatten().to_numpy(zero_copy_only=False), ends)
-    return build_index(vocabulary, idf, rows_, float(base), float(np.log((1 + documents_n) / 2) + 1))
+    idf *= _relevance(np.bincount(place, minlength=len(vocabulary)),
+                      np.bincount(place[np.repeat(toxic > 0, size)], minlength=len(vocabulary)), base)
+    index = _index(vocabulary, idf, ids, toxic, size, place, counts, base,
+                   float(np.log((1 + documents_n) / 2) + 1))
+    del place, counts
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(index)
+    curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    if len(index.ids) > 1:
+        votes = own_votes(spark, shared, len(index.ids))
+        curve = _isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy())
+    return Fitted(shared, curve)
 
 
 def _document_frequency(documents: DataFrame, text: str, vocabulary: np.ndarray):
@@ -308,15 +381,14 @@ def _document_frequency(documents: DataFrame, text: str, vocabulary: np.ndarray)
     return frequency[:-1], frequency[-1]
 
 
-def score(documents: DataFrame, index: Index | None, doc_id: str = "doc_id",
+def score(documents: DataFrame, fitted: Fitted | None, doc_id: str = "doc_id",
           text: str = "text") -> DataFrame:
     """One row per document: doc_id, score, nearest example and its cosine."""
     id_type = documents.select(doc_id).schema[0].dataType.simpleString()
-    shared = documents.sparkSession.sparkContext.broadcast(index)
     arrow_id = pa.string() if id_type == "string" else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = fitted.index.value if fitted else None
         for batch in batches:
             n = batch.num_rows
             scores = np.full(n, index.none_rate if index else 0.0)
@@ -325,10 +397,11 @@ def score(documents: DataFrame, index: Index | None, doc_id: str = "doc_id",
                 owner, term, count, other, times = _known_counts(words, index.vocabulary)
                 unseen = np.bincount(other, ((1 + np.log(times)) * index.unseen_idf) ** 2, minlength=words.n)
                 has, text_ = np.unique(owner, return_inverse=True)
-                found = index.nearest(text_, term, count, len(has), unseen[has])
+                query = index.query_weights(text_, term, count, len(has), unseen[has])
+                found = index.nearest(text_, term, query, len(has))
                 for t, (ids, cosines) in zip(has, found, strict=True):
                     at = words.first + t
-                    scores[at] = index.calibrated(index.vote(ids, cosines))
+                    scores[at] = np.interp(index.vote(ids, cosines), *fitted.curve)
                     if len(ids):
                         nearest[at], cosine[at] = index.ids[ids[0]], float(cosines[0])
             yield pa.RecordBatch.from_arrays(
@@ -343,8 +416,8 @@ def score(documents: DataFrame, index: Index | None, doc_id: str = "doc_id",
 def toxicity(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
              text: str = "text") -> DataFrame:
     """Scores of all documents, learnt from labels whose id hash modulo 4 isn't 2."""
-    index = train(documents, labels.where(id_bucket(doc_id, 4) != 2), doc_id, text)
-    scored = score(documents, index, doc_id, text)
+    fitted = train(documents, labels.where(id_bucket(doc_id, 4) != 2), doc_id, text)
+    scored = score(documents, fitted, doc_id, text)
     return scored.select(
         "doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "score",
         (F.col("score") >= PREDICT_AT).cast("int").alias("predicted"), "nearest_id", "nearest_cosine")

@@ -63,8 +63,8 @@ def test_all_terms_take_part(spark, monkeypatch):
     rows += [(100, plain[4].upper()), (101, "w5x " + " ".join(f"other{i}" for i in range(60)))]
     documents = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i == 4)) for i in range(12)], "doc_id long, toxic int")
-    index = toxicity.train(documents, labels)
-    got = {r["doc_id"]: r for r in toxicity.score(documents, index).collect()}
+    fitted = toxicity.train(documents, labels)
+    got = {r["doc_id"]: r for r in toxicity.score(documents, fitted).collect()}
     assert got[100]["nearest_id"] == 4 and abs(got[100]["nearest_cosine"] - 1) < 1e-9
     assert got[101]["nearest_id"] == 5 and got[101]["nearest_cosine"] < 0.5
 
@@ -84,3 +84,18 @@ def test_postings_and_matrix_give_one_cosine(monkeypatch):
         counts = rng.integers(1, 5, 9)
         np.testing.assert_allclose(split.neighbours(terms, counts)[1], whole.neighbours(terms, counts)[1],
                                    atol=1e-12)
+
+
+def test_own_votes_by_tasks(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TASK_EXAMPLES", 7)
+    rng = np.random.default_rng(3)
+    vocabulary = np.arange(1, 41, dtype=np.uint64)
+    rows = [(int(i), int(rng.random() < 0.4), np.sort(rng.choice(40, n, replace=False)).tolist(),
+             rng.integers(1, 5, n).tolist()) for i, n in enumerate(rng.integers(0, 9, 60))]
+    index = toxicity.build_index(vocabulary, np.ones(40), pd.DataFrame(
+        rows, columns=["doc_id", "toxic", "terms", "counts"]), 0.4)
+    votes = toxicity.own_votes(spark, spark.sparkContext.broadcast(index), len(index.ids))
+    place = {x: i for i, x in enumerate(index.ids)}
+    want = [(index.vote(*index.neighbours(np.array(terms), np.array(counts), without=place[i])), t)
+            for i, t, terms, counts in rows if terms]
+    np.testing.assert_allclose(sorted(map(tuple, votes[["vote", "toxic"]].to_numpy())), sorted(want), atol=1e-12)
