@@ -3,19 +3,22 @@
 For each language a suffix automaton of a sample of its labelled text gives,
 from any place of a new text, the longest string that also occurs in the
 sample. Parsing the new text greedily into such longest matches needs few
-phrases where the languages agree and many where they don't (the
-Ziv-Merhav cross-parsing estimate of cross entropy). The language with the
-fewest phrases per character wins.
+phrases where the languages agree and many where they don't. Phrases times
+the logarithm of the sample's length (and of the symbols there are), per
+character, is the Ziv-Merhav cross-parsing estimate of cross entropy; the
+language with the least wins.
 
 Training text is a bounded sample: per language the ``SAMPLE_DOCS`` labelled
-documents of smallest id hash, up to ``SAMPLE_CHARS`` characters in all; every
-language gets the same number of characters, so phrase counts compare. Every
+documents of smallest id hash, up to ``SAMPLE_CHARS`` characters in all. Each
+automaton is built from its language's whole sample, so a language with little
+text weakens itself alone. Every
 text to label is parsed whole, in pieces of ``PIECE`` characters (a phrase
 ends at a piece's end), all languages and many pieces in step.
 
 Defined results: ``und`` with score 0 for a null text, a text without a
-letter, and any text if nothing is labelled. Ties go to the language first by
-code point. Each input row gives one output row; other columns aren't read.
+letter, and any text if nothing is labelled. Symbols that no sample has count
+the same for all languages; a text of no other letters is a tie. Ties go to
+the language first by code point. Each input row gives one output row; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -53,13 +56,15 @@ class Parser:
 
     Row r of ``moves`` is a state, column c a symbol; the entry is the next
     state times the number of symbols, 0 where the string doesn't occur.
-    ``roots`` are the languages' first rows (row 0 is never a state).
+    ``roots`` are the languages' first rows (row 0 is never a state);
+    ``costs`` are the bits a phrase of each language takes.
     """
 
     languages: list[str]
     alphabet: np.ndarray
     moves: np.ndarray
     roots: np.ndarray
+    costs: np.ndarray
 
     @property
     def width(self) -> int:
@@ -96,12 +101,15 @@ def _automaton(symbols: list[int]) -> list[dict[int, int]]:
     return moves
 
 
+def _phrase_costs(lengths: np.ndarray, alphabet: int) -> np.ndarray:
+    """Bits of naming a place in each sample or a symbol outright."""
+    return np.log2(np.maximum(lengths + alphabet, 2))
+
+
 def build_parser(samples: dict[str, str]) -> Parser:
-    """The parser of the languages' sample texts, cut to the shortest sample's length."""
+    """The parser of the languages' sample texts, each of its own length."""
     languages = sorted(samples)
     texts = [symbols_of(samples[x]) for x in languages]
-    least = min(len(x) for x in texts)
-    texts = [x[:least] for x in texts]
     alphabet = np.unique(np.concatenate(texts))
     width = len(alphabet) + 1
     automata = [_automaton((np.searchsorted(alphabet, x) + 1).tolist()) for x in texts]
@@ -114,7 +122,8 @@ def build_parser(samples: dict[str, str]) -> Parser:
             for symbol, target in out.items():
                 moves[state * width + symbol] = (target + first) * width
         first += len(automaton)
-    return Parser(languages, alphabet, moves, np.array(roots, dtype=np.int32))
+    costs = _phrase_costs(np.array([len(x) for x in texts]), len(alphabet))
+    return Parser(languages, alphabet, moves, np.array(roots, dtype=np.int32), costs)
 
 
 def phrase_counts(parser: Parser, pieces: list[np.ndarray]) -> np.ndarray:
@@ -171,12 +180,14 @@ def identify(parser: Parser | None, texts: list[str | None],
             pieces.clear()
             owner.clear()
 
-    size = np.zeros(len(texts), dtype=np.int64)
+    size, unseen, letters = np.zeros((3, len(texts)), dtype=np.int64)
+    blank = table[32]
     for i, text in enumerate(texts):
         if not text or not any(map(str.isalpha, text)):
             continue
         symbols = table[symbols_of(text)]
-        size[i] = len(symbols)
+        size[i], unseen[i] = len(symbols), np.count_nonzero(symbols == 0)
+        letters[i] = np.count_nonzero((symbols != 0) & (symbols != blank))
         for at in range(0, len(symbols), piece):
             pieces.append(symbols[at:at + piece])
             owner.append(i)
@@ -184,10 +195,11 @@ def identify(parser: Parser | None, texts: list[str | None],
                 flush()
     flush()
     for i in np.flatnonzero(size):
-        rate = total[i] / size[i]
+        bits = (total[i] - unseen[i]) * parser.costs + unseen[i] * parser.costs.max()
+        rate = (bits if letters[i] else np.full(len(bits), parser.costs.max())) / size[i]
         order = np.lexsort((np.arange(len(rate)), rate))
         labels[i] = parser.languages[order[0]]
-        second = rate[order[1]] if len(order) > 1 else 1.0
+        second = rate[order[1]] if len(order) > 1 else parser.costs[0]
         scores[i] = float(second / (rate[order[0]] + second))
     return labels, scores
 

@@ -51,3 +51,18 @@ def test_messy_and_empty(messy):
     assert language.identify_languages(messy.limit(0), messy).count() == 0
     nothing = language.identify_languages(messy, messy.limit(0)).collect()
     assert {r["lang_pred"] for r in nothing} == {"und"}
+
+
+def test_a_language_of_one_sentence_weakens_itself_alone(docs_of):
+    rng = np.random.default_rng(2)
+    words = {"en": "the cat sat on mat and dog with house river stone which under never".split(),
+             "de": "der hund und die katze auf dem stuhl nicht haus fluss stein welche unter".split()}
+    rows = [(i, " ".join(rng.choice(words[x], 30)), x) for i, x in enumerate(["en", "de"] * 40)]
+    training = docs_of([*rows, (1000, "bu kedi çok iyi", "tr")])
+    new = [(i, " ".join(rng.choice(words[x], 12)), x) for i, x in enumerate(["en", "de"] * 40, 2000)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify_languages(docs_of(new), training).collect()}
+    assert got == {i: x for i, _, x in new}
+    samples = language.training_samples(training)
+    parser = language.build_parser(samples)
+    assert language.identify(parser, ["bu kedi çok iyi"])[0] == ["tr"]
+    assert language.identify(parser, ["жж шш"])[0] == ["de"]  # no known letter: a tie
