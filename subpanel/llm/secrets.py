@@ -12,7 +12,11 @@ is the number of guesses an attacker needs. A value is a secret from
 Offsets are code points, ends exclusive. Kinds: assign, access, hex, and
 ``guess`` for the method's own spans; a guess that overlaps a base span isn't
 listed again. Each kind's matches are leftmost, without overlap; failing
-matches are dropped after matching.
+matches are dropped after matching. A context value ends at its closing quote,
+before a separator that another field's name follows, or at the next blank; the
+search goes on right behind it. The guess cost alone decides on it, except
+that letters that read like words ("password is unforgettable", "basic
+principles") are no secret where only a blank stands before them.
 
 Defined results: null and empty texts hold nothing; each input row gives one
 output row (repeated rows and null ids too); an empty table gives an empty
@@ -37,6 +41,7 @@ KINDS = ("assign", "access", "hex", "guess")
 MIN_LOG10 = 10.0   # a value that takes 10^10 guesses or more is a secret
 MIN_CHARS = 8      # of a value
 WINDOW = 40        # longest part of a segmentation
+CONSONANTS = 5     # in a row: not a word
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -53,6 +58,11 @@ CONTEXT = re.compile(
     r"""|credentials?)["']?\x20*(?:=>|:=|[:=]|\x20is\x20|\x20)\x20*["'`]?"""
     r"""|(?<![A-Za-z])(?:bearer|basic)\x20+)([!-~]{%d,})""" % MIN_CHARS,
     re.IGNORECASE | re.ASCII)
+_QUOTES = "\"'`"
+# A quote that closes the value, or a separator with the next field's name behind it.
+_NEXT_FIELD = re.compile(
+    r"""["'`](?=[,;&}\])]|$)|["'`]?[,;&]["'`{\[]*[A-Za-z_][A-Za-z0-9_.-]*["'`]?[=:]""", re.ASCII)
+_BARE = re.compile(r"[A-Za-z]\x20+$", re.ASCII)  # nothing but a blank, or "is", before the value
 MAY_CONTEXT = (r"(?i:pwd|passphrase|pass[_ -]?word|passwd|secret|access[_ -]?key|private[_ -]?key"
                r"|api[_ -]?key|auth[_ -]?token|token|credential|bearer|basic)")
 
@@ -175,9 +185,24 @@ def guess_log10(value: str) -> float:
     return best[n]
 
 
-def _trimmed(value: str) -> str:
-    """A context value without the punctuation that closes it."""
-    return value.rstrip("\"'`,;.)]}>")
+def _context_value(text: str, m: re.Match) -> str:
+    """A context match's value: up to its closing quote or the next field, without closing punctuation."""
+    run, opening = m[1], text[m.start(1) - 1]
+    if opening in _QUOTES:
+        closing = re.search(r"(?<!\\)" + opening, run)
+        if closing:
+            return run[:closing.start()]
+    following = _NEXT_FIELD.search(run)
+    return (run[:following.start()] if following else run).rstrip("\"'`,;.)]}>")
+
+
+def _word_like(value: str) -> bool:
+    """Letters alone that may be words: each part between capitals has a vowel and three letters."""
+    letters = value.rstrip(".,;:!?")
+    parts = re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", letters)
+    return bool(re.fullmatch(r"[A-Za-z]+", letters)) and all(
+        len(x) >= 3 and re.search("[aeiouy]", x, re.IGNORECASE)
+        and not re.search("[^aeiouy]{%d}" % CONSONANTS, x, re.IGNORECASE) for x in parts)
 
 
 def scan_text(text: str, base: bool = True, context: bool = True) -> list[tuple]:
@@ -195,13 +220,15 @@ def scan_text(text: str, base: bool = True, context: bool = True) -> list[tuple]
             spans.append(("hex", m.start(), m.end(), m.start(), m.end(), guess_log10(m[0])))
     if context:
         taken = sorted((x[1], x[2]) for x in spans)
-        for m in CONTEXT.finditer(text):
-            value = _trimmed(m[1])
-            start, end = m.start(1), m.start(1) + len(value)
+        at = 0
+        while m := CONTEXT.search(text, at):
+            value = _context_value(text, m)
+            start = m.start(1)
+            end = at = start + len(value)  # the search goes on behind the value, not behind its line
             if len(value) < MIN_CHARS or any(a < end and start < b for a, b in taken):
                 continue
             cost = guess_log10(value)
-            if cost >= MIN_LOG10 and not re.fullmatch(r"[A-Za-z]+[.,;:!?]*", value):
+            if cost >= MIN_LOG10 and not (_BARE.search(m[0][:start - m.start()]) and _word_like(value)):
                 spans.append(("guess", start, end, start, end, cost))
     spans.sort(key=lambda x: (x[1], KINDS.index(x[0])))
     return spans

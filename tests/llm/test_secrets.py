@@ -66,3 +66,27 @@ def test_messy_and_empty(messy):
     assert len(rows) == messy.count()
     assert all(r["spans"] == "" and r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in rows)
     assert secrets.scan_digest(messy.limit(0)).count() == 0
+
+
+def test_context_values_end_at_their_field():
+    def guesses(text):
+        return [text[x[3]:x[4]] for x in secrets.scan_text(text) if x[0] == "guess"]
+
+    assert guesses('{"pwd":"zX9$kQ2!mW7p","token":"abcdefgh12"}') == ["zX9$kQ2!mW7p"]
+    assert guesses("pwd=zX9$kQ2!mW7p&token=abcdefgh12") == ["zX9$kQ2!mW7p"]
+    assert guesses('{"pwd":"short","passphrase":"zX9$kQ2!mW7p","pwd":"v8Qe-2Lr_7TzP0wd"}') == [
+        "zX9$kQ2!mW7p", "v8Qe-2Lr_7TzP0wd"]
+    assert guesses("pwd=zX9$kQ2!mW7p;passphrase=v8Qe-2Lr_7TzP0wd;x=1") == ["zX9$kQ2!mW7p", "v8Qe-2Lr_7TzP0wd"]
+    # separators within a value don't cut it
+    assert guesses("pwd: zX9$k&2,mW;7p") == ["zX9$k&2,mW;7p"]
+
+
+def test_values_of_letters():
+    def guesses(text):
+        return [text[x[3]:x[4]] for x in secrets.scan_text(text) if x[0] == "guess"]
+
+    assert guesses("pwd: QxZvKjWpRtLmNbGh") == ["QxZvKjWpRtLmNbGh"]
+    assert guesses("Authorization: Bearer QxZvKjWpRtLmNbGh") == ["QxZvKjWpRtLmNbGh"]
+    assert guesses("pwd=oxakitulorenabi") == ["oxakitulorenabi"]
+    assert guesses("the pwd is unforgettable, of basic principles") == []
+    assert guesses("pwd: changeme") == []
