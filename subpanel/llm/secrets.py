@@ -21,8 +21,9 @@ principles") are no secret where only a blank stands before them.
 Defined results: null and empty texts hold nothing; each input row gives one
 output row (repeated rows and null ids too); an empty table gives an empty
 result; other columns aren't read. Values of any length are scored: the
-program looks back at most ``WINDOW`` characters for one part, so its work
-and memory per value grow only in proportion to its length.
+program looks back at most ``WINDOW`` characters for one part (and at the
+whole of a longer repeat, sequence or walk), so its work and memory per value
+grow only in proportion to its length.
 """
 
 from __future__ import annotations
@@ -141,6 +142,11 @@ def _word_log10(part: str) -> float | None:
     return math.log10(guesses)
 
 
+def _sizes(least: int, run: int) -> list[int]:
+    """Sizes of parts that end a run: all up to WINDOW, and the whole run."""
+    return [*range(least, min(run, WINDOW) + 1), *([run] if run > WINDOW else [])]
+
+
 @lru_cache(maxsize=100_000)
 def guess_log10(value: str) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` takes.
@@ -163,12 +169,11 @@ def guess_log10(value: str) -> float:
             walk_run = walk_run + 1 if _adjacent(value[j - 2], value[j - 1]) else 0
         joint = lambda i, cost: best[i] + cost + (math.log10(2) if i else 0.0)
         cheapest = best[j - 1] + per_char           # brute force goes on by one character
-        if repeat_run >= 3:
-            cheapest = min(cheapest, joint(j - repeat_run, per_char + math.log10(repeat_run)))
-        if sequence_run >= 3:
-            cheapest = min(cheapest, joint(j - sequence_run, per_char + math.log10(2 * sequence_run)))
-        if walk_run >= 3:                           # a walk of walk_run + 1 keys
-            keys = walk_run + 1
+        for size in _sizes(3, repeat_run):
+            cheapest = min(cheapest, joint(j - size, per_char + math.log10(size)))
+        for size in _sizes(3, sequence_run):
+            cheapest = min(cheapest, joint(j - size, per_char + math.log10(2 * size)))
+        for keys in _sizes(4, walk_run + 1):        # a walk of walk_run steps has one key more
             cheapest = min(cheapest, joint(j - keys, math.log10(47 * keys * 4.6) + 0.3 * keys))
         for size in range(2, min(j, _LONGEST_WORD) + 1):
             cost = _word_log10(value[j - size:j])

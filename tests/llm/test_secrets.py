@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 
 from subpanel.llm import secrets
@@ -90,3 +92,44 @@ def test_values_of_letters():
     assert guesses("pwd=oxakitulorenabi") == ["oxakitulorenabi"]
     assert guesses("the pwd is unforgettable, of basic principles") == []
     assert guesses("pwd: changeme") == []
+
+
+def enumerated(value):
+    """Least cost over every segmentation of a short value, each part tried as every kind."""
+    per_char = math.log10(secrets._alphabet(value))
+    near = lambda part: all(map(secrets._adjacent, part, part[1:]))
+
+    def parts(i, j):
+        part, steps = value[i:j], {ord(b) - ord(a) for a, b in zip(value[i:j], value[i + 1:j], strict=False)}
+        if len(part) >= 3 and steps == {0}:
+            yield per_char + math.log10(len(part))
+        if len(part) >= 3 and steps in ({1}, {-1}):
+            yield per_char + math.log10(2 * len(part))
+        if len(part) >= 4 and near(part):
+            yield math.log10(47 * len(part) * 4.6) + 0.3 * len(part)
+        if len(part) >= 2 and (cost := secrets._word_log10(part)) is not None:
+            yield cost
+        if len(part) >= 4 and secrets._DATE.fullmatch(part):
+            yield math.log10(365.0 * 120 if len(part) > 4 else 120.0)
+
+    def least(j):
+        if j == 0:
+            return 0.0
+        best = least(j - 1) + per_char
+        for i in range(j):
+            for cost in parts(i, j):
+                best = min(best, least(i) + cost + (math.log10(2) if i else 0.0))
+            if j - i >= 2 and value[max(0, 2 * i - j):i] == value[i:j]:
+                best = min(best, least(i) + math.log10(2))
+        return best
+    return least(len(value))
+
+
+def test_guess_cost_equals_an_enumeration():
+    rng = random.Random(6)
+    values = ["dragonnnn", "dragonmlk", "mayyyy", "1999999", "redfgh", "test345", "abcdcba", "keyuiop", "oneeerty"]
+    pieces = ["nnn", "abc", "321", "may", "red", "rty", "1999", "yui", "key", "x", "7", "ee", "dfgh", "aa"]
+    values += ["".join(rng.choices(pieces, k=3))[:9] for _ in range(150)]
+    for value in values:
+        assert abs(secrets.guess_log10(value) - enumerated(value)) < 1e-9, value
+    assert secrets.guess_log10("dragonnnn") < secrets.guess_log10("dragonqzx")
