@@ -69,7 +69,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontamination.decontaminated(
-        docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+        docs, read_table(spark, sf_dir, "benchmark", ["item_id", "text"]), least_words=1)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A document is contaminated by a benchmark item if some run of its words is
 within ``floor(MAX_EDITS * n)`` word edits of the item's n words. Words are
 lower-cased runs of digits, letters a-z and non-ASCII characters, so case,
-punctuation and line breaks make no difference.
+punctuation and line breaks make no difference; in scripts without blanks
+(Chinese, Japanese, Thai, ...) every character is a word.
 
 The CGK walk reads a sequence of words with a pointer; at step j a random bit
 of (repetition, j, word) says whether the pointer moves on. Sequences a few
@@ -18,17 +19,24 @@ Windows without any three words in a row of an item at the right place are
 not walked: at that many edits an item of ``MIN_WORDS`` or more words keeps
 three words in a row intact, so such windows can't match.
 
+Items of fewer words keep no such run; they are looked up by the hash of all
+their words, and items of five words, which may have one edit, also by the
+hashes of what one edit leaves.
+
 The benchmark is broadcast in parts of ``PART_WORDS`` words at most; a larger
 one takes more passes over the documents, not more memory.
 
 Defined results: pairs alone are returned, so null, empty and clean texts give
-no row; an item of fewer than ``MIN_WORDS`` words matches nothing; equal
+no row; an item without a word matches nothing, and so does one of fewer than
+``least_words`` words (``LEAST_WORDS`` unless the caller says otherwise; the
+registered query and the pipeline say 1); equal
 items and repeated rows each give their own pairs; null ids are kept; with an
 empty table of either kind the result is empty; other columns aren't read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +49,7 @@ from .textops import ALNUM, Words, mix, shingles, slices
 
 MAX_EDITS = 0.2
 MIN_WORDS = 6        # from here on three words in a row survive MAX_EDITS
+LEAST_WORDS = 3      # of an item, unless the caller says otherwise
 GRAM = 3
 REPEATS = 32
 SAMPLED = 3
@@ -64,6 +73,7 @@ class Items:
     seed_place: np.ndarray
     keys: np.ndarray         # sorted sampled-step keys of all repetitions
     key_item: np.ndarray
+    short: dict[tuple, tuple[np.ndarray, np.ndarray]]  # (run's words, word left out, edits): sorted hashes, items
 
 
 def sampled_steps(sizes: np.ndarray, repeat: int) -> np.ndarray:
@@ -107,8 +117,64 @@ def window_rows(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.nd
     return np.where(column[None, :] < size[:, None], np.append(words, np.uint64(0))[place], np.uint64(0))
 
 
-def prepare(ids: list, texts: list[str]) -> Items:
-    parts = list(slices(pa.array(texts, pa.string()), ALNUM))
+def _run_hashes(words: np.ndarray, start: np.ndarray, size: int, without: int | None) -> np.ndarray:
+    """Hashes of words[start:start + size], one place of them left out."""
+    total = np.full(len(start), size - (without is not None), dtype=np.uint64)
+    for j in range(size):
+        if j != without:
+            total = mix(total * _KEY + words[start + j])
+    return total
+
+
+def _short_keys(words: np.ndarray, first: np.ndarray, size: np.ndarray,
+                least_words: int) -> dict[tuple, tuple[np.ndarray, np.ndarray]]:
+    """Keys of items under MIN_WORDS words by the kind of run they are compared with.
+
+    A kind is (words of the run, place of the run's word that is left out, edits).
+    """
+    kinds: dict[tuple, list[tuple[np.ndarray, np.ndarray]]] = {}
+    for n in range(max(least_words, 1), MIN_WORDS):
+        item = np.flatnonzero(size == n)
+        if not len(item):
+            continue
+        whole = _run_hashes(words, first[item], n, None)
+        kinds.setdefault((n, None, 0), []).append((whole, item))
+        if int(MAX_EDITS * n):  # one edit
+            for j in range(n):
+                less = _run_hashes(words, first[item], n, j)
+                kinds.setdefault((n - 1, None, 1), []).append((less, item))  # word j is missing
+                kinds.setdefault((n, j, 1), []).append((less, item))         # another word at j
+                kinds.setdefault((n + 1, j + 1, 1), []).append((whole, item))  # one more word at j + 1
+    out = {}
+    for kind, found in kinds.items():
+        key, item = map(np.concatenate, zip(*found, strict=True))
+        order = np.argsort(key, kind="stable")
+        out[kind] = key[order], item[order]
+    return out
+
+
+def _short_matches(words: Words, items: Items,
+                   best: dict[tuple[int, int], tuple[int, int, int]]) -> None:
+    """Adds the best runs of items under MIN_WORDS words to ``best``."""
+    count, text_of = len(words.hash), words.text_of
+    for (size, without, edits), (keys, item) in items.short.items():
+        start = np.arange(max(count - size + 1, 0))
+        start = start[text_of[start] == text_of[start + size - 1]]
+        window, key = _expand(keys, _run_hashes(words.hash, start, size, without))
+        # each text's and item's first run of the kind
+        owner, found = text_of[start[window]], item[key]
+        at = start[window] - words.bounds[owner]
+        order = np.lexsort((at, found, owner))
+        owner, found, at = owner[order], found[order], at[order]
+        new = np.flatnonzero(np.concatenate((
+            [True], (owner[1:] != owner[:-1]) | (found[1:] != found[:-1])))[:len(owner)])
+        for o, i, a in zip(owner[new].tolist(), found[new].tolist(), at[new].tolist(), strict=True):
+            run = (edits, a, a + size)
+            best[o, i] = min(best.get((o, i), run), run)
+
+
+def prepare(ids: list, texts: list[str], least_words: int = LEAST_WORDS) -> Items:
+    parts = list(slices(pa.array(texts, pa.string()), ALNUM, single=True))
     words = np.concatenate([np.zeros(0, np.uint64), *[p.hash for p in parts]])
     size = np.concatenate([np.zeros(0, np.int64), *[np.diff(p.bounds) for p in parts]])
     first = np.cumsum(size) - size
@@ -126,7 +192,7 @@ def prepare(ids: list, texts: list[str]) -> Items:
     keys = walk_keys(window_rows(words, first[usable], size[usable]), size[usable]).ravel()
     by_key = np.argsort(keys, kind="stable")
     return Items(ids, words, first, size, seed[order], item[order], place[order], keys[by_key],
-                 np.tile(usable, REPEATS)[by_key])
+                 np.tile(usable, REPEATS)[by_key], _short_keys(words, first, size, least_words))
 
 
 def _expand(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,11 +225,20 @@ def fit_distance(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
 
 def matches(words: Words, items: Items) -> list[tuple[int, int, int, int, int]]:
     """(text, item, first word, end word, edits): each item's best run in each text."""
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    _short_matches(words, items, best)
+    _long_matches(words, items, best)
+    return [(t, int(i), a, b, cost) for (t, i), (cost, a, b) in sorted(best.items())]
+
+
+def _long_matches(words: Words, items: Items,
+                  best: dict[tuple[int, int], tuple[int, int, int]]) -> None:
+    """Adds the best runs of items of MIN_WORDS words or more to ``best``."""
     text, position, token = shingles(words, GRAM)
     place = np.minimum(np.searchsorted(items.seeds, token), max(len(items.seeds) - 1, 0))
     hit = np.flatnonzero(items.seeds[place] == token) if len(items.seeds) else np.zeros(0, np.int64)
     if not len(hit):
-        return []
+        return
     which, seed = _expand(items.seeds, token[hit])
     at, owner = position[hit][which], text[hit][which]
     start = np.maximum(at - items.seed_place[seed], words.bounds[owner])
@@ -179,7 +254,6 @@ def matches(words: Words, items: Items) -> list[tuple[int, int, int, int, int]]:
         for keys in walk_keys(window_rows(words.hash, start[some], inside[some]), size[some]):
             window, key = _expand(items.keys, keys)
             pairs.append(np.stack((window + at, items.key_item[key]), axis=1))
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
     candidates, agreeing = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
     for window, item in candidates[np.argsort(-agreeing, kind="stable")]:  # likeliest first
         owner, n = int(owners[window]), int(items.size[item])
@@ -193,23 +267,23 @@ def matches(words: Words, items: Items) -> list[tuple[int, int, int, int, int]]:
         found = (cost, low + a - int(words.bounds[owner]), low + b - int(words.bounds[owner]))
         if cost <= edits and (known is None or found < known):
             best[owner, item] = found
-    return [(t, int(i), a, b, cost) for (t, i), (cost, a, b) in sorted(best.items())]
 
 
-def _parts(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[Items]:
+def _parts(benchmark: DataFrame, item_id: str, item_text: str, least_words: int) -> Iterator[Items]:
     """The benchmark in parts of bounded size, each prepared for matching."""
     items = benchmark.select(F.col(item_id).alias("item_id"), F.coalesce(item_text, F.lit("")).alias("t"))
-    characters = items.agg(F.sum(F.length("t"))).first()[0] or 0
-    count = max(1, -(-characters // (2 * PART_WORDS)))  # a word and its separator are two characters at least
+    # a word and its separator are two characters at least, in scripts without blanks one of three bytes or more
+    characters = items.agg(F.sum(F.length("t") + F.octet_length("t") / 3)).first()[0] or 0
+    count = max(1, math.ceil(characters / (2 * PART_WORDS)))
     for part in range(count):
         rows = items.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(count)) == part).collect()
         rows = sorted(rows, key=lambda r: (r[0] is None, r[0], r[1]))
-        yield prepare([r[0] for r in rows], [r[1] for r in rows])
+        yield prepare([r[0] for r in rows], [r[1] for r in rows], least_words)
 
 
 def contaminated_pairs(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
                        text: str = "text", item_id: str = "item_id",
-                       item_text: str = "text") -> DataFrame:
+                       item_text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, first_word, end_word, edits, similarity."""
     kinds = [documents.select(doc_id).schema[0].dataType.simpleString(),
              benchmark.select(item_id).schema[0].dataType.simpleString()]
@@ -217,13 +291,13 @@ def contaminated_pairs(documents: DataFrame, benchmark: DataFrame, doc_id: str =
               "similarity double")
     item_type = {"string": pa.string(), "int": pa.int32()}.get(kinds[1], pa.int64())
     out = None
-    for part in _parts(benchmark, item_id, item_text):
+    for part in _parts(benchmark, item_id, item_text, least_words):
         shared = documents.sparkSession.sparkContext.broadcast(part)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
             for batch in batches:
-                for words in slices(batch.column(1), ALNUM):
+                for words in slices(batch.column(1), ALNUM, single=True):
                     found = matches(words, items)
                     if found:
                         owner, item, first, end, edits = map(np.array, zip(*found, strict=True))
@@ -239,18 +313,19 @@ def contaminated_pairs(documents: DataFrame, benchmark: DataFrame, doc_id: str =
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text",
-                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+                   item_id: str = "item_id", item_text: str = "text",
+                   least_words: int = LEAST_WORDS) -> DataFrame:
     """The rows of ``documents`` in which no item is found, as they are and where they are."""
     names = documents.columns
     out = documents.toDF(*[f"c{i}" for i in range(len(names))])
     at = names.index(text)
-    for part in _parts(benchmark, item_id, item_text):
+    for part in _parts(benchmark, item_id, item_text, least_words):
         shared = documents.sparkSession.sparkContext.broadcast(part)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)
-                for words in slices(batch.column(at), ALNUM):
+                for words in slices(batch.column(at), ALNUM, single=True):
                     for owner, *_ in matches(words, shared.value):
                         clean[owner + words.first] = False
                 yield batch.filter(pa.array(clean))

@@ -41,7 +41,7 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated_pairs(
         read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
-        read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+        read_table(spark, sf_dir, "benchmark", ["item_id", "text"]), least_words=1)
 
 
 @register("op5_toxicity")

@@ -28,6 +28,14 @@ ALNUM[ord("0"):ord("9") + 1] = True
 ALNUM[ord("a"):ord("z") + 1] = True
 ALNUM[128:] = True
 
+# Scripts that are written without blanks, and full-width forms, as code points.
+UNSPACED = ((0x0E00, 0x0EFF), (0x0F00, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF),
+            (0xFE30, 0xFE4F), (0xFF00, 0xFFEF), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
+# Punctuation of theirs, a separator like ASCII punctuation.
+UNSPACED_MARKS = ((0x3000, 0x3004), (0x3008, 0x3020), (0x3030, 0x3030), (0x30FB, 0x30FB), (0xFE30, 0xFE4F),
+                  (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65), (0x0E2F, 0x0E2F),
+                  (0x0E5A, 0x0E5B), (0x0F0B, 0x0F14), (0x104A, 0x104B), (0x17D4, 0x17DA))
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = np.ones(1, dtype=np.uint64)
 
@@ -73,8 +81,12 @@ class Words:
 
 
 def slices(column: pa.Array, word_bytes: np.ndarray = NOT_SPACE,
-           slice_bytes: int = SLICE_BYTES) -> Iterator[Words]:
-    """Words of every text of a string column; null is the empty text."""
+           slice_bytes: int = SLICE_BYTES, single: bool = False) -> Iterator[Words]:
+    """Words of every text of a string column; null is the empty text.
+
+    ``single``: a character of a script without blanks is a word, and that
+    script's punctuation separates.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -86,19 +98,42 @@ def slices(column: pa.Array, word_bytes: np.ndarray = NOT_SPACE,
     while at < len(column):
         stop = max(at + 1, int(np.searchsorted(offsets, offsets[at] + slice_bytes, "right")) - 1)
         yield _words(at, raw[offsets[at]:offsets[stop]], offsets[at:stop + 1] - offsets[at],
-                     word_bytes)
+                     word_bytes, single)
         at = stop
 
 
-def _words(first: int, raw: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray) -> Words:
+def _characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of scripts without blanks: first byte, end, whether punctuation."""
+    first = np.flatnonzero(data >= 0xE0)
+    size = 3 + (data[first] >= 0xF0)
+    byte = lambda j: (data[np.minimum(first + j, len(data) - 1)] & 0x3F).astype(np.int64)
+    point = np.where(size == 3, ((data[first].astype(np.int64) & 0x0F) << 12) | (byte(1) << 6) | byte(2),
+                     ((data[first].astype(np.int64) & 0x07) << 18) | (byte(1) << 12) | (byte(2) << 6) | byte(3))
+    inside = lambda ranges: np.any([(point >= a) & (point <= b) for a, b in ranges], axis=0)
+    has = inside(UNSPACED)
+    return first[has], (first + size)[has], inside(UNSPACED_MARKS)[has]
+
+
+def _words(first: int, raw: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray,
+           single: bool = False) -> Words:
     data = _LOWER[raw]
     n = len(offsets) - 1
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(first, n, data, none, none, none.astype(np.uint64), np.zeros(n + 1, np.int64))
     inside = word_bytes[data]
+    starts = ends = np.zeros(0, np.int64)
+    if single and (data >= 0xE0).any():
+        starts, ends, mark = _characters(data)
+        at, size = starts[mark], (ends - starts)[mark]
+        for j in range(4):
+            inside[at[size > j] + j] = False
+        starts, ends = starts[~mark], ends[~mark]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
+    opens[starts] = True
+    behind = ends[ends < len(data)]
+    opens[behind] = inside[behind]
     begin = offsets[:-1][offsets[:-1] < len(data)]
     opens[begin] = inside[begin]
     closes = inside.copy()

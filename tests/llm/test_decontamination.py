@@ -102,3 +102,28 @@ def test_messy_and_empty(spark, messy, planted):
     assert d.decontaminated(messy, odd).count() == messy.count() - 2
     assert d.contaminated_pairs(messy, odd.limit(0)).count() == 0
     assert d.contaminated_pairs(messy.limit(0), odd).count() == 0
+
+
+def test_scripts_without_blanks(spark, docs_of):
+    benchmark = spark.createDataFrame([(1, "光合作用把二氧化碳和水变成糖和氧气。"),
+                                       (2, "ภาษาไทยไม่มีช่องว่างระหว่างคำ")], "item_id long, text string")
+    documents = docs_of([(1, "问题：光合作用把二氧化碳和水变成糖和氧气，对吗？"), (2, "天气很好，我们去公园散步，然后回家吃饭。"),
+                         (3, "เขาพูดว่าภาษาไทยไม่มีช่องว่างระหว่างคำเสมอ"), (4, "x光合作用把二氧化碳及水变成糖和氧气x")])
+    rows = d.contaminated_pairs(documents, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in rows) == [(1, 1, 0), (3, 2, 0), (4, 1, 1)]
+    assert {r["doc_id"] for r in d.decontaminated(documents, benchmark).collect()} == {2}
+
+
+def test_short_items_against_brute_force(spark, docs_of):
+    rng = random.Random(9)
+    few = WORDS[:3]
+    items = [(i, " ".join(rng.choices(few, k=1 + i % 5))) for i in range(25)]
+    docs = [(i, " ".join(rng.choices(few, k=rng.randrange(0, 14)))) for i in range(60)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for least in (1, 3):
+        got = {(r["doc_id"], r["item_id"]): r["edits"]
+               for r in d.contaminated_pairs(docs_of(docs), benchmark, least_words=least).collect()}
+        want = {(i, item): cost for i, text in docs for item, passage in items
+                if len(passage.split()) >= least
+                and (cost := levenshtein_fit(passage.split(), text.split())) <= int(d.MAX_EDITS * len(passage.split()))}
+        assert got == want and len(want) > 50
