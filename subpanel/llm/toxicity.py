@@ -286,9 +286,21 @@ def _index(vocabulary: np.ndarray, idf: np.ndarray, ids: list, toxic: np.ndarray
         b = a + CHUNK
         square += np.bincount(example[a:b], ((1 + np.log(counts[a:b].astype(float))) * idf[terms[a:b]]) ** 2,
                               minlength=kept)
-    order = np.argsort(terms, kind="stable")
-    bounds = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=len(vocabulary)))))
-    return Index(vocabulary, idf, unseen_idf, example[order], _smallest(counts)[order], bounds, np.sqrt(square),
+    held = np.zeros(len(vocabulary), dtype=np.int64)
+    for a in range(0, len(terms), CHUNK):
+        held += np.bincount(terms[a:a + CHUNK], minlength=len(vocabulary))
+    bounds = np.concatenate(([0], np.cumsum(held)))
+    counts = _smallest(counts)
+    by_term, count = np.empty_like(example), np.empty_like(counts)
+    low = 0
+    while low < len(vocabulary):  # terms of about CHUNK postings at a time
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + CHUNK, "right")) - 1)
+        some = np.flatnonzero((terms >= low) & (terms < high))
+        some = some[np.argsort(terms[some], kind="stable")]
+        by_term[bounds[low]:bounds[high]] = example[some]
+        count[bounds[low]:bounds[high]] = counts[some]
+        low = high
+    return Index(vocabulary, idf, unseen_idf, by_term, count, bounds, np.sqrt(square),
                  toxic[holds], [x for x, y in zip(ids, holds, strict=True) if y], base_rate,
                  float((none.sum() + 0.5 * base_rate) / (len(none) + 0.5)))
 
