@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination,
+    fill_in_middle,
     jaccard,
     language,
     licenses,
@@ -84,5 +85,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@register("op12_fill_in_middle", fill_in_middle.oracle())
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
