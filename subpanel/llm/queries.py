@@ -17,6 +17,7 @@ from . import (
     sharding,
     token_counts,
     toxicity,
+    whitening,
 )
 from .common import id_bucket, read_table
 from .registry import ORACLES, QUERIES, register
@@ -90,5 +91,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+@register("op13_whitened_vectors")
+def op13_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
 def load() -> tuple[dict, dict]:
     return dict(QUERIES), dict(ORACLES)
