@@ -11,6 +11,7 @@ from . import (
     jaccard,
     language,
     licenses,
+    line_dedup,
     mixing,
     neighbours,
     secrets,
@@ -86,6 +87,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+@register("op11_line_dedup", line_dedup.oracle())
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return line_dedup.deduplicate(documents, line_dedup.build(documents), texts=False)
+
+
 @register("op12_fill_in_middle", fill_in_middle.oracle())
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digests(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
