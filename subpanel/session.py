@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,19 @@ def reliable_checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df):
+    """``df`` written once as Parquet beside the checkpoints and read from there.
+
+    For steps of a loop: unlike a checkpointed frame, which hands on the size
+    estimate of the plan it came from (a product that grows with every join of
+    every round), a file is planned by its own size.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "steps", spark.sparkContext.applicationId, uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _MATERIALIZED: dict = {}
 
 
