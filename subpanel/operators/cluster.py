@@ -7,7 +7,7 @@ customer to the nearest (ties to the lower index). Everything that only
 depends on labels — inertia, Davies-Bouldin, Calinski-Harabasz, the
 squared-Euclidean silhouette, profiles, crosstabs, ARI — is a per-cluster
 aggregate (k bounded), so no pairwise distances are ever formed.
-The k-means search itself is MLlib ``KMeans`` over several seeds.
+The k-means search fits all restarts together (``lloyd``).
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ from __future__ import annotations
 import math
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import u
+from ..session import stored
+from . import lloyd
 from .stats import standardize
 
 CLUSTER_FEATURES = ["usage_per_seat", "support_tickets", "discount_pct", "seats", "nps_score",
@@ -142,36 +143,20 @@ def vectors(frame: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=Z_FEATURES, outputCol="features").transform(frame)
 
 
-def _fit_kmeans(vec: DataFrame, k: int, seed: int):
-    m = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(vec)
-    return float(m.summary.trainingCost), m
-
-
-def kmeans_search(frame: DataFrame, ks=K_RANGE, seeds=range(N_INIT), threads: int = 10) -> list[dict]:
-    """Per k the lowest-cost model over the seeds (MLlib has no
-    n_init), its inertia and label indices. The k × seed fits are independent
-    distributed jobs over one persisted vector frame, run from a thread pool."""
-    vec = vectors(frame).select("customer_id", *Z_FEATURES, "features").persist()
-    jobs = [(k, s) for k in ks for s in seeds]
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        fits = list(pool.map(lambda j: (j[0], j[1]) + _fit_kmeans(vec, *j), jobs))
-    best = {}
-    for k, s, cost, m in fits:
-        if k not in best or (cost, s) < (best[k][0], best[k][1]):
-            best[k] = (cost, s, m)
+def kmeans_search(frame: DataFrame, ks=K_RANGE, seeds=range(N_INIT)) -> list[dict]:
+    """Per k the best of the restarts, its inertia and label indices."""
+    frame = stored(frame.select("customer_id", *Z_FEATURES))
+    best = lloyd.fit(frame, Z_FEATURES, [(k, s) for k in ks for s in seeds], group=lambda k, _: k)
 
     def indices(k):
-        cost, _, m = best[k]
-        labelled = m.transform(vec).withColumnRenamed("prediction", "cluster")
-        idx = label_indices(labelled).collect()[0]
-        return {"k": k, "inertia": cost, "silhouette_sq": idx["silhouette_sq"],
+        centres = best[k].centres.tolist()
+        idx = label_indices(assign_nearest(frame, centres)).first()
+        return {"k": k, "inertia": best[k].inertia, "silhouette_sq": idx["silhouette_sq"],
                 "davies_bouldin": idx["davies_bouldin"],
-                "calinski_harabasz": idx["calinski_harabasz"], "model": best[k][2]}
+                "calinski_harabasz": idx["calinski_harabasz"], "centres": centres}
 
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        out = list(pool.map(indices, sorted(best)))
-    vec.unpersist()
-    return out
+    with ThreadPoolExecutor(max_workers=len(best) or 1) as pool:
+        return list(pool.map(indices, sorted(best)))
 
 
 def best_k(search: list[dict]) -> dict:
@@ -181,8 +166,7 @@ def best_k(search: list[dict]) -> dict:
 
 def best_k_labels(frame: DataFrame) -> DataFrame:
     """The frame with the cluster that the best k's model assigns."""
-    model = best_k(kmeans_search(frame))["model"]
-    return model.setPredictionCol("cluster").transform(vectors(frame)).drop("features")
+    return assign_nearest(frame, best_k(kmeans_search(frame))["centres"])
 
 
 def ari(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -200,21 +184,18 @@ def ari(df: DataFrame, a: str, b: str) -> DataFrame:
                     .otherwise((F.col("idx") - expected) / (mx - expected)).alias("ari"))
 
 
-def stability(frame: DataFrame, k: int, seeds=range(STABILITY_SEEDS), threads: int = 10) -> list[float]:
-    """ARI of each seed's labelling vs the first seed's (fits in parallel)."""
-    vec = vectors(frame).select("customer_id", "features").persist()
+def stability(frame: DataFrame, k: int, seeds=range(STABILITY_SEEDS)) -> list[float]:
+    """ARI of each seed's labelling vs the first seed's; a seed's labelling is the
+    best of its own restarts, and all seeds' restarts are fitted together."""
     seeds = list(seeds)
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        models = list(pool.map(lambda s: _fit_kmeans(vec, k, s)[1], seeds))
-    labels = vec
-    for s, m in zip(seeds, models):  # each model adds its own column to the one frame
-        labels = m.setPredictionCol(f"l{s}").transform(labels)
-    labels = labels.drop("features").persist()
-    first = f"l{seeds[0]}"
-    scores = [ari(labels, first, f"l{s}").collect()[0]["ari"] for s in seeds[1:]]
-    labels.unpersist()
-    vec.unpersist()
-    return scores
+    frame = stored(frame.select("customer_id", *Z_FEATURES))
+    best = lloyd.fit(frame, Z_FEATURES, [(k, s * N_INIT + r) for s in seeds for r in range(N_INIT)],
+                     group=lambda _, start: start // N_INIT)
+    labels = frame
+    for s in seeds:
+        labels = assign_nearest(labels, best[s].centres.tolist(), f"l{s}")
+    labels = stored(labels.select(*[f"l{s}" for s in seeds]))
+    return [ari(labels, f"l{seeds[0]}", f"l{s}").first()["ari"] for s in seeds[1:]]
 
 
 def pca_variance(frame: DataFrame, k: int = 2) -> list[float]:

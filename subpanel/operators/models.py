@@ -1,4 +1,4 @@
-"""Folds, splits and MLlib models.
+"""Folds, splits and MLlib models.
 
 Fold and split membership comes from md5 hashes of ids, so it is the same in
 every layout and in SQL. The exact-stratified variants rank rows by
@@ -16,15 +16,16 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
-                                VectorAssembler)
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.distributions import NORMAL_975, norm_sf2
 from ..functions.hashing import hash32
+from ..session import stored
+from . import fold_gram
 from .rank import global_rank
 from .threshold import auc_value
 
@@ -36,7 +37,6 @@ RF_TREES, RF_DEPTH = 300, 4
 GBT_ROUNDS, GBT_DEPTH, GBT_STEP = 300, 3, 0.05
 GBR_ROUNDS, GBR_DEPTH, GBR_STEP = 200, 2, 0.05
 RIDGE_ALPHA = 1.0
-PERMUTATION_REPEATS = 30
 
 
 def stratified_folds(df: DataFrame, label: str, k: int = N_FOLDS, seed: int = SEED,
@@ -208,60 +208,53 @@ def fitted_logistic_coefficients(frame: DataFrame, features, label) -> dict:
     return dict(zip(features, [float(c) for c in model.stages[-1].coefficients]))
 
 
-def regressor_cv(frame: DataFrame, target: str, numeric, categorical, one_feature, k=N_FOLDS,
-                 rounds_scale: float = 1.0) -> list[dict]:
-    """5-fold R² of a mean baseline, a one-feature linear model, Ridge
-    (median impute + scale + one-hot of all levels) and gradient boosting."""
-    folded = frame.withColumn("fold", F.pmod(hash32(str(SEED), F.col("customer_id")),
-                                                        F.lit(k)).cast("int")).persist()
-    names = ("mean_baseline", "one_feature_linear", "ridge", "gradient_boosting")
+def _fold_block(frame: DataFrame, target: str, numeric, categorical, k: int):
+    """The rows' block with hashed folds, written once, and its Gram matrix by fold."""
+    folded = frame.where(F.col(target).isNotNull()).withColumn(
+        "fold", F.pmod(hash32(str(SEED), F.col("customer_id")), F.lit(k)).cast("int"))
+    rows, facts = fold_gram.block(folded, list(numeric), list(categorical), target)
+    rows = stored(rows)
+    return rows, fold_gram.fold_grams(rows, facts)
 
-    def run_fold(f):
-        train = folded.where(F.col("fold") != f)
-        test = folded.where(F.col("fold") == f)
-        n_train = train.count()
-        mean_y = train.agg(F.avg(target)).collect()[0][0]
-        preds = {"mean_baseline": test.withColumn("prediction", F.lit(mean_y))}
-        one = Pipeline(stages=[VectorAssembler(inputCols=[one_feature], outputCol="features"),
-                               LinearRegression(labelCol=target, regParam=0.0)]).fit(train)
-        preds["one_feature_linear"] = one.transform(test)
-        imp = [f"{c}__imp" for c in numeric]
-        ridge = Pipeline(stages=[
-            Imputer(strategy="median", inputCols=numeric, outputCols=imp),
-            VectorAssembler(inputCols=imp, outputCol="_num"),
-            StandardScaler(inputCol="_num", outputCol="_nums", withMean=True, withStd=True),
-            StringIndexer(inputCols=categorical, outputCols=[f"{c}__idx" for c in categorical],
-                          handleInvalid="keep"),
-            OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
-                          outputCols=[f"{c}__oh" for c in categorical], dropLast=False),
-            VectorAssembler(inputCols=["_nums"] + [f"{c}__oh" for c in categorical],
-                            outputCol="features"),
-            LinearRegression(labelCol=target, regParam=RIDGE_ALPHA / n_train, elasticNetParam=0.0,
-                             standardization=False)]).fit(train)
-        preds["ridge"] = ridge.transform(test)
-        gbr = Pipeline(stages=[VectorAssembler(inputCols=numeric, outputCol="features"),
-                               GBTRegressor(labelCol=target,
-                                            maxIter=max(1, int(GBR_ROUNDS * rounds_scale)),
-                                            maxDepth=GBR_DEPTH, stepSize=GBR_STEP, seed=SEED)]
-                       ).fit(train.na.fill(0.0, subset=numeric))
-        preds["gradient_boosting"] = gbr.transform(test.na.fill(0.0, subset=numeric))
-        out = {}
-        for name, p in preds.items():
-            r = p.agg(F.sum((F.col(target) - F.col("prediction")) ** 2).alias("sse"),
-                      F.avg(target).alias("m")).collect()[0]
-            sst = p.agg(F.sum((F.col(target) - F.lit(r["m"])) ** 2)).collect()[0][0]
-            out[name] = 1.0 - r["sse"] / sst if sst else float("nan")
-        return out
 
+def linear_fold_r2(frame: DataFrame, target: str, numeric, categorical, one_feature,
+                   k=N_FOLDS) -> dict[str, dict[int, float]]:
+    """R² by fold of the mean baseline, the one-feature model and Ridge."""
+    rows, facts = _fold_block(frame, target, numeric, categorical, k)
+    return fold_gram.out_of_fold(facts, fold_gram.training_medians(rows, facts), one_feature, RIDGE_ALPHA)
+
+
+def regressor_cv(frame: DataFrame, target: str, numeric, categorical, one_feature, k=N_FOLDS,
+                 rounds_scale: float = 1.0) -> list[dict]:
+    """5-fold R² of a mean baseline, a one-feature linear model, Ridge and gradient
+    boosting, the latter two on the same block: numbers with gaps filled by the training
+    median, and a 0/1 column for every category level. The linear ones come from one
+    Gram matrix a fold (``fold_gram``)."""
+    rows, facts = _fold_block(frame, target, numeric, categorical, k)
+    medians = fold_gram.training_medians(rows, facts)
+    results = fold_gram.out_of_fold(facts, medians, one_feature, RIDGE_ALPHA)
+    levels = [f"_l{i}" for i in range(len(facts.levels))]
+
+    def boosted(f):
+        own = rows.na.fill(medians.get(f, {}))
+        model = Pipeline(stages=[
+            VectorAssembler(inputCols=[*numeric, *levels], outputCol="features"),
+            GBTRegressor(labelCol=target, maxIter=max(1, int(GBR_ROUNDS * rounds_scale)), maxDepth=GBR_DEPTH,
+                         stepSize=GBR_STEP, seed=SEED)]).fit(own.where(F.col("fold") != f))
+        scored = model.transform(own.where(F.col("fold") == f))
+        r = scored.agg(F.sum((F.col(target) - F.col("prediction")) ** 2).alias("sse"),
+                       (F.var_pop(target) * F.count(target)).alias("sst")).first()
+        return 1.0 - r["sse"] / r["sst"] if r["sst"] else float("nan")
+
+    folds = sorted(facts.grams)
     with ThreadPoolExecutor(max_workers=k) as pool:
-        per_fold = list(pool.map(run_fold, range(k)))
-    results = {m: [fold[m] for fold in per_fold] for m in names}
-    folded.unpersist()
+        results["gradient_boosting"] = dict(zip(folds, pool.map(boosted, folds)))
     out = []
-    for name, vals in results.items():
+    for name, by_fold in results.items():
+        vals = [by_fold[f] for f in folds]
         mean = sum(vals) / len(vals)
         std = math.sqrt(sum((v - mean) ** 2 for v in vals) / len(vals))
-        out.append({"model": name, "r2_mean": mean, "r2_std": std, "fold_r2": vals})
+        out.append({"model": name, "r2_mean": mean, "r2_std": std, "fold_r2": vals, "folds": folds})
     return out
 
 
@@ -282,52 +275,3 @@ def grouped_auc(df: DataFrame, group: str, score: str, label: str, group_size: i
     p, n = float(positives), float(negatives)
     return cum.groupBy(group).agg(F.sum(F.col("_pos") * avg_rank).alias("_rs")).select(
         group, ((F.col("_rs") - F.lit(p * (p + 1) / 2.0)) / F.lit(p * n)).alias("auc"))
-
-
-def permutation_importance(scored: DataFrame, weights: dict, margin: str = "logit",
-                           label: str = "label", repeats: int = PERMUTATION_REPEATS) -> DataFrame:
-    """Drop in hold-out AUC when one feature is shuffled, 30 times per feature.
-
-    The hold-out is the exact stratified 25% split (K2). For a linear scorer
-    the shuffled score is ``margin − w·x + w·x_shuffled``. Shuffle ``r`` of
-    feature ``f`` sends the value of the row ranked i-th by
-    ``hash(f:r:id)`` to the row ranked i-th by id; both ranks are the
-    distributed global rank, and every (feature, repeat) replica is a group
-    of the same size, so its offset is known without counting it."""
-    feats = list(weights)
-    hold = stratified_split(scored.select("customer_id", label, margin, *feats), label) \
-        .where(F.col("is_test") == 1).drop("is_test")
-    hold = hold.persist()
-    counts = hold.agg(F.count("*").alias("m"), F.sum(label).alias("p")).collect()[0]
-    m, p = int(counts["m"]), int(counts["p"])
-    base = global_rank(hold, [F.col("customer_id").asc()], "r1")
-    grid = F.array(*[F.struct(F.lit(i * repeats + r).alias("gidx"), F.lit(f).alias("feature"),
-                              F.lit(float(weights[f])).alias("w"), F.lit(r).alias("rep"))
-                     for i, f in enumerate(feats) for r in range(repeats)])
-    value = None
-    for f in feats:
-        value = F.when(F.col("g.feature") == f, F.col(f)) if value is None else \
-            value.when(F.col("g.feature") == f, F.col(f))
-    long = base.select("*", F.explode(grid).alias("g")).select(
-        "customer_id", label, margin, "r1", "g.gidx", "g.feature", "g.w", "g.rep",
-        value.cast("double").alias("x"))
-    h = hash32("perm", F.concat_ws(":", F.col("feature"), F.col("rep").cast("string"),
-                                   F.col("customer_id").cast("string")))
-    donors = global_rank(long.select("gidx", "customer_id", "x", h.alias("_h")),
-                         [F.col("gidx").asc(), F.col("_h").asc(), F.col("customer_id").asc()], "_g")
-    donors = donors.select("gidx", (F.col("_g") - F.col("gidx").cast("long") * m).alias("r1"),
-                           F.col("x").alias("x_shuffled"))
-    rescored = long.join(donors, ["gidx", "r1"]).select(
-        "gidx", "feature", label,
-        (F.col(margin) - F.col("w") * F.col("x") + F.col("w") * F.col("x_shuffled")).alias("m2"))
-    aucs = grouped_auc(rescored, "gidx", "m2", label, m, p, m - p)
-    base_auc = grouped_auc(hold.select(F.lit(0).alias("gidx"), F.col(margin).alias("m2"), label),
-                           "gidx", "m2", label, m, p, m - p).select(F.col("auc").alias("base_auc"))
-    names = F.array(*[F.lit(f) for f in feats])
-    drops = aucs.crossJoin(F.broadcast(base_auc)).select(
-        names[(F.col("gidx") / repeats).cast("int")].alias("feature"),
-        (F.col("base_auc") - F.col("auc")).alias("drop"), "base_auc")
-    coef = F.create_map(*[x for f in feats for x in (F.lit(f), F.lit(float(weights[f])))])
-    return drops.groupBy("feature").agg(
-        F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"),
-        F.first("base_auc").alias("base_auc")).withColumn("true_coefficient", coef[F.col("feature")])

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.scalar import (SILHOUETTE_BANDS, STABILITY_BANDS, UNSTABLE_VERDICT, risk_band,
                                 silhouette_verdict, stability_verdict)
-from ..operators import churn, cluster, quality
+from ..operators import churn, cluster, lloyd, quality
 from .oracle import with_prelude
 from .registry import register
 
@@ -166,6 +167,21 @@ def m16_risk_table(spark, sf_dir):
     return out.orderBy(F.col("_p").desc(), F.col("customer_id")).drop("_p")
 
 
+@register("g2_lloyd_step", with_prelude("""
+SELECT c.cid AS cluster, count(*) AS n, """ + ", ".join(f"round(avg(f.z_{c}), 6) AS c_{c}" for c in FEATS) + """,
+       round(sum(sum(d.d)) OVER (), 6) AS inertia
+FROM (SELECT customer_id, min(d) AS d FROM cluster_dists GROUP BY customer_id) d
+JOIN cluster_labelled f USING (customer_id) JOIN centres c ON c.cid = f.cluster GROUP BY c.cid"""))
+def g2_lloyd_step(spark, sf_dir):
+    """One step of the many-model search from the fixed centres: new centres and inertia."""
+    f = _frame(spark, sf_dir)
+    n, sums, inertia = lloyd.step(f, cluster.Z_FEATURES, [np.array(cluster.fixed_centres(f))])[0]
+    rows = [(i, int(c), *[round(float(v / c), 6) for v in s], round(inertia, 6))
+            for i, (c, s) in enumerate(zip(n, sums)) if c]
+    return spark.createDataFrame(rows, "cluster long, n long, " + ", ".join(f"c_{c} double" for c in FEATS)
+                                 + ", inertia double")
+
+
 @register("g2_g3_kmeans_search")
 def g2_g3_kmeans_search(spark, sf_dir):
     """k = 2…6, best of 10 seeds each; indices, best k and verdict."""

@@ -35,7 +35,7 @@ SECTIONS = {
     "fig14_roc": "m9_roc_fitted",
     "fig15_thresholds": "m10_sweep_fitted",
     "fig16_confusion": "m12_confusion_fitted",
-    "fig17_importance": "m13_permutation",
+    "fig17_importance": "m13_permutation_fitted",
     "fig18_logit": "t7_logit_compare",
     "fig19_cluster_search": "g2_g3_kmeans_search",
     "fig20_pca": "g8_pca",
