@@ -58,6 +58,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folder that :func:`stored` wrote ``df`` to; nothing may read it any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        if "/llm-" in folder:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sample_texts(documents: DataFrame, doc_id: str, text: str, rows: int, chars: int) -> list[str]:
     """About ``rows`` distinct texts, cut to ``chars``, chosen by row hash; at most twice as many.
 

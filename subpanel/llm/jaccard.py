@@ -24,13 +24,14 @@ that order depends on a part's content alone, the first signature that a
 linking pair shares in it is emitted by both.
 
 Equal sets are one class. Classes that share a signature are verified exactly
-on their whole sets, in three steps that skip what is already connected: each
-class with its most central partner, then with every bucket's most central
-member, then the pairs of a bucket that are still in different components and
-that neither the sets' support (tokens any other component has) nor bitmaps of
-the two sets rule out. Large groups of near copies are thus joined through
-their centre instead of through all pairs, and families of texts that are
-alike but not enough leave few pairs.
+on their whole sets, in four steps that skip what is already connected: each
+class with its most central partner; then with every bucket's most central
+member, its hub; then the pairs of short buckets that are still in different
+components and that neither the sets' support (tokens any other component has)
+nor bitmaps of the two sets rule out; then those of long buckets, as
+differences from their hub (``_pairs_by_difference``). Large groups of near
+copies are thus joined through their centre instead of through all pairs, and
+families of texts that are alike but not enough leave few pairs.
 
 Defined results: null and empty texts and texts without words have no
 shingles and link with nothing; a text of fewer than k words is one shingle;
@@ -49,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, sample_texts, stored, written
+from .common import discard, release, sample_texts, stored, written
 from .textops import Words, mix, shingles, slices
 
 K = 4
@@ -60,6 +61,8 @@ SHORT_COST = 20.0       # a signature of one token or none costs as much as so m
 SURE_DIFFERENCE = 16    # from here on the signatures a set does without are allowed for
 UNTELLING_COST = 200.0  # and one of an untelling part, which meets in long lists
 FILTER_BITS = 24        # of the bitmap that tells which sets will be verified
+SHORT_LIST = 32         # members of a bucket whose pairs are looked at one by one
+BANDS = 4               # of f (see _pairs_by_difference) in the hub's allowance
 BITMAP_BITS = 4         # per token, of the bitmaps that bound a pair's difference
 
 _SEGMENT, _TOKEN, _CLASS, _BITMAP = (np.uint64(x) for x in (
@@ -314,22 +317,26 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     met = lambda rows: rows.withColumn("low", F.min("cls").over(by_sig)).withColumn(
         "high", F.max("cls").over(by_sig)).where("low < high").drop("low", "high")
     rows = _signature_rows(documents, doc_id, text, k, percent).repartition("sig")
-    shared = stored(met(rows).withColumn("members", F.count("*").over(by_sig)),
-                    "buckets").distinct()
+    met_rows = stored(met(rows).withColumn("members", F.count("*").over(by_sig)), "buckets")
+    shared = met_rows.distinct()
     del rows
     release(documents.sparkSession)
     degree = shared.groupBy("cls").agg(F.sum("members").alias("degree"))
     classes = written(degree)
-    described = stored(_described(documents, doc_id, text, k, _bitmap(classes)), "sets")
-    sets = stored(described.where("tokens is not null").select("cls", "tokens").join(
+    whole = stored(_described(documents, doc_id, text, k, _bitmap(classes)), "sets")
+    sets = stored(whole.where("tokens is not null").select("cls", "tokens").join(
         classes.select("cls"), "cls", "left_semi").groupBy("cls").agg(
             F.first("tokens").alias("tokens")), "class-sets")
+    described = stored(whole.select("doc_id", "cls", "n"), "described")
+    discard(whole)
+    release(documents.sparkSession)
     sizes = sets.select("cls", F.size("tokens").alias("size"))
     shared = shared.select("sig", "cls").join(classes, "cls").join(sizes, "cls")
     central = F.max(F.struct("degree", F.col("cls").alias("id"), F.col("size").alias("n"))).over(by_sig)
     buckets = stored(shared.withColumn("top", central).select(
         "sig", "cls", "size", F.col("top.degree").alias("hub_degree"), F.col("top.id").alias("hub"),
         F.col("top.n").alias("hub_size")), "hubs")
+    discard(met_rows)
     release(documents.sparkSession)
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
 
@@ -355,6 +362,17 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     member = buckets.select("sig", "cls", "size", "hub").join(labels, "cls")
     split = member.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
     member = written(_supported(written(member.join(split.select("sig"), "sig", "left_semi")), sets, percent))
+    listed = written(member.withColumn("members", F.count("*").over(by_sig)))
+    short = listed.where(F.col("members") <= SHORT_LIST)
+    rest = _pairs_of_short_lists(short, sets, percent)
+    labels = _merged(labels, _verified(rest, sets, percent))
+    long = listed.where(F.col("members") > SHORT_LIST).select("cls", "size", "hub").distinct().join(labels, "cls")
+    labels = _merged(labels, _verified(_pairs_by_difference(long, sets, percent), sets, percent))
+    return described, labels
+
+
+def _pairs_of_short_lists(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket that neither support nor bitmaps rule out; lists are at most SHORT_LIST long."""
     member = member.join(written(_bitmaps(member.select("cls").distinct(), sets, percent)), "cls")
     side = lambda x: member.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in (
         "cls", "size", "comp", "support", "hub", "bits", "wide")])
@@ -363,14 +381,60 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         F.col(f"bits_{x}"))
     unlike = F.aggregate(F.zip_with(of("a", "b"), of("b", "a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                          F.lit(0), lambda n, x: n + x)
-    rest = side("a").join(side("b"), "sig").where(
+    # bitmaps of sets more than a length apart (percent below 50) bound nothing: such pairs are verified
+    return side("a").join(side("b"), "sig").where(
         (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b"))
         & (100 * common >= percent * (total - common))
         & (F.col("cls_a") != F.col("hub_a")) & (F.col("cls_b") != F.col("hub_b"))
-        & ((100 + percent) * unlike <= (100 - percent) * total)).select(
+        & F.coalesce((100 + percent) * unlike <= (100 - percent) * total, F.lit(True))).select(
             F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
-    labels = _merged(labels, _verified(rest, sets, percent))
-    return described, labels
+
+
+def _pairs_by_difference(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of long lists that can link although neither set is connected through the list's hub.
+
+    Each set X is taken as its difference d(X) from the hub H, as |A ^ B| =
+    |d(A) ^ d(B)|. With f(X) = (100 + p) |d(X)| - (100 - p) |X|, two sets link
+    exactly if f(A) + f(B) <= 2 (100 + p) |d(A) & d(B)|. No set's f is below
+    the hub's, so where f(A) + f(B) <= 0 both link to the hub, which is known
+    by now. All others need a common difference of t = (f(A) + f(B)) /
+    (2 (100 + p)) tokens or more, at least one; so they share one of the first
+    |d| - t + 1 tokens of either difference in any common order (prefix
+    filter). The order is: tokens that the hub lacks, which few sets share,
+    then the hub's own. f is cut into bands, so that t is known when a set
+    emits its prefix for the partners of a band; a partner's f is within
+    2 (100 - p) times the larger set.
+    """
+    up, down = 100 + percent, 100 - percent
+    member = member.where(F.col("cls") != F.col("hub"))
+    tokens = lambda name, to: sets.select(F.col("cls").alias(name), F.col("tokens").alias(to))
+    differing = member.join(tokens("cls", "own"), "cls").join(tokens("hub", "top"), "hub").select(
+        "hub", "cls", "comp", "size", F.size("top").alias("hub_size"), F.concat(
+            F.sort_array(F.array_except("own", "top")), F.sort_array(F.array_except("top", "own"))).alias("d"))
+    f = F.lit(up) * F.size("d") - F.lit(down) * F.col("size")
+    width = F.greatest(F.lit(1), F.floor(F.lit(down) * F.col("hub_size") / F.lit(BANDS)))
+    differing = written(differing.withColumn("f", f).withColumn("width", width).withColumn(
+        "own", F.floor(F.col("f") / F.col("width"))))
+    reach = F.ceil(F.lit(2 * down) * F.ceil(F.col("size") * F.lit(100 / percent)) / F.col("width")) + 1
+    there = differing.select("hub", F.col("own").alias("partner")).distinct()
+    aimed = differing.withColumn("partner", F.explode(F.sequence(F.col("own") - reach, F.col("own") + reach))) \
+        .join(there, ["hub", "partner"])
+    # the least f of a partner in the band; it must lift the sum above 0, else the hub has joined the two
+    needed = F.greatest(F.lit(1), F.ceil(
+        (F.col("f") + F.col("partner") * F.col("width")) / F.lit(2 * up))).cast("int")
+    prefix = aimed.withColumn("needed", needed).where(
+        (F.col("needed") <= F.size("d")) & (F.col("f") + (F.col("partner") + 1) * F.col("width") > 0)).select(
+            "hub", "own", "partner", "cls", "comp", "size", "f", F.size("d").alias("n"),
+            F.explode(F.slice(F.col("d"), F.lit(1), F.size("d") - F.col("needed") + 1)).alias("token"))
+    left, right = prefix.alias("x"), prefix.select(
+        "hub", "token", F.col("own").alias("partner"), F.col("partner").alias("own"),
+        *[F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "size", "f", "n")]).alias("y")
+    total = F.col("f") + F.col("f_b")
+    return left.join(right, ["hub", "token", "own", "partner"]).where(
+        (F.col("cls") < F.col("cls_b")) & (F.col("comp") != F.col("comp_b")) & (total > 0)
+        & (total <= F.lit(2 * up) * F.least("n", "n_b"))
+        & (100 * F.least("size", "size_b") >= percent * F.greatest("size", "size_b"))).select(
+            F.col("cls").alias("a"), F.col("cls_b").alias("b")).distinct()
 
 
 def _supported(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -64,8 +64,9 @@ def near_copies(seed):
     return rows
 
 
-@pytest.mark.parametrize("k,percent", [(4, 85), (5, 80)])
-def test_components_match_brute_force(docs_of, k, percent):
+@pytest.mark.parametrize("k,percent,short", [(4, 85, 32), (5, 80, 32), (5, 80, 1), (4, 85, 0), (3, 40, 32), (3, 40, 2)])
+def test_components_match_brute_force(docs_of, monkeypatch, k, percent, short):
+    monkeypatch.setattr(jaccard, "SHORT_LIST", short)
     rows = near_copies(k)
     got = jaccard.jaccard_components(docs_of(rows), k=k, percent=percent).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, k, percent)
@@ -127,6 +128,27 @@ def test_large_family_of_near_copies(docs_of):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows, 4, 85)
 
 
+def test_pairs_by_difference_leave_no_link_out(spark):
+    """Of sets about a hub, every link between sets that the hub doesn't join is among the pairs."""
+    rng = random.Random(4)
+    for percent in (85, 80, 60):
+        hub = frozenset(range(100))
+        sets = {0: hub}
+        for i in range(1, 120):
+            base = sets[rng.randrange(i)]
+            gone = set(rng.sample(sorted(base), rng.randrange(0, 14)))
+            sets[i] = frozenset(base - gone | {rng.randrange(1000, 1400) for _ in range(rng.randrange(0, 14))})
+        frame = spark.createDataFrame([(i, list(s)) for i, s in sets.items()], "cls long, tokens array<long>")
+        member = spark.createDataFrame([(i, len(s), 0, i) for i, s in sets.items()], "cls long, size int, hub long, comp long")
+        pairs = {tuple(r) for r in jaccard._pairs_by_difference(member, frame, percent).collect()}
+        link = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
+        need = {(i, j) for i, j in itertools.combinations(range(1, 120), 2) if link(sets[i], sets[j])
+                and not (link(sets[i], hub) and link(sets[j], hub))}
+        assert need and need <= pairs
+        if percent == 85:
+            assert len(pairs) < 0.2 * 120 * 119 / 2
+
+
 def test_messy_and_empty(messy):
     rows = jaccard.jaccard_components(messy).collect()
     assert len(rows) == messy.count()
