@@ -29,7 +29,7 @@ class with its most central partner; then with every bucket's most central
 member, its hub; then the pairs of short buckets that are still in different
 components and that neither the sets' support (tokens any other component has)
 nor bitmaps of the two sets rule out; then those of long buckets, as
-differences from their hub (``_pairs_by_difference``). Large groups of near
+differences from one central set (``_pairs_by_difference``). Large groups of near
 copies are thus joined through their centre instead of through all pairs, and
 families of texts that are alike but not enough leave few pairs.
 
@@ -285,20 +285,25 @@ def _components(edges: DataFrame) -> DataFrame:
     logarithm of the longest path.
     """
     both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.col("node")).alias("comp")))
+    # files, not checkpoints: those hand on size estimates that multiply with every round's joins
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(
+        F.least(F.min("b"), F.col("node")).alias("comp")).withColumn("old", F.col("node")), "labels")
+    both = stored(both, "edges")
     while True:
+        labels, last = labels.select("node", "comp"), labels
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(
             F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         taken = labels.join(near, "node").select(
             "node", F.col("comp").alias("old"), F.least("comp", "near").alias("via"))
         jump = labels.select(F.col("node").alias("via"), F.col("comp").alias("jump"))
-        moved = written(taken.join(jump, "via", "left").select(
-            "node", "old", F.least("via", F.coalesce("jump", "via")).alias("comp")))
+        moved = stored(taken.join(jump, "via", "left").select(
+            "node", F.least("via", F.coalesce("jump", "via")).alias("comp"), "old"), "labels")
         changed = moved.where("comp < old").limit(1).count()
-        labels = moved.select("node", "comp")
+        discard(last)
+        labels = moved
         if not changed:
-            return labels
+            discard(both)
+            return labels.select("node", "comp")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -344,8 +349,12 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
         F.first("hub_degree").alias("hub_degree"), F.first("size").alias("size"),
         F.first("hub_size").alias("hub_size"))
     spokes = written(spokes.where(fits(F.col("size"), F.col("hub_size"))))
-    best = spokes.groupBy("cls").agg(F.max(F.struct("hub_degree", "hub")).alias("x")).select(
-        F.col("cls").alias("a"), F.col("x.hub").alias("b"))
+    best = spokes.groupBy("cls").agg(F.max(F.struct("hub_degree", "hub")).alias("x"))
+    central_of = classes.join(best, "cls", "left").select("cls", F.greatest(
+        F.struct("degree", F.col("cls").alias("id")),
+        F.coalesce(F.struct(F.col("x.hub_degree").alias("degree"), F.col("x.hub").alias("id")),
+                   F.struct("degree", F.col("cls").alias("id")))).alias("central"))
+    best = best.select(F.col("cls").alias("a"), F.col("x.hub").alias("b"))
     labels = classes.select("cls", F.col("cls").alias("comp"))
     labels = _merged(labels, _verified(best, sets, percent))
 
@@ -366,7 +375,16 @@ def linked_classes(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     short = listed.where(F.col("members") <= SHORT_LIST)
     rest = _pairs_of_short_lists(short, sets, percent)
     labels = _merged(labels, _verified(rest, sets, percent))
-    long = listed.where(F.col("members") > SHORT_LIST).select("cls", "size", "hub").distinct().join(labels, "cls")
+    long = listed.where(F.col("members") > SHORT_LIST).select("sig", "cls", "size")
+    long = _with_reference(long, central_of).join(sets.select(
+        F.col("cls").alias("hub"), F.size("tokens").alias("hub_size")), "hub")
+    tried = long.where((F.col("cls") != F.col("hub")) & fits(F.col("size"), F.col("hub_size"))).select(
+        F.col("cls").alias("a"), F.col("hub").alias("b"))
+    labels = _merged(labels, _verified(apart(tried), sets, percent))
+    long = long.join(labels, "cls")
+    by_hub = Window.partitionBy("hub")
+    long = long.withColumn("low", F.min("comp").over(by_hub)).withColumn("high", F.max("comp").over(by_hub)).where(
+        "low < high").select("cls", "size", "hub", "comp")
     labels = _merged(labels, _verified(_pairs_by_difference(long, sets, percent), sets, percent))
     return described, labels
 
@@ -390,10 +408,22 @@ def _pairs_of_short_lists(member: DataFrame, sets: DataFrame, percent: int) -> D
             F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
 
 
+def _with_reference(member: DataFrame, central_of: DataFrame) -> DataFrame:
+    """Distinct (cls, size, hub): the most central partner of any member of a bucket is its reference.
+
+    A family's buckets have many hubs of their own but nearly all one
+    reference, so that a set is described by its difference once.
+    """
+    by_sig = Window.partitionBy("sig")
+    return written(member.join(central_of, "cls").withColumn("top", F.max("central").over(by_sig)).select(
+        "cls", "size", F.col("top.id").alias("hub")).distinct())
+
+
 def _pairs_by_difference(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of long lists that can link although neither set is connected through the list's hub.
+    """Pairs of long lists that can link although the list's reference doesn't connect them.
 
-    Each set X is taken as its difference d(X) from the hub H, as |A ^ B| =
+    Each set X is taken as its difference d(X) from the reference H, a hub that
+    all sets of the list were tried with, as |A ^ B| =
     |d(A) ^ d(B)|. With f(X) = (100 + p) |d(X)| - (100 - p) |X|, two sets link
     exactly if f(A) + f(B) <= 2 (100 + p) |d(A) & d(B)|. No set's f is below
     the hub's, so where f(A) + f(B) <= 0 both link to the hub, which is known
@@ -497,8 +527,8 @@ def _merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     lb = labels.select(F.col("cls").alias("b"), F.col("comp").alias("cb"))
     between = edges.join(la, "a").join(lb, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     joined = _components(between).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-    labels = written(labels.join(joined, "comp", "left").select(
-        "cls", F.coalesce("to", "comp").alias("comp")))
+    labels = stored(labels.join(joined, "comp", "left").select(
+        "cls", F.coalesce("to", "comp").alias("comp")), "labels")
     del edges, between, joined, la, lb
     release(labels.sparkSession)
     return labels
