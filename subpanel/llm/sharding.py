@@ -11,8 +11,9 @@ shards; their number is bounded by that part, whatever the data) are packed
 first, by one small task. All others are dealt by hash into blocks of about
 ``BLOCK_GROUPS`` groups; each block packs its groups into its even part of
 what the heavy pieces left of each shard. A group larger than
-1 / (40 * SPLIT) of a dimension is first split into even pieces by document
-id, so a hot group is spread over shards as the law needs.
+1 / (40 * SPLIT) of a dimension is first split into even pieces by a number
+that each row gets when it is written, so a hot group is spread over shards as
+the law needs, be it one row repeated.
 
 Slots number a shard's documents without gaps: a running count over blocks
 plus a place within the block, so no task ranks a whole shard.
@@ -70,7 +71,8 @@ def _described(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
         F.md5(body.cast("binary")).alias("digest"),
-        F.xxhash64(F.col(doc_id).cast("string")).alias("hash"))
+        F.xxhash64(F.col(doc_id).cast("string")).alias("hash"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("row"))
 
 
 def shard(documents: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text",
@@ -87,8 +89,10 @@ def shard(documents: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", te
     # groups above the split size: at most 3 * shards * SPLIT rows
     large = rows.groupBy("digest").agg(*sums).where(part(SPLIT) > 1) \
         .select("digest", F.ceil(part(SPLIT)).alias("pieces"))
-    pieces = rows.join(F.broadcast(large), "digest", "left").withColumn("piece", F.coalesce(
-        F.pmod(F.col("hash"), F.col("pieces")), F.lit(0)))
+    # rows of a large group are dealt by number: they may all have one id
+    pieces = rows.join(F.broadcast(large), "digest", "left").withColumn("hash", F.when(
+        F.col("pieces").isNotNull(), F.col("row")).otherwise(F.col("hash"))).withColumn("piece", F.coalesce(
+            F.pmod(F.col("hash"), F.col("pieces")), F.lit(0)))
     groups = written(pieces.groupBy("digest", "piece").agg(*sums)
                      .withColumn("heavy", part(HEAVY) > 1))
 

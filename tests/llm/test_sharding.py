@@ -36,6 +36,16 @@ def test_hot_group_is_split_and_blocks_agree(spark, docs_of):
     assert sums.max() / sums.mean() < 1.03 and sums.min() / sums.mean() > 0.97
 
 
+def test_one_row_repeated_is_split(docs_of):
+    rows = sharding.shard(docs_of([(7, "same row " * 20)] * 1000 + [(None, "no id " * 30)] * 300 + [
+        (i, f"text {i} " * (5 + i % 40)) for i in range(1700)]), 10, block_groups=300).collect()
+    sums = np.bincount([r["shard"] for r in rows], [r["size"] for r in rows], minlength=10)
+    assert sums.max() / sums.mean() < 1.05 and sums.min() / sums.mean() > 0.95
+    for s in range(10):
+        slots = sorted(r["slot"] for r in rows if r["shard"] == s)
+        assert slots == list(range(len(slots)))
+
+
 def test_pack_takes_the_largest_dot_product():
     groups = np.array([[4.0, 1, 1], [1, 4, 1], [2, 2, 2]])
     capacity = np.array([[5.0, 2, 3], [2.0, 5, 3]])
