@@ -21,7 +21,8 @@ copies of one vector. The blocks' best are merged by score.
 Defined results: null and zero vectors and those with null or non-finite
 components take no part, as queries or candidates; vectors of different
 lengths never meet; ties go to the smaller id; repeated ids are candidates of
-their own but none is a candidate of its own id; a table without such vectors
+their own but none is a candidate of its own id; every query row, repeated or
+not, gets its own k nearest; a table without such vectors
 gives an empty result; other columns aren't read.
 """
 
@@ -136,8 +137,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
     all_of = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     data = rows.select("vec_id", "v", "length", deal(blocks).alias("block"),
                        all_of(query_blocks).alias("query_block"))
-    queries = rows.where("is_query").select("vec_id", "v", "length", deal(query_blocks).alias("query_block"),
-                                            all_of(blocks).alias("block"))
+    queries = rows.where("is_query").withColumn("query_row", F.monotonically_increasing_id()).select(
+        "query_row", "vec_id", "v", "length", deal(query_blocks).alias("query_block"),
+        all_of(blocks).alias("block"))
 
     def meet(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[np.ndarray, ...]] = []
@@ -147,19 +149,20 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
             forest = Forest(np.stack(block["v"].to_numpy()))
             matrix = np.stack(asked["v"].to_numpy())
             low, high = forest.ranges(matrix)
+            numbers = asked["query_row"].to_numpy(dtype=np.int64)
             for q, query_id in enumerate(asked["vec_id"].to_numpy(dtype=np.int64)):
                 own = np.arange(*np.searchsorted(ids, [query_id, query_id + 1]))
                 at, score = forest.search(matrix[q], low[:, :, q], high[:, :, q], own, k)
                 best = np.lexsort((ids[at], -score))[:k]
-                found.append((np.full(len(best), query_id), ids[at][best], score[best]))
-        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [[], [], []]
-        return pd.DataFrame({"query_id": np.asarray(columns[0], np.int64),
-                             "vec_id": np.asarray(columns[1], np.int64),
-                             "score": np.asarray(columns[2], float)})
+                found.append((np.full(len(best), numbers[q]), np.full(len(best), query_id), ids[at][best], score[best]))
+        columns = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [[], [], [], []]
+        whole = {name: np.asarray(x, np.int64) for name, x in zip(("query_row", "query_id", "vec_id"), columns,
+                                                                  strict=False)}
+        return pd.DataFrame(whole | {"score": np.asarray(columns[3], float)})
 
     keys = ["length", "block", "query_block"]
     found = data.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
-        meet, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        meet, "query_row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -52,3 +52,18 @@ def test_odd_vectors_take_no_part(spark):
     assert {r["query_id"] for r in got} == {0}
     assert {r["vec_id"] for r in got if r["vec_id"] is not None} >= {1}
     assert neighbours.search(frame(spark, rows).limit(0), F.lit(True)).count() == 0
+
+
+def test_repeated_query_rows_have_lists_of_their_own(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).round(3).tolist()) for i in range(100)]
+    got = neighbours.search(frame(spark, rows + [rows[0], (1, rows[50][1])]), F.col("vec_id").isin(0, 1, 2), k=20,
+                            block_rows=40, query_rows=2).collect()
+    lists = {}
+    for r in got:
+        lists.setdefault((r["query_id"], r["rank"]), []).append((r["vec_id"], r["score"]))
+    assert {len(lists[0, k]) for k in range(1, 21)} == {2} and len(got) == 5 * 20
+    assert all(a == b for k in range(1, 21) for a, b in [lists[0, k]])
+    data = {i: np.float32(v).astype(float) for i, v in rows}
+    best = lambda v: max(float((data[i] * np.float32(v)).sum()) for i in data if i != 1)
+    assert sorted(s for _, s in lists[1, 1]) == sorted([best(rows[1][1]), best(rows[50][1])])
