@@ -80,3 +80,21 @@ def test_empty_tables(spark, messy, tmp_path):
         str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_language_stage_decides_by_the_prediction(spark, docs_of, monkeypatch):
+    en = "the cat sat on the mat and looked at the dog that was in the house with the other one "
+    de = "der hund lag auf der matte und sah die katze an die mit der anderen im haus war und schlief "
+    rows = [(i, (en if i % 2 else de) * 2 + f"{i}", "en" if i % 2 else "de") for i in range(60)]
+    rows += [(100, "the dog and the cat in the house", None), (101, "die katze und der hund im haus", None),
+             (102, "中文中文中文", None), (103, "12345 !!", None), (104, None, None)]
+    docs = docs_of(rows)
+    kept = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, "").collect()}
+    assert kept == {*range(60), 100, 101}
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", ("en",))
+    assert {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, "").collect()} == {*range(1, 60, 2), 100}
+
+
+def test_unlabelled_corpora_pass_the_language_stage(spark, docs_of):
+    docs = docs_of([(i, f"some english text number {i}", None) for i in range(5)] + [(9, None, "en"), (10, "12", "en")])
+    assert corpus_pipeline.language_stage(spark, docs, "").count() == 7
