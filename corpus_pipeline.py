@@ -4,7 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet to the shared checkpoint folder and read again as the next
 stage's ``docs``. All stages but the last return the columns of ``documents``.
 
-* language: documents without any language (null, empty or letterless texts) go;
+* language: documents go whose language isn't one of ``LANGUAGES`` (None: any
+  learnt one), or can't be told: no letter, or a score below ``LEAST_SCORE``.
+  Languages are learnt from the labelled rows; without any, all documents stay;
 * near_duplicates: of each group that five-word shingles link at a Jaccard
   similarity of 0.8, the document of least doc_id stays;
 * decontamination: documents that hold a benchmark item go;
@@ -29,6 +31,8 @@ from subpanel.llm.common import id_bucket, read_table, stored
 ORACLE_SQL = None
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+LANGUAGES: tuple[str, ...] | None = None
+LEAST_SCORE = 0.52    # 0.5: the second language names the text in as few phrases as the first
 
 
 def _row_id() -> Column:
@@ -50,11 +54,15 @@ def _joined(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     training = docs.where(id_bucket("doc_id", 3) != 1)
+    if training.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).isEmpty():
+        return docs
     names = docs.columns
     found = language.identify_languages(docs, training, keep=names).toDF(
         *[f"c{i}" for i in range(len(names))], "lang_pred", "score")
-    return found.where(F.col("lang_pred") != language.UNDETERMINED).select(
-        *[F.col(f"c{i}").alias(name) for i, name in enumerate(names)])
+    stays = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    if LANGUAGES is not None:
+        stays &= F.col("lang_pred").isin(*LANGUAGES)
+    return found.where(stays).select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(names)])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
