@@ -112,16 +112,17 @@ def build_parser(samples: dict[str, str]) -> Parser:
     texts = [symbols_of(samples[x]) for x in languages]
     alphabet = np.unique(np.concatenate(texts))
     width = len(alphabet) + 1
-    automata = [_automaton((np.searchsorted(alphabet, x) + 1).tolist()) for x in texts]
-    total = 1 + sum(map(len, automata))
-    moves = np.zeros(total * width, dtype=np.int32)
+    # a suffix automaton has at most two states a symbol; untouched rows of the table take no memory
+    moves = np.zeros((1 + sum(2 * len(x) + 1 for x in texts)) * width, dtype=np.int32)
     roots, first = [], 1
-    for automaton in automata:
+    for text in texts:      # one language's automaton at a time
+        automaton = _automaton((np.searchsorted(alphabet, text) + 1).tolist())
         roots.append(first * width)
         for state, out in enumerate(automaton, first):
             for symbol, target in out.items():
                 moves[state * width + symbol] = (target + first) * width
         first += len(automaton)
+        del automaton
     costs = _phrase_costs(np.array([len(x) for x in texts]), len(alphabet))
     return Parser(languages, alphabet, moves, np.array(roots, dtype=np.int32), costs)
 
