@@ -47,7 +47,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, release, sample_texts, stored, written
@@ -395,19 +395,26 @@ def _pairs_of_short_lists(member: DataFrame, sets: DataFrame, percent: int) -> D
     side = lambda x: member.select("sig", *[F.col(c).alias(f"{c}_{x}") for c in (
         "cls", "size", "comp", "support", "hub", "bits", "wide")])
     common, total = F.least("support_a", "support_b"), F.col("size_a") + F.col("size_b")
-    of = lambda x, y: F.when(F.size(f"bits_{x}") < F.size(f"bits_{y}"), F.col(f"wide_{x}")).otherwise(
-        F.col(f"bits_{x}"))
-    unlike = F.aggregate(F.zip_with(of("a", "b"), of("b", "a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                         F.lit(0), lambda n, x: n + x)
-    # bitmaps of sets more than a length apart (percent below 50) bound nothing: such pairs are verified
     return side("a").join(side("b"), "sig").where(
         (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b"))
         & (100 * common >= percent * (total - common))
         & (F.col("cls_a") != F.col("hub_a")) & (F.col("cls_b") != F.col("hub_b"))
-        & F.coalesce((100 + percent) * unlike <= (100 - percent) * total, F.lit(True))).select(
+        & _bitmaps_allow(total, percent)).select(
             F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
 
 
+def _bitmaps_allow(total: Column, percent: int) -> Column:
+    """Whether the bitmaps (bits, wide; _a and _b) leave a link possible between sets of ``total`` tokens.
+
+    Bitmaps of sets more than a length apart (percent below 50) bound nothing.
+    """
+    of = lambda x, y: F.when(F.size(f"bits_{x}") < F.size(f"bits_{y}"), F.col(f"wide_{x}")).otherwise(
+        F.col(f"bits_{x}"))
+    unlike = F.aggregate(F.zip_with(of("a", "b"), of("b", "a"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                         F.lit(0), lambda n, x: n + x)
+    return F.coalesce((100 + percent) * unlike <= (100 - percent) * total, F.lit(True))
+
+
 def _with_reference(member: DataFrame, central_of: DataFrame) -> DataFrame:
     """Distinct (cls, size, hub): the most central partner of any member of a bucket is its reference.
 
@@ -430,16 +437,17 @@ def _pairs_by_difference(member: DataFrame, sets: DataFrame, percent: int) -> Da
     by now. All others need a common difference of t = (f(A) + f(B)) /
     (2 (100 + p)) tokens or more, at least one; so they share one of the first
     |d| - t + 1 tokens of either difference in any common order (prefix
-    filter). The order is: tokens that the hub lacks, which few sets share,
+    filter). Bitmaps rule out most pairs that share one by chance. The order is: tokens that the hub lacks, which few sets share,
     then the hub's own. f is cut into bands, so that t is known when a set
     emits its prefix for the partners of a band; a partner's f is within
     2 (100 - p) times the larger set.
     """
     up, down = 100 + percent, 100 - percent
     member = member.where(F.col("cls") != F.col("hub"))
+    member = member.join(_bitmaps(member.select("cls").distinct(), sets, percent), "cls")
     tokens = lambda name, to: sets.select(F.col("cls").alias(name), F.col("tokens").alias(to))
     differing = member.join(tokens("cls", "own"), "cls").join(tokens("hub", "top"), "hub").select(
-        "hub", "cls", "comp", "size", F.size("top").alias("hub_size"), F.concat(
+        "hub", "cls", "comp", "size", "bits", "wide", F.size("top").alias("hub_size"), F.concat(
             F.sort_array(F.array_except("own", "top")), F.sort_array(F.array_except("top", "own"))).alias("d"))
     f = F.lit(up) * F.size("d") - F.lit(down) * F.col("size")
     width = F.greatest(F.lit(1), F.floor(F.lit(down) * F.col("hub_size") / F.lit(BANDS)))
@@ -452,19 +460,21 @@ def _pairs_by_difference(member: DataFrame, sets: DataFrame, percent: int) -> Da
     # the least f of a partner in the band; it must lift the sum above 0, else the hub has joined the two
     needed = F.greatest(F.lit(1), F.ceil(
         (F.col("f") + F.col("partner") * F.col("width")) / F.lit(2 * up))).cast("int")
+    facts = ["cls", "comp", "size", "f", "bits", "wide"]
     prefix = aimed.withColumn("needed", needed).where(
         (F.col("needed") <= F.size("d")) & (F.col("f") + (F.col("partner") + 1) * F.col("width") > 0)).select(
-            "hub", "own", "partner", "cls", "comp", "size", "f", F.size("d").alias("n"),
+            "hub", "own", "partner", *facts, F.size("d").alias("n"),
             F.explode(F.slice(F.col("d"), F.lit(1), F.size("d") - F.col("needed") + 1)).alias("token"))
-    left, right = prefix.alias("x"), prefix.select(
-        "hub", "token", F.col("own").alias("partner"), F.col("partner").alias("own"),
-        *[F.col(c).alias(f"{c}_b") for c in ("cls", "comp", "size", "f", "n")]).alias("y")
-    total = F.col("f") + F.col("f_b")
-    return left.join(right, ["hub", "token", "own", "partner"]).where(
-        (F.col("cls") < F.col("cls_b")) & (F.col("comp") != F.col("comp_b")) & (total > 0)
-        & (total <= F.lit(2 * up) * F.least("n", "n_b"))
-        & (100 * F.least("size", "size_b") >= percent * F.greatest("size", "size_b"))).select(
-            F.col("cls").alias("a"), F.col("cls_b").alias("b")).distinct()
+    keys = ["hub", "token", "own", "partner"]
+    side = lambda x, own, partner: prefix.select(
+        "hub", "token", F.col(own).alias("own"), F.col(partner).alias("partner"),
+        *[F.col(c).alias(f"{c}_{x}") for c in [*facts, "n"]])
+    total, both = F.col("f_a") + F.col("f_b"), F.col("size_a") + F.col("size_b")
+    return side("a", "own", "partner").join(side("b", "partner", "own"), keys).where(
+        (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b")) & (total > 0)
+        & (total <= F.lit(2 * up) * F.least("n_a", "n_b"))
+        & (100 * F.least("size_a", "size_b") >= percent * F.greatest("size_a", "size_b"))
+        & _bitmaps_allow(both, percent)).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
 
 
 def _supported(member: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
