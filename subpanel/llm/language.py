@@ -36,6 +36,7 @@ SAMPLE_DOCS = 64        # labelled documents a language's automaton is built fro
 SAMPLE_CHARS = 40_000   # their characters, all told
 PIECE = 1_024           # characters of a piece
 LANES = 4_096           # pieces parsed in step
+SLICE_ROWS = 1_000      # texts held as strings at a time
 UNDETERMINED = "und"
 
 
@@ -240,7 +241,7 @@ def training_samples(documents: DataFrame, doc_id: str = "doc_id", text: str = "
     return samples
 
 
-_PARSERS: dict[str, Parser | None] = {}  # a worker's, by fit
+_PARSERS: dict[str, Parser | None] = {}  # a task's, by fit
 
 
 def identify_languages(documents: DataFrame, training: DataFrame, doc_id: str = "doc_id",
@@ -263,12 +264,17 @@ def identify_languages(documents: DataFrame, training: DataFrame, doc_id: str =
         if fit not in _PARSERS:
             _PARSERS.clear()
             _PARSERS[fit] = build_parser(shared.value) if shared.value else None
-        for batch in batches:
-            labels, scores = identify(_PARSERS[fit], batch.column(len(keep)).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in range(len(keep))]
-                + [pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
-                names=[*[f"k{i}" for i in range(len(keep))], "lang_pred", "score"])
+        try:
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE_ROWS):
+                    part = batch.slice(at, SLICE_ROWS)
+                    labels, scores = identify(_PARSERS[fit], part.column(len(keep)).to_pylist())
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(i) for i in range(len(keep))]
+                        + [pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
+                        names=[*[f"k{i}" for i in range(len(keep))], "lang_pred", "score"])
+        finally:
+            _PARSERS.clear()    # an idle worker must not hold the tables while later stages run
 
     out = ", ".join([*(f"k{i} {kind}" for i, kind in enumerate(kinds)),
                      "lang_pred string, score double"])
