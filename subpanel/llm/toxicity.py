@@ -1,28 +1,37 @@
 """Toxicity by nearest labelled examples (operator 5).
 
 A text's score is the distance-weighted vote of its nearest labelled
-examples by cosine over the TF-IDF weights of all terms. The neighbours are exact. The
-``HEAD`` terms that most examples hold are a dense matrix, all others an
-inverted index: a text's products with all examples are a matrix product in
-single precision plus sums over postings, and every example whose sum comes
-within ``SLACK`` of the k-th largest is scored again in double precision.
+examples by cosine over the TF-IDF weights of all terms. The neighbours are
+exact. Examples lie in blocks of ``BLOCK``, alike ones side by side, in an
+inverted index. A text's products with the terms that few examples hold are
+summed over their postings; of the ``HEAD`` terms that most examples hold the
+index keeps each block's largest weight. A block whose bound (largest sum so
+far, and the smaller of the product with its maxima and of norms) stays below
+the k-th cosine already surely reached is skipped; the others are multiplied
+in single precision, and every example that comes within ``SLACK`` of the
+k-th largest is scored again in double precision.
 
 Terms are words and the first ``PREFIX`` bytes of longer words (inflected
 forms of one stem share them). The examples are a bounded sample
-(``TRAIN_ROWS``) of the labelled rows, near copies counted once; every term of
-theirs is in the index, with its document frequency over all documents. A
-term's idf counts as many times as its toxic rate among the examples surely
+(``TRAIN_ROWS``) of the labelled rows, one text an id; texts of equal terms and
+counts are one example that counts both labels and votes with its rate. Every
+term of theirs is in the index, with its document frequency over all documents.
+A term's idf counts as many times as its toxic rate among the examples surely
 exceeds the base rate, and once if it doesn't: no term is left out. A
 term that no example holds adds to a text's norm with the weight of a term of
-one document. The vote is calibrated on the examples themselves, each scored
-without itself, by isotonic regression.
+one document. The vote is calibrated on the examples themselves by isotonic
+regression, each row scored without itself: neither its vote nor its label in
+the terms' weights takes part.
+
+The index is packed by Spark, a range of terms a group; the driver receives the
+packed bytes, whose number ``TRAIN_ROWS`` bounds at a given length of texts.
 
 Defined results: null and empty texts and texts without a term of an example have
-no neighbour and get the rate of examples without a term; with no labelled row
-every score is 0. If a doc_id is labelled more than once it is toxic if any
-label says so; null labels and null ids teach nothing. Each input row gives
-one output row; an empty table gives an empty result; other columns of either
-table aren't read.
+no neighbour and get the toxic rate of the sampled rows without a term; with no
+labelled row every score is 0. If a doc_id is labelled more than once it is toxic
+if any label says so; null labels and null ids teach nothing; of several texts of
+one id one (by hash) teaches. Each input row gives one output row; an empty table
+gives an empty result; other columns of either table aren't read.
 """
 
 from __future__ import annotations
@@ -34,18 +43,21 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_bucket, stored
-from .textops import ALNUM, Words, mix, shingles, slices
+from .common import discard, id_bucket, stored
+from .textops import ALNUM, Words, mix, slices
 
 TRAIN_ROWS = 20_000   # labelled examples, about
-HEAD = 512            # terms kept as a dense matrix
+HEAD = 512            # terms whose block maxima are kept
+BLOCK = 64            # examples a block
+TILE = 8              # texts a block is multiplied with at a time; larger products wake idle threads
 SLACK = 1e-5          # more than single precision can be off by
-LANES = 128           # texts multiplied at a time
+LANES = 128           # texts searched at a time
+PARTS = 64            # ranges of terms the index is packed by
+SIGNS = 32            # most frequent terms whose presence orders the examples
 CHUNK = 1 << 20       # postings handled at a time on the driver
 TASK_EXAMPLES = 1_000  # examples a task scores without themselves
 Z = 3.0               # deviations of a term's toxic rate that are conceded
@@ -93,12 +105,12 @@ def _known_counts(words: Words, vocabulary: np.ndarray):
 
 def _examples(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
               rows: int) -> DataFrame:
-    """The sampled examples, near copies once: doc_id, toxic, terms, counts."""
-    known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("toxic")).where(
+    """The sampled examples: doc_id, toxic, digest of terms and counts, terms, counts, row."""
+    known = labels.select(F.col(doc_id).alias("doc_id"), (F.col(label) > 0).cast("int").alias("toxic")).where(
         "doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total = max(known.count(), 1)
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
-    sample = known.where(place < int((1 << 40) * min(1.0, rows / total))).limit(2 * rows)
+    sample = known.where(place < int((1 << 40) * min(1.0, rows / total))).orderBy(place, "doc_id").limit(2 * rows)
     texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(
         F.broadcast(sample), "doc_id")
     id_type = texts.schema["doc_id"].dataType.simpleString()
@@ -110,24 +122,27 @@ def _examples(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, l
                 owner, term, count = _counts(words)
                 row += words.n
                 bounds = np.searchsorted(owner, np.arange(words.n + 1)).astype(np.int32)
-                of, _, shingle = shingles(words, 5, whole_if_short=True)
-                sketch = np.zeros(words.n, dtype=np.uint64)
-                if len(of):
-                    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-                    sketch[of[first]] = np.minimum.reduceat(shingle, first)
+                digest = np.zeros(words.n, dtype=np.uint64)
+                np.add.at(digest, owner, mix(term + mix(count.astype(np.uint64))))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(words.first, words.n),
-                     batch.column(2).slice(words.first, words.n), pa.array(sketch.view(np.int64)),
+                     batch.column(2).slice(words.first, words.n), pa.array(digest.view(np.int64)),
                      pa.ListArray.from_arrays(bounds, pa.array(term.view(np.int64))),
                      pa.ListArray.from_arrays(bounds, pa.array(count.astype(np.int32))),
                      pa.array(np.arange(row - words.n, row))],
-                    names=["doc_id", "toxic", "sketch", "terms", "counts", "row"])
+                    names=["doc_id", "toxic", "digest", "terms", "counts", "row"])
+
+    return stored(texts.select("doc_id", "text", "toxic").mapInArrow(
+        run, f"doc_id {id_type}, toxic int, digest long, terms array<long>, counts array<int>, row long"), "examples")
+
 
-    described = stored(texts.select("doc_id", "text", "toxic").mapInArrow(
-        run, f"doc_id {id_type}, toxic int, sketch long, terms array<long>, counts array<int>, row long"), "examples")
-    one = described.groupBy("sketch", "toxic").agg(F.min(F.struct("doc_id", "row")).alias("x")).groupBy(
-        "x.doc_id").agg(F.min("x.row").alias("row"))
-    return described.join(F.broadcast(one.select("row")), "row", "left_semi")
+def _distinct_examples(described: DataFrame) -> DataFrame:
+    """One row per term vector: doc_id (the smallest), row, size (terms), toxic and held (labelled ids)."""
+    of_id = described.groupBy("doc_id").agg(
+        F.min(F.struct("digest", F.size("terms").alias("size"), "row", "toxic")).alias("x"))
+    return of_id.groupBy("x.digest", "x.size").agg(
+        F.min(F.struct("doc_id", "x.row")).alias("first"), F.sum("x.toxic").alias("toxic"),
+        F.count(F.lit(1)).alias("held")).select("first.doc_id", "first.row", "size", "toxic", "held")
 
 
 @dataclass
@@ -135,47 +150,87 @@ class Index:
     """Postings of all terms of the examples; matrix and weights are made where they are used."""
 
     vocabulary: np.ndarray   # sorted term hashes
-    idf: np.ndarray
+    idf: np.ndarray          # times relevance
     unseen_idf: float        # of a term that isn't in the vocabulary
-    example: np.ndarray      # per posting, term by term and in example order
+    example: np.ndarray      # per posting, term by term
     count: np.ndarray
     bounds: np.ndarray       # postings of each term: bounds[term] … bounds[term + 1]
     norm: np.ndarray         # per example
-    toxic: np.ndarray
+    toxic: np.ndarray        # toxic rows of each example
+    held: np.ndarray         # rows of each example
     ids: list
     base_rate: float
-    none_rate: float         # toxic rate of examples without a term
+    none_rate: float         # toxic rate of rows without a term
+    rows_of: tuple[np.ndarray, np.ndarray] | None = None  # each term's rows and toxic rows, if it has a relevance
+    visited: int = 0         # blocks multiplied, and all blocks a text met
+    met: int = 0
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k in self.__dataclass_fields__}
 
     @cached_property
     def weight(self) -> np.ndarray:
-        out = 1 + np.log(self.count.astype(float))
-        out *= np.repeat(self.idf, np.diff(self.bounds))
-        out /= self.norm[self.example]
+        out = np.empty(len(self.example))
+        for a, b, term in _runs(self.bounds):
+            out[a:b] = (1 + np.log(self.count[a:b].astype(float))) * self.idf[term] / self.norm[self.example[a:b]]
         return out
 
+    @cached_property
+    def rate(self) -> np.ndarray:
+        return self.toxic / self.held
+
+    @cached_property
+    def by_id(self) -> np.ndarray:
+        """Places of the examples in the order of their ids."""
+        out = np.empty(len(self.ids), np.int64)
+        out[sorted(range(len(self.ids)), key=self.ids.__getitem__)] = np.arange(len(self.ids))
+        return out
+
+    @cached_property
+    def frequent(self) -> np.ndarray:
+        return np.argsort(-np.diff(self.bounds), kind="stable")[:HEAD]
+
     @cached_property
     def column(self) -> np.ndarray:
         """Of the terms that most examples hold their column in ``head``, -1 for others."""
-        frequent = np.argsort(-np.diff(self.bounds), kind="stable")[:HEAD]
         column = np.full(len(self.vocabulary), -1)
-        column[frequent] = np.arange(len(frequent))
+        column[self.frequent] = np.arange(len(self.frequent))
         return column
 
     @cached_property
     def head(self) -> np.ndarray:
-        """Weights of frequent terms, examples x columns."""
-        out = np.zeros((len(self.ids), int(self.column.max(initial=-1)) + 1))
-        for term in np.flatnonzero(self.column >= 0):
+        """Counts of frequent terms, examples x columns."""
+        out = np.zeros((len(self.ids), len(self.frequent)), self.count.dtype)
+        for j, term in enumerate(self.frequent):
             a, b = self.bounds[term], self.bounds[term + 1]
-            out[self.example[a:b], self.column[term]] = self.weight[a:b]
+            out[self.example[a:b], j] = self.count[a:b]
         return out
 
+    def head_weights(self, some: np.ndarray) -> np.ndarray:
+        """Weights of frequent terms of some examples, in double precision."""
+        count = self.head[some].astype(float)
+        out = np.log(np.maximum(count, 1)) + (count > 0)
+        return out * self.idf[self.frequent] / self.norm[some][:, None]
+
     @cached_property
-    def narrow(self) -> np.ndarray:
-        return np.ascontiguousarray(self.head.T.astype(np.float32))
+    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Weights of frequent terms (examples x columns), block maxima (columns x blocks), largest norms."""
+        narrow = np.concatenate([self.head_weights(np.arange(a, min(a + 1024, len(self.ids)))).astype(np.float32)
+                                 for a in range(0, len(self.ids), 1024)])
+        starts = np.arange(0, len(self.ids), BLOCK)
+        norms = np.sqrt(np.einsum("ij,ij->i", narrow, narrow))
+        return narrow, np.ascontiguousarray(np.maximum.reduceat(narrow, starts, axis=0).T), \
+            np.maximum.reduceat(norms, starts)
+
+    @cached_property
+    def own_ratio(self) -> list[np.ndarray]:
+        """Per label: a term's relevance without one row of that label, over its relevance."""
+        if self.rows_of is None:
+            return [np.ones(len(self.idf))] * 2
+        held, toxic = self.rows_of
+        whole = _relevance(held, toxic, self.base_rate)
+        return [_relevance(np.maximum(held - 1, 0), np.clip(toxic - y, 0, np.maximum(held - 1, 0)),
+                           self.base_rate) / whole for y in (0, 1)]
 
     def own_weights(self, first: int, stop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(example - first, term, weight) of examples first … stop - 1, example by example."""
@@ -205,30 +260,56 @@ class Index:
             stop = min(start + LANES, texts)
             some = np.arange(at[start], at[stop])
             some = some[column[some] >= 0]
-            dense = np.zeros((stop - start, self.head.shape[1]))
+            dense = np.zeros((stop - start, len(self.frequent)))
             dense[text[some] - start, column[some]] = query[some]
-            product = dense.astype(np.float32) @ self.narrow
+            tail = np.zeros((stop - start, len(self.ids)))
             for i in range(start, stop):
                 own = np.arange(at[i], at[i + 1])
                 own = own[size[own] > 0]
                 if len(own):
                     posts = [slice(a, a + n) for a, n in zip(low[own].tolist(), size[own].tolist(), strict=True)]
-                    tail = np.bincount(
+                    tail[i - start] = np.bincount(
                         np.concatenate([self.example[x] for x in posts]),
                         np.concatenate([self.weight[x] for x in posts]) * np.repeat(query[own], size[own]),
                         minlength=len(self.ids))
-                else:
-                    tail = np.zeros(len(self.ids))
-                score = tail + product[i - start]
-                if without is not None:
-                    score[without[i]] = -1
+            if without is not None:
+                tail[np.arange(stop - start), without[start:stop]] = -np.inf
+            sums = self._sums(dense, tail, k)
+            for i in range(stop - start):
+                score = sums[i]
                 least = np.partition(score, -k)[-k] if len(score) > k else 0.0
                 near = np.flatnonzero((score >= least - SLACK) & (score >= 0))
-                exact = tail[near] + self.head[near] @ dense[i - start]
+                exact = tail[i, near] + self.head_weights(near) @ dense[i]
                 near, exact = near[exact > 0], exact[exact > 0]
-                order = np.lexsort((near, -exact))[:k]
+                order = np.lexsort((self.by_id[near], -exact))[:k]
                 yield near[order], exact[order]
 
+    def _sums(self, dense: np.ndarray, tail: np.ndarray, k: int) -> np.ndarray:
+        """Cosines in single precision, texts x examples; -inf in blocks that can't hold one of the k nearest."""
+        narrow, maxima, norms = self.blocks
+        texts, count = tail.shape
+        thin = dense.astype(np.float32)
+        bound = np.maximum.reduceat(tail, np.arange(0, count, BLOCK), axis=1)
+        for a in range(0, texts, TILE):
+            bound[a:a + TILE] += np.minimum(
+                _tiled(thin[a:a + TILE], maxima), np.sqrt(np.einsum("ij,ij->i", thin[a:a + TILE], thin[a:a + TILE]))
+                [:, None] * norms)
+        least = np.zeros(texts)
+        if count > 2 * k:  # the k-th of the most promising examples is reached for sure
+            for i in range(texts):
+                seeds = np.argpartition(tail[i], -2 * k)[-2 * k:]
+                least[i] = np.partition(tail[i, seeds] + narrow[seeds] @ thin[i], -k)[-k]
+        alive = bound >= np.maximum(least, 0)[:, None] - SLACK
+        self.met += alive.size
+        self.visited += int(alive.sum())
+        sums = np.full((texts, count), -np.inf)
+        for b in np.flatnonzero(alive.any(axis=0)):
+            block, lanes = slice(b * BLOCK, (b + 1) * BLOCK), np.flatnonzero(alive[:, b])
+            for a in range(0, len(lanes), TILE):
+                few = lanes[a:a + TILE]
+                sums[few, block] = tail[few, block] + thin[few] @ narrow[block].T
+        return sums
+
     def neighbours(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS,
                    without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of largest cosine of one text whose terms are all known."""
@@ -238,7 +319,16 @@ class Index:
 
     def vote(self, ids: np.ndarray, cosines: np.ndarray) -> float:
         weight = cosines ** 2
-        return float((PRIOR * self.base_rate + (weight * self.toxic[ids]).sum()) / (PRIOR + weight.sum()))
+        return float((PRIOR * self.base_rate + (weight * self.rate[ids]).sum()) / (PRIOR + weight.sum()))
+
+    def own_vote(self, own: int, label: int, ids: np.ndarray, cosines: np.ndarray) -> float:
+        """The vote for one of an example's rows: its equals without it, and the nearest of the others."""
+        equal = self.held[own] - 1
+        if not equal:
+            return self.vote(ids, cosines)
+        weight = np.append(cosines[:NEIGHBOURS - 1] ** 2, 1.0)
+        rate = np.append(self.rate[ids[:NEIGHBOURS - 1]], (self.toxic[own] - label) / equal)
+        return float((PRIOR * self.base_rate + (weight * rate).sum()) / (PRIOR + weight.sum()))
 
 
 @dataclass
@@ -247,11 +337,17 @@ class Fitted:
     curve: tuple[np.ndarray, np.ndarray]  # calibration: votes, rates
 
 
-def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _tiled(few: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """``few`` @ ``wide``, BLOCK columns at a time."""
+    return np.concatenate([few @ wide[:, a:a + BLOCK] for a in range(0, wide.shape[1], BLOCK)], axis=1)
+
+
+def _isotonic(x: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Least-squares nondecreasing fit of y over x (pooled neighbours), as points to interpolate."""
     pools: list[list[float]] = []  # sum of x, sum of y, count
-    for a, b in sorted(zip(x.tolist(), y.tolist(), strict=True)):
-        pools.append([a, b, 1.0])
+    times = np.ones(len(x)) if times is None else times
+    for a, b, n in sorted(zip(x.tolist(), y.tolist(), times.tolist(), strict=True)):
+        pools.append([a * n, b * n, n])
         while len(pools) > 1 and (pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]
                                   or pools[-2][0] / pools[-2][2] == pools[-1][0] / pools[-1][2]):
             top = pools.pop()
@@ -261,52 +357,72 @@ def _isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             np.maximum.accumulate(np.array([(b + 0.5) / (n + 1) for _, b, n in pools])))
 
 
+def _runs(bounds: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Postings of about CHUNK at a time: first, end, and the term of each."""
+    low, terms = 0, len(bounds) - 1
+    while low < terms:
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + CHUNK, "right")) - 1)
+        yield int(bounds[low]), int(bounds[high]), np.repeat(
+            np.arange(low, high), np.diff(bounds[low:high + 1]))
+        low = high
+
+
 def _smallest(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max(initial=0))))
 
 
 def build_index(vocabulary: np.ndarray, idf: np.ndarray, examples: pd.DataFrame,
                 base_rate: float, unseen_idf: float = 1.0) -> Index:
-    """``examples``: doc_id, toxic, terms (places in the vocabulary), counts; by doc_id."""
+    """``examples``: doc_id, toxic, terms (places in the vocabulary), counts; by doc_id. No term has a relevance."""
     size = examples["terms"].map(len).to_numpy(dtype=np.int64)
-    return _index(vocabulary, idf, examples["doc_id"].tolist(), examples["toxic"].to_numpy(dtype=float), size,
-                  np.concatenate([*map(np.asarray, examples["terms"]), np.zeros(0, np.int64)]).astype(np.int32),
-                  np.concatenate([*map(np.asarray, examples["counts"]), np.zeros(0, np.int64)]).astype(np.int64),
-                  base_rate, unseen_idf)
-
-
-def _index(vocabulary: np.ndarray, idf: np.ndarray, ids: list, toxic: np.ndarray, size: np.ndarray,
-           terms: np.ndarray, counts: np.ndarray, base_rate: float, unseen_idf: float) -> Index:
-    """``terms`` and ``counts`` of all examples, one example after the other."""
-    holds = size > 0
-    none, kept = toxic[~holds], int(holds.sum())
-    example = np.repeat(_smallest(np.arange(kept)), size[holds])
+    toxic, holds = examples["toxic"].to_numpy(dtype=float), size > 0
+    terms = np.concatenate([*map(np.asarray, examples["terms"]), np.zeros(0, np.int64)]).astype(np.int64)
+    counts = np.concatenate([*map(np.asarray, examples["counts"]), np.zeros(0, np.int64)]).astype(np.int64)
+    order = np.argsort(terms, kind="stable")
+    bounds = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=len(vocabulary)))))
+    return _index(vocabulary, idf, unseen_idf, bounds,
+                  np.repeat(np.arange(holds.sum()), size[holds])[order], _smallest(counts[order]),
+                  [x for x, y in zip(examples["doc_id"].tolist(), holds, strict=True) if y], toxic[holds],
+                  np.ones(int(holds.sum())), base_rate, _none_rate(toxic[~holds].sum(), (~holds).sum(), base_rate))
+
+
+def _none_rate(toxic: float, rows: float, base_rate: float) -> float:
+    return float((toxic + 0.5 * base_rate) / (rows + 0.5))
+
+
+def _index(vocabulary: np.ndarray, idf: np.ndarray, unseen_idf: float, bounds: np.ndarray, example: np.ndarray,
+           count: np.ndarray, ids: list, toxic: np.ndarray, held: np.ndarray, base_rate: float, none_rate: float,
+           relevant: bool = False) -> Index:
+    """Postings term by term; examples are put in an order that brings alike ones together."""
+    kept = len(ids)
+    rows_of = None
+    if relevant:
+        rows_of = np.zeros(len(vocabulary)), np.zeros(len(vocabulary))
+        for a, b, term in _runs(bounds):
+            for total, each in zip(rows_of, (held, toxic), strict=True):
+                if len(term):
+                    total[term[0]:term[-1] + 1] += np.bincount(term - term[0], each[example[a:b]])
+        idf = idf * _relevance(*rows_of, base_rate)
+    sign = np.zeros(kept, np.int64)
+    for j, term in enumerate(np.argsort(-np.diff(bounds), kind="stable")[:SIGNS]):
+        sign[example[bounds[term]:bounds[term + 1]]] |= 1 << (SIGNS - 1 - j)
+    order = np.argsort(sign, kind="stable")
+    to = np.empty(kept, np.int64)
+    to[order] = np.arange(kept)
+    to, renamed = _smallest(to), np.empty(len(example), _smallest(np.array([max(kept - 1, 0)])).dtype)
     square = np.zeros(kept)
-    for a in range(0, len(terms), CHUNK):
-        b = a + CHUNK
-        square += np.bincount(example[a:b], ((1 + np.log(counts[a:b].astype(float))) * idf[terms[a:b]]) ** 2,
-                              minlength=kept)
-    held = np.zeros(len(vocabulary), dtype=np.int64)
-    for a in range(0, len(terms), CHUNK):
-        held += np.bincount(terms[a:a + CHUNK], minlength=len(vocabulary))
-    bounds = np.concatenate(([0], np.cumsum(held)))
-    counts = _smallest(counts)
-    by_term, count = np.empty_like(example), np.empty_like(counts)
-    low = 0
-    while low < len(vocabulary):  # terms of about CHUNK postings at a time
-        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + CHUNK, "right")) - 1)
-        some = np.flatnonzero((terms >= low) & (terms < high))
-        some = some[np.argsort(terms[some], kind="stable")]
-        by_term[bounds[low]:bounds[high]] = example[some]
-        count[bounds[low]:bounds[high]] = counts[some]
-        low = high
-    return Index(vocabulary, idf, unseen_idf, by_term, count, bounds, np.sqrt(square),
-                 toxic[holds], [x for x, y in zip(ids, holds, strict=True) if y], base_rate,
-                 float((none.sum() + 0.5 * base_rate) / (len(none) + 0.5)))
+    for a, b, term in _runs(bounds):
+        renamed[a:b] = to[example[a:b]]
+        square += np.bincount(renamed[a:b], ((1 + np.log(count[a:b].astype(float))) * idf[term]) ** 2, minlength=kept)
+    return Index(vocabulary, idf, unseen_idf, renamed, count, bounds, np.sqrt(square), toxic[order], held[order],
+                 [ids[i] for i in order], base_rate, none_rate, rows_of)
 
 
 def own_votes(spark: SparkSession, shared: Broadcast, count: int) -> pd.DataFrame:
-    """(vote, toxic) of an index's ``count`` examples, each scored without itself; tasks share the work."""
+    """(vote, toxic, times) of the rows of an index's ``count`` examples, each scored without itself; tasks share them.
+
+    Rows of one example and label have one vote; ``times`` is their number.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
@@ -314,13 +430,21 @@ def own_votes(spark: SparkSession, shared: Broadcast, count: int) -> pd.DataFram
             for first in batch.column(0).to_pylist():
                 stop = min(first + TASK_EXAMPLES, count)
                 text, term, weight = index.own_weights(first, stop)
-                found = index.nearest(text, term, weight, stop - first, without=np.arange(first, stop))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([index.vote(*x) for x in found], pa.float64()), pa.array(index.toxic[first:stop])],
-                    names=["vote", "toxic"])
+                for label, rows in enumerate((index.held - index.toxic, index.toxic)):
+                    own = first + np.flatnonzero(rows[first:stop] > 0)
+                    here = np.isin(text + first, own)
+                    ratio = index.own_ratio[label][term[here]]
+                    lane = np.searchsorted(own, text[here] + first)
+                    query = weight[here] * ratio
+                    query *= ratio / np.sqrt(np.bincount(lane, query * query, minlength=len(own)))[lane]
+                    found = index.nearest(lane, term[here], query, len(own), without=own)
+                    votes = [index.own_vote(x, label, *y) for x, y in zip(own, found, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(votes, pa.float64()), pa.array(np.full(len(own), float(label))),
+                         pa.array(rows[own].astype(float))], names=["vote", "toxic", "times"])
 
     return spark.range(0, count, TASK_EXAMPLES, -(-count // TASK_EXAMPLES)).mapInArrow(
-        run, "vote double, toxic double").toArrow().to_pandas()
+        run, "vote double, toxic double, times double").toArrow().to_pandas()
 
 
 def _relevance(held: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
@@ -331,43 +455,86 @@ def _relevance(held: np.ndarray, toxic: np.ndarray, base: float) -> np.ndarray:
     return np.maximum(1.0, lower / base) if base else np.ones(len(held))
 
 
+def _packed(described: DataFrame, row: np.ndarray, number: np.ndarray, vocabulary: np.ndarray):
+    """Postings of the numbered rows, term by term: bounds, example, count. Spark packs each range of terms."""
+    spark = described.sparkSession
+    shared = spark.sparkContext.broadcast((row, number, vocabulary))
+    width = -(-len(vocabulary) // PARTS)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, numbers, known = shared.value
+        for batch in batches:
+            at = np.minimum(np.searchsorted(rows, batch.column(2).to_numpy()), len(rows) - 1)
+            chosen = np.flatnonzero(rows[at] == batch.column(2).to_numpy())
+            terms, counts = batch.column(0).take(pa.array(chosen)), batch.column(1).take(pa.array(chosen))
+            example = np.repeat(numbers[at[chosen]], terms.value_lengths().to_numpy()).astype(np.int32)
+            place = np.searchsorted(known, terms.flatten().to_numpy().view(np.uint64)).astype(np.int32)
+            order = np.argsort(place, kind="stable")
+            place, example = place[order], example[order]
+            count = counts.flatten().to_numpy()[order]
+            cuts = np.searchsorted(place, np.arange(PARTS + 1) * width)
+            full = np.flatnonzero(np.diff(cuts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full.astype(np.int32)),
+                 *[pa.array([x[cuts[i]:cuts[i + 1]].tobytes() for i in full], pa.binary())
+                   for x in (place, example, count)]], names=["part", "place", "example", "count"])
+
+    def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        part, known = key[0].as_py(), len(shared.value[2])
+        place, example, count = (np.concatenate([np.frombuffer(x, np.int32) for x in table[name].to_pylist()])
+                                 for name in ("place", "example", "count"))
+        order = np.lexsort((example, place))
+        held = np.bincount(place - part * width, minlength=min(width, known - part * width)).astype(np.int32)
+        return pa.table({"part": pa.array([part], pa.int32()), "held": pa.array([held.tobytes()], pa.binary()),
+                         "example": pa.array([_smallest(example[order]).tobytes()], pa.binary()),
+                         "count": pa.array([_smallest(count[order]).tobytes()], pa.binary())})
+
+    found = described.select("terms", "counts", "row").mapInArrow(
+        split, "part int, place binary, example binary, count binary").groupBy("part").applyInArrow(
+        pack, "part int, held binary, example binary, count binary").toArrow().sort_by("part")
+    held, sizes = np.zeros(len(vocabulary) + 1, np.int64), []
+    for part, packed in zip(found["part"].to_pylist(), found["held"].to_pylist(), strict=True):
+        some = np.frombuffer(packed, np.int32)
+        held[1 + part * width:][:len(some)] = some
+        sizes.append(int(some.sum()))
+
+    def unpacked(name: str) -> np.ndarray:
+        return np.concatenate([np.frombuffer(x, f"u{len(x) // n}")
+                               for x, n in zip(found[name].to_pylist(), sizes, strict=True)])
+
+    return np.cumsum(held), unpacked("example"), unpacked("count")
+
+
 def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "toxic", rows: int = TRAIN_ROWS) -> Fitted | None:
     """The index of a bounded sample of ``labels``, broadcast once, and its curve; idf counts every document."""
-    found = _examples(documents, labels, doc_id, text, label, rows).select(
-        "doc_id", "toxic", "terms", "counts").toArrow()  # TRAIN_ROWS texts' terms
-    if not len(found):
+    spark = documents.sparkSession
+    described = _examples(documents, labels, doc_id, text, label, rows)
+    examples = _distinct_examples(described).toArrow().sort_by("doc_id")  # TRAIN_ROWS rows without their texts
+    if not len(examples):
         return None
-    ids = found["doc_id"].to_pylist()
-    toxic = found["toxic"].to_numpy().astype(float)
-    size = pc.list_value_length(found["terms"]).to_numpy().astype(np.int64)
-    flat = lambda name, kind: np.concatenate([
-        x.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False) for x in found[name].chunks])
-    counts, hashes = _smallest(flat("counts", np.int32)), flat("terms", np.int64).view(np.uint64)
-    del found
-    pa.default_memory_pool().release_unused()
-    vocabulary = np.unique(hashes)
-    place = np.concatenate([np.searchsorted(vocabulary, hashes[a:a + CHUNK]).astype(np.int32)
-                            for a in range(0, max(len(hashes), 1), CHUNK)])
-    del hashes
-    order, at = sorted(range(len(ids)), key=ids.__getitem__), np.concatenate(([0], np.cumsum(size)))
-    by_id = lambda x: np.concatenate([x[at[i]:at[i + 1]] for i in order])
-    place, counts = by_id(place), by_id(counts)
-    ids, toxic, size = [ids[i] for i in order], toxic[order], size[order]
-    base = float(toxic.mean())
+    row, size, toxic, held = (examples[x].to_numpy() for x in ("row", "size", "toxic", "held"))
+    holds = size > 0
+    base = float(toxic.sum() / held.sum())
+    none_rate = _none_rate(toxic[~holds].sum(), held[~holds].sum(), base)
+    ids = [x for x, y in zip(examples["doc_id"].to_pylist(), holds, strict=True) if y]
+    row, toxic, held = row[holds], toxic[holds].astype(float), held[holds].astype(float)
+    order = np.argsort(row)
+    vocabulary = np.sort(described.select(F.explode("terms").alias("term")).distinct()
+                         .toArrow()["term"].to_numpy().view(np.uint64))
     frequency, documents_n = _document_frequency(documents, text, vocabulary)
     idf = np.log((1 + documents_n) / (1 + frequency)) + 1
-    idf *= _relevance(np.bincount(place, minlength=len(vocabulary)),
-                      np.bincount(place[np.repeat(toxic > 0, size)], minlength=len(vocabulary)), base)
-    index = _index(vocabulary, idf, ids, toxic, size, place, counts, base,
-                   float(np.log((1 + documents_n) / 2) + 1))
-    del place, counts
-    spark = documents.sparkSession
+    bounds, example, count = _packed(described, row[order], order, vocabulary) if ids else (
+        np.zeros(len(vocabulary) + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    index = _index(vocabulary, idf, float(np.log((1 + documents_n) / 2) + 1), bounds, example, count, ids,
+                   toxic, held, base, none_rate, relevant=True)
+    del bounds, example, count
+    discard(described)
     shared = spark.sparkContext.broadcast(index)
     curve = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-    if len(index.ids) > 1:
+    if held.sum() > 1:
         votes = own_votes(spark, shared, len(index.ids))
-        curve = _isotonic(votes["vote"].to_numpy(), votes["toxic"].to_numpy())
+        curve = _isotonic(*(votes[x].to_numpy() for x in ("vote", "toxic", "times")))
     return Fitted(shared, curve)
 
 

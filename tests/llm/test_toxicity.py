@@ -99,3 +99,86 @@ def test_own_votes_by_tasks(spark, monkeypatch):
     want = [(index.vote(*index.neighbours(np.array(terms), np.array(counts), without=place[i])), t)
             for i, t, terms, counts in rows if terms]
     np.testing.assert_allclose(sorted(map(tuple, votes[["vote", "toxic"]].to_numpy())), sorted(want), atol=1e-12)
+
+
+def test_blocks_are_skipped_and_neighbours_stay_exact(monkeypatch):
+    monkeypatch.setattr(toxicity, "HEAD", 40)
+    rng = np.random.default_rng(12)
+    # 20 vocabularies that hardly meet, as languages do; each text takes its terms from one
+    rows = []
+    for i in range(2000):
+        of = rng.integers(0, 20)
+        terms = np.unique(np.concatenate((of * 30 + rng.choice(30, 8, replace=False), rng.choice(600, 1))))
+        rows.append({"doc_id": i, "toxic": int(rng.random() < 0.1), "terms": terms,
+                     "counts": rng.integers(1, 4, len(terms))})
+    examples, idf = pd.DataFrame(rows), rng.uniform(1, 5, 600)
+    index = toxicity.build_index(np.arange(600, dtype=np.uint64), idf, examples, 0.1)
+    dense = np.zeros((2000, 600))
+    for r in rows:
+        dense[r["doc_id"], r["terms"]] = (1 + np.log(r["counts"])) * idf[r["terms"]]
+    dense /= np.sqrt((dense ** 2).sum(axis=1, keepdims=True))
+    for i in range(0, 2000, 40):
+        ids, best = index.neighbours(rows[i]["terms"], rows[i]["counts"], without=index.ids.index(i))
+        cosine = dense @ dense[i]
+        cosine[i] = -1
+        np.testing.assert_allclose(best, np.sort(cosine)[::-1][:25], atol=1e-12)
+        np.testing.assert_allclose([cosine[index.ids[x]] for x in ids], best, atol=1e-12)
+    assert 0 < index.visited < index.met
+
+
+def _trained_scores(spark, texts, toxic):
+    """Scores of texts 0, 1, ... of which all are labelled."""
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i in range(len(texts))], "doc_id long, toxic int")
+    fitted = toxicity.train(documents, labels)
+    return fitted, {r["doc_id"]: r["score"] for r in toxicity.score(documents, fitted).collect()}
+
+
+def test_one_toxic_label_of_many_equal_texts(spark):
+    fitted, scores = _trained_scores(spark, ["the same words every time"] * 40, {7})
+    index = fitted.index.value
+    assert index.held.tolist() == [40] and index.toxic.tolist() == [1]
+    assert all(x < toxicity.PREDICT_AT for x in scores.values())
+
+
+def test_one_toxic_label_of_many_empty_texts(spark):
+    fitted, scores = _trained_scores(spark, [""] * 39 + [None], {7})
+    assert abs(fitted.index.value.none_rate - 1 / 40) < 1e-9
+    assert all(abs(x - 1 / 40) < 1e-9 for x in scores.values())
+
+
+def test_texts_that_merely_resemble_each_other_stay_apart(spark):
+    base = " ".join(f"word{i}" for i in range(60))
+    fitted, _ = _trained_scores(spark, [base, base + " more", base.upper(), base + " again"], {1})
+    index = fitted.index.value
+    assert sorted(zip(index.ids, index.held.tolist(), index.toxic.tolist(), strict=True)) == \
+        [(0, 2, 0), (1, 1, 1), (3, 1, 0)]
+
+
+def test_packed_index_equals_a_plain_one(spark):
+    rng = np.random.default_rng(21)
+    texts = [" ".join(f"t{x}" for x in rng.zipf(1.4, 30) % 300) for _ in range(200)]
+    fitted, _ = _trained_scores(spark, texts, set(range(0, 200, 9)))
+    index = fitted.index.value
+    total = 0
+    for place, doc in enumerate(index.ids):
+        words = texts[doc].split()
+        terms = words + ["$" + w[:4] for w in words if len(w) > 4]
+        want = sorted(terms.count(t) for t in set(terms))
+        at = np.flatnonzero(index.example == place)
+        total += len(at)
+        assert sorted(index.count[at].tolist()) == want
+    assert total == len(index.example) == index.bounds[-1]
+    held = index.rows_of[0]
+    assert (held == np.diff(index.bounds)).all()
+
+
+def test_a_label_has_no_part_in_its_own_weights():
+    held, toxic = np.array([30.0, 30.0]), np.array([12.0, 1.0])
+    index = toxicity.build_index(np.arange(2, dtype=np.uint64), np.ones(2), pd.DataFrame(
+        [{"doc_id": i, "toxic": 0, "terms": [0, 1], "counts": [1, 1]} for i in range(3)]), 0.05)
+    index.rows_of = held, toxic
+    clean, bad = index.own_ratio
+    whole = toxicity._relevance(held, toxic, 0.05)
+    np.testing.assert_allclose(bad * whole, toxicity._relevance(held - 1, toxic - 1, 0.05))
+    assert bad[0] < 1 < clean[0] and bad[1] == clean[1] == 1
