@@ -57,6 +57,7 @@ TILE = 8              # texts a block is multiplied with at a time; larger produ
 SLACK = 1e-5          # more than single precision can be off by
 LANES = 128           # texts searched at a time
 PARTS = 64            # ranges of terms the index is packed by
+SEEDS = 4             # blocks whose k-th cosine the others have to reach
 SIGNS = 32            # most frequent terms whose presence orders the examples
 CHUNK = 1 << 20       # postings handled at a time on the driver
 TASK_EXAMPLES = 1_000  # examples a task scores without themselves
@@ -256,6 +257,8 @@ class Index:
         at, column = np.searchsorted(text, np.arange(texts + 1)), self.column[terms]
         low = self.bounds[terms]
         size = np.where(column < 0, self.bounds[terms + 1] - low, 0)
+        most = int(np.bincount(text, size, minlength=1).max(initial=0))
+        places, weights = np.empty(most, np.intp), np.empty(most)  # of one text's postings
         for start in range(0, texts, LANES):
             stop = min(start + LANES, texts)
             some = np.arange(at[start], at[stop])
@@ -268,24 +271,29 @@ class Index:
                 own = own[size[own] > 0]
                 if len(own):
                     posts = [slice(a, a + n) for a, n in zip(low[own].tolist(), size[own].tolist(), strict=True)]
-                    tail[i - start] = np.bincount(
-                        np.concatenate([self.example[x] for x in posts]),
-                        np.concatenate([self.weight[x] for x in posts]) * np.repeat(query[own], size[own]),
-                        minlength=len(self.ids))
+                    met = int(size[own].sum())
+                    np.concatenate([self.example[x] for x in posts], out=places[:met])
+                    np.concatenate([self.weight[x] for x in posts], out=weights[:met])
+                    weights[:met] *= np.repeat(query[own], size[own])
+                    tail[i - start] = np.bincount(places[:met], weights[:met], minlength=len(self.ids))
             if without is not None:
                 tail[np.arange(stop - start), without[start:stop]] = -np.inf
-            sums = self._sums(dense, tail, k)
+            sums, least = self._sums(dense, tail, k)
             for i in range(stop - start):
-                score = sums[i]
-                least = np.partition(score, -k)[-k] if len(score) > k else 0.0
-                near = np.flatnonzero((score >= least - SLACK) & (score >= 0))
+                near = np.flatnonzero(sums[i] >= max(least[i] - SLACK, 0))
+                if len(near) > k:
+                    score = sums[i, near]
+                    near = near[score >= np.partition(score, -k)[-k] - SLACK]
                 exact = tail[i, near] + self.head_weights(near) @ dense[i]
                 near, exact = near[exact > 0], exact[exact > 0]
                 order = np.lexsort((self.by_id[near], -exact))[:k]
                 yield near[order], exact[order]
 
-    def _sums(self, dense: np.ndarray, tail: np.ndarray, k: int) -> np.ndarray:
-        """Cosines in single precision, texts x examples; -inf in blocks that can't hold one of the k nearest."""
+    def _sums(self, dense: np.ndarray, tail: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines in single precision, texts x examples, and what the k-th reaches for sure.
+
+        Blocks that can't hold one of the k nearest have -inf.
+        """
         narrow, maxima, norms = self.blocks
         texts, count = tail.shape
         thin = dense.astype(np.float32)
@@ -295,11 +303,13 @@ class Index:
                 _tiled(thin[a:a + TILE], maxima), np.sqrt(np.einsum("ij,ij->i", thin[a:a + TILE], thin[a:a + TILE]))
                 [:, None] * norms)
         least = np.zeros(texts)
-        if count > 2 * k:  # the k-th of the most promising examples is reached for sure
-            for i in range(texts):
-                seeds = np.argpartition(tail[i], -2 * k)[-2 * k:]
-                least[i] = np.partition(tail[i, seeds] + narrow[seeds] @ thin[i], -k)[-k]
-        alive = bound >= np.maximum(least, 0)[:, None] - SLACK
+        if count > SEEDS * BLOCK:
+            for i, seeds in enumerate(np.argpartition(bound, -SEEDS, axis=1)[:, -SEEDS:]):
+                blocks = [slice(b * BLOCK, (b + 1) * BLOCK) for b in seeds.tolist()]
+                reached = np.concatenate([tail[i, x] + narrow[x] @ thin[i] for x in blocks])
+                if len(reached) > k:
+                    least[i] = max(np.partition(reached, -k)[-k], 0)
+        alive = bound >= least[:, None] - SLACK
         self.met += alive.size
         self.visited += int(alive.sum())
         sums = np.full((texts, count), -np.inf)
@@ -308,7 +318,7 @@ class Index:
             for a in range(0, len(lanes), TILE):
                 few = lanes[a:a + TILE]
                 sums[few, block] = tail[few, block] + thin[few] @ narrow[block].T
-        return sums
+        return sums, least
 
     def neighbours(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS,
                    without: int = -1) -> tuple[np.ndarray, np.ndarray]:
