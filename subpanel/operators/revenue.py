@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantile
+from .quantiles import exact_quantile, exact_quantiles
 from .rank import global_rank
 
 PROFILE_COLUMNS = ["mrr", "seats", "usage_per_seat", "support_tickets", "discount_pct",
@@ -82,16 +82,15 @@ def revenue_overview(panel: DataFrame) -> DataFrame:
 def distribution_profile(panel: DataFrame, columns=PROFILE_COLUMNS) -> DataFrame:
     """A5: per column mean, exact median, sample std, min, max, population skew.
 
-    One unpivot → one grouped aggregate; the median comes from the
-    histogram-narrowing exact quantile (6 groups: bounded).
+    One wide aggregate over the pruned columns; the medians of all columns
+    come from the same two or three passes (``quantiles``), without an unpivot.
     """
-    long = panel.select(*[F.col(c).cast("double").alias(c) for c in columns]) \
-                .unpivot([], columns, "column", "value").where(F.col("value").isNotNull())
-    stats = long.groupBy("column").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.skewness("value").alias("skew"))
-    med = exact_quantile(long, "value", ["column"]).withColumnRenamed("value", "median")
+    wide = panel.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    rows = [F.struct(F.lit(c).alias("column"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                     F.min(c).alias("min"), F.max(c).alias("max"), F.skewness(c).alias("skew"),
+                     F.count(c).alias("n")) for c in columns]
+    stats = wide.agg(F.array(*rows).alias("_rows")).select(F.inline("_rows")).where("n > 0")
+    med = exact_quantiles(wide, columns).unpivot([], list(columns), "column", "median")
     return stats.join(F.broadcast(med), "column").select(
         "column", F.round("mean", 2).alias("mean"), F.round("median", 2).alias("median"),
         F.round("std", 2).alias("std"), F.round("min", 2).alias("min"),

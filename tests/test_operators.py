@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subpanel.operators import cluster, quality, revenue, stats, threshold
-from subpanel.operators.quantiles import exact_quantile, exact_median_value
+from subpanel.operators.quantiles import exact_median_value, exact_quantile, exact_quantiles
 from subpanel.operators.rank import average_rank, global_rank
 from subpanel.sources.star import keep_first
 
@@ -231,3 +231,24 @@ def test_fitted_payload(spark):
     assert [x for _, x in sweep] == sorted((x for _, x in sweep), reverse=True) and sweep[0][1] > sweep[-1][1]
     calls = q["w4_call_list_fitted"](spark, SF_SMALL).collect()
     assert 0 < len(calls) <= 25 and all(r["probability"] >= 0.5 for r in calls)
+
+
+@pytest.mark.parametrize("cells,gathered", [(2000, 100_000), (50, 200), (20, 3)])
+def test_exact_quantiles_of_several_columns(spark, cells, gathered):
+    """All columns at once, by one gathering pass and by several sketched ones; ties, nulls, NaN."""
+    rng = random.Random(11)
+    rows = [(rng.gauss(0, 1e6), float(rng.choice([1, 1, 1, 7])), None if i % 3 else rng.random(),
+             float("nan") if i % 5 == 0 else -float(i), None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(5)
+    pdf = pd.DataFrame(rows, columns=list("abcde")).astype(float)
+    for q in (0.0, 0.25, 0.5, 0.999, 1.0):
+        got = exact_quantiles(df, list("abcde"), q=q, cells=cells, gathered=gathered).collect()[0]
+        for c in "abcd":
+            assert got[c] == pytest.approx(pdf[c].quantile(q), rel=1e-12, abs=1e-12), (c, q)
+        assert got["e"] is None
+
+
+def test_exact_quantiles_of_empty_tables(spark):
+    df = spark.createDataFrame([], "g string, a double")
+    assert exact_quantiles(df, ["a"]).collect() == []
+    assert exact_quantiles(df, ["a"], ["g"]).collect() == []
