@@ -37,7 +37,8 @@ def revenue_by_region_raw(raw_master: DataFrame) -> DataFrame:
     per = raw_master.groupBy("customer_id", "region_name").agg(F.sum("mrr").alias("m"))
     return per.groupBy("region_name").agg(
         F.count("*").alias("customers"), F.round(F.sum("m"), 2).alias("total_mrr"),
-    ).select(F.coalesce("region_name", F.lit("(no region)")).alias("region"),
+    ).orderBy(F.col("total_mrr").desc(), "region_name").select(
+        F.coalesce("region_name", F.lit("(no region)")).alias("region"),
              "customers", "total_mrr")
 
 
@@ -140,12 +141,13 @@ def revenue_by_dimensions(panel: DataFrame, dims=("segment", "region_name", "ind
         f"WHEN grouping({d}) = 0 THEN '{d}'" for d in dims) + " END"
     value = "coalesce(" + ", ".join(f"CASE WHEN grouping({d}) = 0 THEN cast({d} as string) END"
                                     for d in dims) + ")"
-    return spark.sql(f"""
+    out = spark.sql(f"""
         SELECT {label} AS dimension, {value} AS value,
                round(sum(m), 2) AS total_mrr,
                count(*) AS customers,
                round(sum(m) / sum(n), 2) AS mean_mrr
         FROM {{per}} GROUP BY GROUPING SETS ({sets})""", per=per)
+    return out.orderBy("dimension", F.col("total_mrr").desc(), "value")
 
 
 def month_by_segment(panel: DataFrame) -> DataFrame:

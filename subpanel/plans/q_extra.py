@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import functions as F
@@ -99,7 +100,7 @@ def p12_mirror_counts(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MIRRORS:
         base = os.path.join(checkpoint_dir(spark), "mirror", spark.sparkContext.applicationId,
-                            str(abs(hash(sf_dir))))
+                            hashlib.sha1(sf_dir.encode()).hexdigest()[:12])
         store = sinks.write_table_store(tables, os.path.join(base, "store"),
                                         {"fact_subscription_monthly": "period_key"})
         mirror = sinks.write_csv_tables(tables, os.path.join(base, "csv"))
@@ -149,8 +150,7 @@ def a15_churn_by_dimension(spark, sf_dir):
             .orderBy("dimension", "churn_rate", "category")
 
 
-# Fixed value: the reference's per-table row cap.
-ROW_CAP = 800
+ROW_CAP = quality.ROW_CAP
 
 
 @register("p5_row_cap", with_prelude(f"""

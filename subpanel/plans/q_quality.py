@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import month_start, parse_mixed_date
@@ -330,7 +330,8 @@ def _c9_action(i, action):
 
 _C9_SQL = "\nUNION ALL\n".join(
     f"SELECT {i + 1} AS step, {_sq(d)} AS defect, cast({_C9_COUNTERS[i]} as bigint) AS rows, "
-    f"{_sq(s)} AS scope, {_c9_action(i, a)} AS action, {_sq(w)} AS why"
+    f"{_sq(s)} AS scope, {_c9_action(i, a)} AS action, {_sq(w)} AS why, "
+    f"cast({' + '.join('(' + c + ')' for c in _C9_COUNTERS)} as bigint) AS total_rows_touched"
     for i, (d, s, a, w) in enumerate(quality.REPAIR_LOG))
 
 
@@ -356,7 +357,19 @@ def c11_min_clean(spark, sf_dir):
     return quality.minimal_clean(spark, sf_dir)
 
 
-@register("s6_quality_report", with_prelude("""
+LEAKAGE_NOTE = ("a customer has churned if the last month seen lies before the panel's last one; "
+                "no fact column says so, and the reason for leaving is known only afterwards, so it is no feature")
+# the report's counters of defects, and the grains of its tables
+_S6_DEFECTS = ["bu", "nu", "do", "dup", "bi", "br", "dd", "rs"]
+_S6_TABLES = ["n", "nc", "s0", "s1", "s2"]
+
+
+@register("s6_quality_report", with_prelude(f"""
+SELECT metric, value, CASE WHEN metric = 'churn.rate' THEN {_sq(LEAKAGE_NOTE)} END AS note FROM s6_metrics
+UNION ALL SELECT 'defect.total_rows_touched', sum(value), NULL FROM s6_metrics WHERE metric LIKE 'defect.%'
+UNION ALL SELECT 'rows.cap', {quality.ROW_CAP}.0, NULL
+UNION ALL SELECT 'rows.under_cap', cast(max(value) <= {quality.ROW_CAP} as double), NULL
+  FROM s6_metrics WHERE metric LIKE 'rows.%'""", [("s6_metrics", """
 SELECT metric, value FROM (
   SELECT 'rows.fact' AS metric, cast(count(*) as double) AS value FROM fact_raw
   UNION ALL SELECT 'rows.fact_unique', cast(count(*) as double) FROM fact
@@ -371,10 +384,12 @@ SELECT metric, value FROM (
   UNION ALL SELECT 'defect.blank_industry', cast(count(*) FILTER (WHERE industry = '') as double) FROM dim_customer
   UNION ALL SELECT 'defect.blank_region', cast(count(*) FILTER (WHERE region_id IS NULL) as double) FROM dim_customer
   UNION ALL SELECT 'defect.day_first_dates', cast(count(*) FILTER (WHERE regexp_matches(signup_date, '^\\d{2}/\\d{2}/\\d{4}$')) as double) FROM dim_customer
+  UNION ALL SELECT 'defect.rep_after_signup', cast(count(DISTINCT customer_id) as double) FROM clean WHERE NOT rep_assignment_valid
   UNION ALL SELECT 'churn.churned_customers', cast(sum(is_churned) as double) FROM cust_label
-  UNION ALL SELECT 'churn.rate', round(avg(is_churned), 4) FROM cust_label)"""))
+  UNION ALL SELECT 'churn.rate', round(avg(is_churned), 4) FROM cust_label)""")]))
 def s6_quality_report(spark, sf_dir):
-    """Row counts, defect inventory (raw rows) and churn count/rate, long format."""
+    """Row counts, the eight defects (raw rows) and all rows they touch, whether
+    every table is under the cap, churn count and rate with the note on leakage; long format."""
     raw = star.fact(spark, sf_dir, dedupe=False, with_plan=False)
     ded = quality.dedup_panel(spark, sf_dir)
     cust = star.dim_customer(spark, sf_dir)
@@ -387,28 +402,29 @@ def s6_quality_report(spark, sf_dir):
                   F.count_if(F.col("region_id").isNull()).alias("br"),
                   F.count_if(F.col("signup_date").rlike(quality.SLASH_DATE)).alias("dd"))
     la = labels.agg(F.sum("is_churned").alias("ch"), F.avg("is_churned").alias("rate"))
+    ra = quality.clean(spark, sf_dir, label=False).where(~F.col("rep_assignment_valid")) \
+        .groupBy("customer_id").agg(F.lit(1)).agg(F.count("*").alias("rs"))
     small = {
         "rows.dim_plan": star.dim_plan(spark, sf_dir),
         "rows.dim_region": star.dim_region(spark, sf_dir),
         "rows.dim_rep": star.dim_rep(spark, sf_dir),
     }
-    one = fa.crossJoin(da).crossJoin(ca).crossJoin(la)
+    one = fa.crossJoin(da).crossJoin(ca).crossJoin(la).crossJoin(ra) \
+        .withColumn("dup", F.col("n") - F.col("nd"))
     for i, (name, df) in enumerate(small.items()):
         one = one.crossJoin(df.agg(F.count("*").alias(f"s{i}")))
     metrics = [("rows.fact", "n"), ("rows.fact_unique", "nd"), ("rows.dim_customer", "nc"),
                ("rows.dim_plan", "s0"), ("rows.dim_region", "s1"), ("rows.dim_rep", "s2"),
                ("defect.blank_usage", "bu"), ("defect.negative_usage", "nu"),
-               ("defect.discount_over_1", "do"), ("defect.duplicated_rows", None),
+               ("defect.discount_over_1", "do"), ("defect.duplicated_rows", "dup"),
                ("defect.blank_industry", "bi"), ("defect.blank_region", "br"),
-               ("defect.day_first_dates", "dd"), ("churn.churned_customers", "ch"),
-               ("churn.rate", "rate")]
-    entries = []
-    for name, col in metrics:
-        if col is None:
-            val = (F.col("n") - F.col("nd")).cast("double")
-        elif col == "rate":
-            val = F.round(F.col("rate"), 4)
-        else:
-            val = F.col(col).cast("double")
-        entries.append(F.struct(F.lit(name).alias("metric"), val.alias("value")))
+               ("defect.day_first_dates", "dd"), ("defect.rep_after_signup", "rs"),
+               ("churn.churned_customers", "ch"), ("churn.rate", "rate")]
+    values = [(name, F.round("rate", 4) if c == "rate" else F.col(c)) for name, c in metrics]
+    values += [("defect.total_rows_touched", reduce(Column.__add__, [F.col(c) for c in _S6_DEFECTS])),
+               ("rows.cap", F.lit(quality.ROW_CAP)),
+               ("rows.under_cap", F.greatest(*_S6_TABLES) <= quality.ROW_CAP)]
+    entries = [F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"),
+                        F.lit(LEAKAGE_NOTE if name == "churn.rate" else None).cast("string").alias("note"))
+               for name, value in values]
     return one.select(F.inline(F.array(*entries)))

@@ -24,5 +24,6 @@ def load_all():
     """Import every plan module so its registrations run."""
     from . import (  # noqa: F401
         q_churn, q_cluster, q_density, q_extra, q_fitted, q_models, q_quality, q_revenue, q_scores, q_stats,
+        q_store,
     )
     return QUERIES, ORACLES
