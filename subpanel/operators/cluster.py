@@ -205,6 +205,20 @@ def pca_variance(frame: DataFrame, k: int = 2) -> list[float]:
     return [float(v) for v in m.explainedVariance]
 
 
+def pca_points(frame: DataFrame, k: int = 2) -> DataFrame:
+    """Each customer's place on the first k components, one column expression a component.
+
+    A component's sign is such that its largest loading is positive.
+    """
+    loadings = PCA(k=k, inputCol="features", outputCol="pc").fit(vectors(frame)).pc.toArray()
+    places = []
+    for j in range(k):
+        v = loadings[:, j]
+        v = v if v[abs(v).argmax()] > 0 else -v
+        places.append(sum((F.col(c) * F.lit(float(w)) for c, w in zip(Z_FEATURES, v)), F.lit(0.0)).alias(f"pc{j + 1}"))
+    return frame.select("customer_id", "segment", "is_churned", *places)
+
+
 def profiles(labelled: DataFrame, label: str = "cluster") -> DataFrame:
     """Size, churn rate, feature means, dominant segment, purity."""
     seg = labelled.groupBy(label, "segment").agg(F.count("*").alias("_n"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.distributions import f_sf, t_ppf, t_sf2
 from ..session import reliable_checkpoint
+from .quantiles import exact_quantiles
 from .rank import global_rank
 
 SIGNIFICANCE = 0.05
@@ -185,7 +186,7 @@ def qq_points(df: DataFrame, col: str, id_col: str = "customer_id") -> DataFrame
     m = (F.when(F.col("i") == F.col("n"), last)
           .when(F.col("i") == 1, F.lit(1.0) - last)
           .otherwise((F.col("i") - 0.3175) / (F.col("n") + 0.365)))
-    pts = j.select("i", inv_norm(m).alias("theoretical"), F.col(col).alias("ordered"))
+    pts = j.select("i", m.alias("probability"), inv_norm(m).alias("theoretical"), F.col(col).alias("ordered"))
     line = pts.agg(F.regr_slope("ordered", "theoretical").alias("slope"),
                    F.regr_intercept("ordered", "theoretical").alias("intercept"),
                    F.corr("ordered", "theoretical").alias("r"))
@@ -207,6 +208,31 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
                          .alias("bin_high"), "count")
 
 
+def histograms(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
+    """T10 for several columns: bins of equal width with each column's mean, median and skewness.
+
+    One aggregate for all ranges and marks, the exact medians, and one pass
+    that counts (column, bin). Null values are in no bin; a column without
+    values has none; a column of one value has bin 0 alone.
+    """
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    marks = wide.agg(F.array(*[F.struct(
+        F.lit(c).alias("column"), F.min(c).alias("_lo"), F.max(c).alias("_hi"), F.avg(c).alias("mean"),
+        F.skewness(c).alias("skew")) for c in cols]).alias("_m")).select(F.inline("_m"))
+    medians = exact_quantiles(wide, cols).unpivot([], cols, "column", "median")
+    marks = marks.join(F.broadcast(medians), "column")      # a row a column
+    values = wide.unpivot([], cols, "column", "_v").where(F.col("_v").isNotNull())
+    width = F.col("_hi") - F.col("_lo")
+    place = F.when(width == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins), F.lit(bins - 1))).cast("int")
+    counts = values.join(F.broadcast(marks.select("column", "_lo", "_hi")), "column") \
+        .groupBy("column", place.alias("bin")).agg(F.count("*").alias("count"))
+    edge = lambda b: F.col("_lo") + width * b / bins
+    return counts.join(F.broadcast(marks), "column").select(
+        "column", "bin", edge(F.col("bin")).alias("bin_low"), edge(F.col("bin") + 1).alias("bin_high"),
+        "count", "mean", "median", "skew")
+
+
 def spearman_long(df: DataFrame, cols: list[str]) -> DataFrame:
     """Spearman matrix, long as (row, col, value): Pearson of tie-averaged ranks.
 

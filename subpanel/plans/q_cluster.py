@@ -251,3 +251,11 @@ def g8_pca(spark, sf_dir):
     v = cluster.pca_variance(_frame(spark, sf_dir))
     return spark.createDataFrame([(i + 1, round(x, 6)) for i, x in enumerate(v)],
                                  "component int, explained_variance_ratio double")
+
+
+@register("g8_points")
+def g8_points(spark, sf_dir):
+    """Every customer's place on the first two principal components."""
+    p = cluster.pca_points(_frame(spark, sf_dir))
+    return p.select("customer_id", "segment", "is_churned", F.round("pc1", 6).alias("pc1"),
+                    F.round("pc2", 6).alias("pc2"))

@@ -195,3 +195,103 @@ def t3_skewness(spark, sf_dir):
     agg = mf.agg(*[F.skewness(c).alias(c) for c in _T3_COLS])
     return agg.unpivot([], _T3_COLS, "feature", "skew").select(
         "feature", F.round("skew", 4).alias("skew"))
+
+
+_T4_COLS = ["nps_score", *churn.MODEL_NUMERIC_FEATURES]
+
+
+@register("t4_gram", with_prelude("\nUNION ALL\n".join(
+    f"SELECT '{a}' AS row, '{b}' AS col, round(covar_pop({a}, {b}) * count(*), 4) AS value, count(*) AS n "
+    "FROM model_frame" for i, a in enumerate(_T4_COLS) for b in _T4_COLS[i:])))
+def t4_gram(spark, sf_dir):
+    """T4: the centred cross-products that the regression is solved from (upper triangle)."""
+    gm = stats.gram(_model_frame(spark, sf_dir), _T4_COLS[0], _T4_COLS[1:])
+    rows = [(a, b, round(float(gm["G"][i, j]), 4), int(gm["n"]))
+            for i, a in enumerate(_T4_COLS) for j, b in enumerate(_T4_COLS) if j >= i]
+    return spark.createDataFrame(rows, "row string, col string, value double, n long")
+
+
+@register("t6_one_feature", with_prelude("""
+SELECT 'intercept_only' AS model, 0 AS terms, 0.0::double AS r2, 0.0::double AS adj_r2
+UNION ALL
+SELECT 'one_feature', 1, round(r2, 6), round(1.0 - (1.0 - r2) * (n - 1) / (n - 2), 6)
+FROM (SELECT regr_r2(nps_score, usage_per_seat) AS r2, count(*) AS n FROM model_frame)"""))
+def t6_one_feature(spark, sf_dir):
+    """The mean and the one-feature model of the parsimony table."""
+    mf = _model_frame(spark, sf_dir)
+    gm = stats.gram(mf, "nps_score", ["usage_per_seat"])
+    rows = []
+    for name, xs in (("intercept_only", []), ("one_feature", ["usage_per_seat"])):
+        fit = stats.solve_ols(gm, xs)
+        rows.append((name, len(xs), round(float(fit["r2"]), 6), round(float(fit["adj_r2"]), 6)))
+    return spark.createDataFrame(rows, "model string, terms int, r2 double, adj_r2 double")
+
+
+_ONE_FEATURE = [("line", "SELECT regr_slope(nps_score, usage_per_seat) AS b, "
+                         "regr_intercept(nps_score, usage_per_seat) AS a FROM model_frame"),
+                ("fits", "SELECT customer_id, a + b * usage_per_seat AS fitted, "
+                         "nps_score - (a + b * usage_per_seat) AS residual FROM model_frame, line"),
+                ("marks", """SELECT stddev_samp(residual) AS sd,
+      (avg(residual * residual * residual) - 3 * avg(residual) * avg(residual * residual)
+       + 2 * avg(residual) * avg(residual) * avg(residual))
+      / pow(avg(residual * residual) - avg(residual) * avg(residual), 1.5) AS skew FROM fits""")]
+
+
+def _one_feature_residuals(spark, sf_dir):
+    mf = _model_frame(spark, sf_dir)
+    fit = stats.solve_ols(stats.gram(mf, "nps_score", ["usage_per_seat"]), ["usage_per_seat"])
+    return stats.residuals(mf, "nps_score", fit)
+
+
+@register("t8_one_feature_residuals", with_prelude("""
+SELECT customer_id, round(fitted, 6) AS fitted, round(residual, 6) AS residual,
+       round(residual / sd, 6) AS std_residual, round(skew, 4) AS residual_skew
+FROM fits, marks""", _ONE_FEATURE))
+def t8_one_feature_residuals(spark, sf_dir):
+    """T8 of the one-feature model, with the skewness of its residuals."""
+    r = _one_feature_residuals(spark, sf_dir)
+    skew = r.agg(F.round(F.skewness("residual"), 4).alias("residual_skew"))
+    return r.crossJoin(F.broadcast(skew)).select(
+        "customer_id", *[F.round(c, 6).alias(c) for c in ("fitted", "residual", "std_residual")], "residual_skew")
+
+
+@register("t8_residual_skew")
+def t8_residual_skew(spark, sf_dir):
+    """Skewness and spread of the full model's residuals."""
+    mf, xs = _ols_inputs(spark, sf_dir)
+    fit = stats.solve_ols(stats.gram(mf, "nps_score", xs), xs)
+    return stats.residuals(mf, "nps_score", fit).agg(
+        F.count("*").alias("n"), F.round(F.skewness("residual"), 4).alias("residual_skew"),
+        F.round(F.stddev_samp("residual"), 6).alias("residual_std"))
+
+
+@register("t9_order_points", with_prelude("""
+SELECT i, round(CASE WHEN i = n THEN pow(0.5, 1.0 / n) WHEN i = 1 THEN 1.0 - pow(0.5, 1.0 / n)
+            ELSE (i - 0.3175) / (n + 0.365) END, 9) AS probability, round(ordered, 6) AS ordered
+FROM (SELECT row_number() OVER (ORDER BY residual, customer_id) AS i, count(*) OVER () AS n,
+             residual / sd AS ordered FROM fits, marks)""", _ONE_FEATURE))
+def t9_order_points(spark, sf_dir):
+    """T9 of the one-feature model: places, Filliben's medians and ordered residuals."""
+    q = stats.qq_points(_one_feature_residuals(spark, sf_dir), "std_residual")
+    return q.select("i", F.round("probability", 9).alias("probability"), F.round("ordered", 6).alias("ordered"))
+
+
+def _t10_sql(c):
+    return f"""SELECT '{c}' AS "column", bin, round(lo + (hi - lo) * bin / 30, 6) AS bin_low,
+       round(lo + (hi - lo) * (bin + 1) / 30, 6) AS bin_high, count(*) AS count,
+       round(mean, 6) AS mean, round(med, 6) AS median, round(skew, 4) AS skew
+FROM (SELECT cast(least(floor(({c} - lo) / (hi - lo) * 30), 29) as integer) AS bin, s.* FROM clean,
+       (SELECT min({c}) AS lo, max({c}) AS hi, avg({c}) AS mean, median({c}) AS med,
+               (avg({c} * {c} * {c}) - 3 * avg({c}) * avg({c} * {c}) + 2 * avg({c}) * avg({c}) * avg({c}))
+               / pow(avg({c} * {c}) - avg({c}) * avg({c}), 1.5) AS skew FROM clean) s
+      WHERE {c} IS NOT NULL)
+GROUP BY bin, lo, hi, mean, med, skew"""
+
+
+@register("t10_marked_histograms", with_prelude("\nUNION ALL\n".join(
+    _t10_sql(c) for c in ("mrr", "usage_per_seat"))))
+def t10_marked_histograms(spark, sf_dir):
+    """Panel histograms of revenue and usage with mean and median marks and the skewness."""
+    h = stats.histograms(quality.clean(spark, sf_dir, label=False), ["mrr", "usage_per_seat"])
+    return h.select("column", "bin", "count", *[F.round(c, 6).alias(c) for c in (
+        "bin_low", "bin_high", "mean", "median")], F.round("skew", 4).alias("skew"))

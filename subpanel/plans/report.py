@@ -21,6 +21,7 @@ SECTIONS = {
     "fig02_mrr_by_segment": "a14_month_segment",
     "fig03_churn_by_dimension": "a15_churn_by_dimension",
     "fig04_distributions": "a5_distribution",
+    "fig04_histograms": "t10_marked_histograms",
     "fig05_feature_correlations": "t1_spearman",
     "fig06_baseline_features": "a10_baseline_features",
     "fig07_churn_split": "a17_split",
@@ -29,6 +30,7 @@ SECTIONS = {
     "fig10_mrr_identity": "t5_identity_r2",
     "fig11_ols_coefficients": "t4_ols",
     "fig12_residuals": "t8_residuals",
+    "fig12_residual_skew": "t8_residual_skew",
     "fig12_qq": "t9_qq",
     "fig12_histogram": "t10_histogram",
     "fig13_regressors": "m14_regressors",
@@ -39,6 +41,7 @@ SECTIONS = {
     "fig18_logit": "t7_logit_compare",
     "fig19_cluster_search": "g2_g3_kmeans_search",
     "fig20_pca": "g8_pca",
+    "fig20_points": "g8_points",
     "fig21_cluster_profiles": "g11_profile_z_fitted",
     "fig22_stability": "g7_stability",
     "concentration": "a6_concentration",

@@ -252,3 +252,25 @@ def test_exact_quantiles_of_empty_tables(spark):
     df = spark.createDataFrame([], "g string, a double")
     assert exact_quantiles(df, ["a"]).collect() == []
     assert exact_quantiles(df, ["a"], ["g"]).collect() == []
+
+
+def test_pca_points_against_numpy(spark):
+    """Places on the components: their variances are the eigenvalues, and they don't correlate."""
+    from subpanel.plans.registry import load_all
+    from tests.conftest import SF_SMALL
+
+    queries, _ = load_all()
+    frame = queries["g1_cluster_frame"](spark, SF_SMALL).toPandas()
+    z = frame[[c for c in frame.columns if c.startswith("z_")]].to_numpy()
+    points = queries["g8_points"](spark, SF_SMALL).toPandas()[["pc1", "pc2"]].to_numpy()
+    values = np.sort(np.linalg.eigvalsh(np.cov(z.T, bias=True)))[::-1]
+    found = np.cov(points.T, bias=True)
+    assert len(cluster.Z_FEATURES) == z.shape[1] and len(points) == len(z)
+    assert np.allclose(np.diag(found), values[:2], atol=1e-4) and abs(found[0, 1]) < 1e-4
+
+
+def test_marked_histograms_of_odd_columns(spark):
+    df = spark.createDataFrame([(1.0, None, 5.0), (2.0, None, 5.0), (9.0, None, None)], "a double, b double, c double")
+    rows = {(r["column"], r["bin"]): r for r in stats.histograms(df, ["a", "b", "c"], 4).collect()}
+    assert {k: r["count"] for k, r in rows.items()} == {("a", 0): 2, ("a", 3): 1, ("c", 0): 2}
+    assert rows["a", 3]["median"] == 2.0 and rows["a", 0]["mean"] == 4.0 and rows["a", 3]["bin_high"] == 9.0
