@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import churn, models, quality, stats
+from ..operators.quantiles import exact_quantiles
 from .oracle import with_prelude
 from .registry import register
 
@@ -295,3 +296,24 @@ def t10_marked_histograms(spark, sf_dir):
     h = stats.histograms(quality.clean(spark, sf_dir, label=False), ["mrr", "usage_per_seat"])
     return h.select("column", "bin", "count", *[F.round(c, 6).alias(c) for c in (
         "bin_low", "bin_high", "mean", "median")], F.round("skew", 4).alias("skew"))
+
+
+_FIG10_X = ["seats", "list_price_per_seat", "discount_pct"]
+
+
+@register("fig06_medians", with_prelude("""
+SELECT round(median(usage_per_seat), 6) AS usage_per_seat, round(median(support_tickets), 6) AS support_tickets
+FROM model_frame"""))
+def fig06_medians(spark, sf_dir):
+    """Figure 6: where its median lines lie (exact medians of the customers' baseline means)."""
+    cols = ["usage_per_seat", "support_tickets"]
+    return exact_quantiles(_model_frame(spark, sf_dir), cols).select(*[F.round(c, 6).alias(c) for c in cols])
+
+
+@register("fig10_fitted_actual")
+def fig10_fitted_actual(spark, sf_dir):
+    """Figure 10: every panel row's revenue against the revenue fitted from seats, price and discount."""
+    panel = quality.clean(spark, sf_dir, label=False)
+    fit = stats.solve_ols(stats.gram(panel, "mrr", _FIG10_X), _FIG10_X)
+    return panel.select("fact_id", F.round("mrr", 2).alias("actual"),
+                        F.round(stats.fitted_expr(fit), 2).alias("fitted"))

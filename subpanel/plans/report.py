@@ -24,10 +24,12 @@ SECTIONS = {
     "fig04_histograms": "t10_marked_histograms",
     "fig05_feature_correlations": "t1_spearman",
     "fig06_baseline_features": "a10_baseline_features",
+    "fig06_medians": "fig06_medians",
     "fig07_churn_split": "a17_split",
     "fig08_topics": "a12_topics",
     "fig09_churn_by_topic": "a16_churn_by_topic",
     "fig10_mrr_identity": "t5_identity_r2",
+    "fig10_points": "fig10_fitted_actual",
     "fig11_ols_coefficients": "t4_ols",
     "fig12_residuals": "t8_residuals",
     "fig12_residual_skew": "t8_residual_skew",

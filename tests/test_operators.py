@@ -274,3 +274,16 @@ def test_marked_histograms_of_odd_columns(spark):
     rows = {(r["column"], r["bin"]): r for r in stats.histograms(df, ["a", "b", "c"], 4).collect()}
     assert {k: r["count"] for k, r in rows.items()} == {("a", 0): 2, ("a", 3): 1, ("c", 0): 2}
     assert rows["a", 3]["median"] == 2.0 and rows["a", 0]["mean"] == 4.0 and rows["a", 3]["bin_high"] == 9.0
+
+
+def test_fitted_revenue_is_the_least_squares_one(spark):
+    """Figure 10: fitted rows have the mean of the actual ones and the R² of T5."""
+    from subpanel.plans.registry import load_all
+    from tests.conftest import SF_SMALL
+
+    queries, _ = load_all()
+    rows = queries["fig10_fitted_actual"](spark, SF_SMALL).toPandas()
+    r2 = queries["t5_identity_r2"](spark, SF_SMALL).first()
+    assert len(rows) == r2["n"] and rows["fitted"].mean() == pytest.approx(rows["actual"].mean(), rel=1e-5)
+    left = ((rows["actual"] - rows["fitted"]) ** 2).sum() / ((rows["actual"] - rows["actual"].mean()) ** 2).sum()
+    assert 1 - left == pytest.approx(r2["r2"], abs=1e-4)
