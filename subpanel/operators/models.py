@@ -166,7 +166,7 @@ def compare_models(frame: DataFrame, features, label, names=MODEL_NAMES, k=N_FOL
 def out_of_fold(frame: DataFrame, features, label, k=N_FOLDS) -> DataFrame:
     """M8: each row scored by a logistic model that did not see it (the k
     fold fits are independent jobs, run from a thread pool)."""
-    folded = stratified_folds(frame, label, k).persist()
+    folded = stored(stratified_folds(frame, label, k))
 
     def fit(f):
         train = folded.where(F.col("fold") != f)

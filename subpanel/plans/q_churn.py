@@ -180,12 +180,13 @@ def j5_fk_semi_anti(spark, sf_dir):
     f = quality.dedup_panel(spark, sf_dir)
     c = star.dim_customer(spark, sf_dir).select("customer_id")
     p = star.dim_plan(spark, sf_dir).select("plan_id")
-    a = c.join(f.select("customer_id"), "customer_id", "left_semi").agg(
-        F.count("*").alias("customers_with_facts"))
-    b = c.join(f.select("customer_id"), "customer_id", "left_anti").agg(
-        F.count("*").alias("customers_without_facts"))
-    d = p.join(f.select("plan_id"), "plan_id", "left_semi").agg(F.count("*").alias("plans_used"))
-    return a.crossJoin(b).crossJoin(d)
+    # keys of the fact once each (combined before the exchange), one join tells both kinds of customers
+    seen = f.select("customer_id").distinct().withColumn("_seen", F.lit(True))
+    customers = c.join(seen, "customer_id", "left").agg(
+        F.count("_seen").alias("customers_with_facts"),
+        F.count_if(F.col("_seen").isNull()).alias("customers_without_facts"))
+    plans = p.join(f.select("plan_id").distinct(), "plan_id", "left_semi").agg(F.count("*").alias("plans_used"))
+    return customers.crossJoin(plans)
 
 
 @register("j7_churn_label", with_prelude("""

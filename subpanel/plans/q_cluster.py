@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import (SILHOUETTE_BANDS, STABILITY_BANDS, UNSTABLE_VERDICT, risk_band,
                                 silhouette_verdict, stability_verdict)
 from ..operators import churn, cluster, lloyd, quality
+from ..session import stored
 from .oracle import with_prelude
 from .registry import register
 
@@ -220,7 +221,7 @@ _F7_SQL = with_prelude(
 def f7_verdicts(spark, sf_dir):
     """the silhouette and stability verdict bands applied to the
     fixed-centre labelling's silhouette and its ARI against the segments."""
-    lab = _labelled(spark, sf_dir).persist()
+    lab = stored(_labelled(spark, sf_dir))
     sil = cluster.label_indices(lab).select(F.round("silhouette_sq", 6).alias("silhouette_sq"))
     a = cluster.ari(lab, "cluster", "segment").select(F.round("ari", 6).alias("ari"))
     j = sil.crossJoin(a)
