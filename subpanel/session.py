@@ -93,34 +93,42 @@ def stored(df):
 
 
 _MATERIALIZED: dict = {}
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+OPEN_FILES = 16    # partitions that a task writes side by side, without sorting its rows first
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build, partition_by=None):
     """Write ``build()`` once per session and input folder as parquet in the
     reliable checkpoint folder, then serve reads of it.
 
-    A shared intermediate (the cleaned panel, the scored customer frame) is
-    computed once instead of once per query; reading it back cuts lineage (a
-    lost executor re-reads files instead of re-running joins), and keeps
-    column pruning and filter pushdown, with partition pruning on
-    ``partition_by``. Files of a partition are rebalanced: AQE sizes the
-    writing tasks by bytes and splits large ones, so neither the cores at hand
-    nor a hot key decides how many there are. The path holds the application
-    id, so jobs that share a folder don't share files.
+    A shared intermediate (the panel, the scored customer frame) is computed
+    once instead of once per query; reading it back cuts lineage (a lost
+    executor re-reads files instead of re-running joins), and keeps column
+    pruning and filter pushdown, with partition pruning on ``partition_by``.
+    The tasks of the last join, sized by AQE, write their rows of each
+    partition straight to its files, neither shuffled nor sorted for it while
+    there are at most ``OPEN_FILES`` partitions. The path holds the
+    application id, so jobs that share a folder don't share files.
     """
     import hashlib
 
     app = spark.sparkContext.applicationId
     key = (app, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir, name)
-    path = _MATERIALIZED.get(key)
-    if path is None:
+    found = _MATERIALIZED.get(key)
+    if found is None:
         digest = hashlib.sha1(key[1].encode()).hexdigest()[:12]
         path = os.path.join(checkpoint_dir(spark), "tables", app, digest, name)
         df = build()
+        writer = df.write.mode("overwrite")
         if partition_by:
-            df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(
-                partition_by).parquet(path)
+            before = spark.conf.get(WRITERS, "0")
+            spark.conf.set(WRITERS, str(OPEN_FILES))
+            try:
+                writer.partitionBy(partition_by).parquet(path)
+            finally:
+                spark.conf.set(WRITERS, before)
         else:
-            df.write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+            writer.parquet(path)
+        found = _MATERIALIZED[key] = (path, df.schema)
+    path, schema = found
+    return spark.read.schema(schema).parquet(path)
