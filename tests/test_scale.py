@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from subpanel.operators import quality
+from subpanel.operators import density, quality
 from subpanel.session import checkpoint_dir
 from subpanel.sources import star
 
@@ -39,3 +39,13 @@ def test_the_panel_is_stored_once_by_period_and_labels_beside_it(spark, tmp_path
     final = panel.agg(F.max("period_key")).first()[0]
     assert last.where((F.col("p") < final).cast("int") != F.col("c")).count() == 0
     assert panel.count() == quality.clean(spark, str(folder), label=False).count()
+
+
+def test_pairs_of_leaves_are_dealt_to_tasks_however_small_their_list(spark):
+    leaves = spark.range(64).select(
+        F.col("id").alias("leaf"), F.array(F.col("id").cast("double")).alias("xs"), F.array(F.lit(1)).alias("ws"))
+    pairs = spark.range(64).select(F.col("id").alias("na"), F.explode(F.sequence("id", F.lit(63))).alias("nb")).coalesce(1)
+    dealt = density._leaf_pairs(pairs, leaves)
+    rows = dealt.select("p", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r.na, r.nb) for row in rows for r in row.p) == [(a, b) for a in range(64) for b in range(a, 64)]
+    assert max(len(row.p) for row in rows) <= density.DEALT and len({row.task for row in rows}) > 1
