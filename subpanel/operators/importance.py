@@ -8,7 +8,9 @@ smallest near-square that covers m. Its alternating rounds add a keyed hash of
 one half to the other, which is a bijection of a * b; results beyond m walk on
 along their cycle until they fall below it. So no replica is sorted, written
 or numbered: rows are fanned out, meet their donor's value in one narrow join
-by (feature, rank), and are scored again.
+by (feature, rank), and are scored again. The bijections are array code over
+Arrow batches: as a column expression (``shuffled_rank``, which states the
+same) each use of an intermediate value is computed anew for every row.
 
 The scorer is linear in the features (a margin and its weights), either with
 given weights or fitted on the other 75 % of the rows.
@@ -18,7 +20,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +36,7 @@ REPEATS = 30
 ROUNDS = 4
 PRIME = (1 << 31) - 1
 FACTOR = 48_271
+ROWS = 2000    # rows a task fans out by all replicas
 WALK = 64      # steps of a cycle walk that are written out; each misses with a chance below 1 / sqrt(m)
 
 
@@ -73,23 +80,58 @@ def shuffled_rank(rank: Column, keys: Column, m: int) -> Column:
     return F.when(out < m, out).otherwise(F.raise_error(F.lit("a cycle walk didn't return")))
 
 
+def shuffled_ranks(ranks: np.ndarray, keys: list[int], m: int) -> np.ndarray:
+    """:func:`shuffled_rank` of an array of ranks."""
+    a, b = radix(m)
+
+    def mixed(value: np.ndarray, key: int) -> np.ndarray:
+        t = (value + key) % PRIME
+        t = (t * t % PRIME * FACTOR + key) % PRIME
+        return t * t % PRIME
+
+    def step(x: np.ndarray) -> np.ndarray:
+        left, right = x // b, x % b
+        for i in range(0, ROUNDS, 2):
+            left = (left + mixed(right, keys[i])) % a
+            right = (right + mixed(left, keys[i + 1])) % b
+        return left * b + right
+
+    out = step(ranks.astype(np.int64))
+    while len(beyond := np.nonzero(out >= m)[0]):    # ends: a bijection's cycle returns below m
+        out[beyond] = step(out[beyond])
+    return out
+
+
+def _fanned(batches: Iterator[pa.RecordBatch], grid: list[tuple[int, str, float, list[int]]], m: int, margin: str,
+            label: str) -> Iterator[pa.RecordBatch]:
+    """(gidx, f, donor, label, margin without the replica's feature) of every row and replica."""
+    for batch in batches:
+        n, ranks = batch.num_rows, batch.column("_r").to_numpy()
+        rest = {f: pc.subtract(batch.column(margin), pc.multiply(batch.column(name), weight))
+                for f, name, weight, _ in grid[:n and len(grid)]}
+        for gidx, (f, *_, keys) in enumerate(grid[:n and len(grid)]):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, gidx, np.int32)), pa.array(np.full(n, f, np.int32)),
+                 pa.array(shuffled_ranks(ranks, keys, m)), batch.column(label), rest[f]],
+                names=["gidx", "f", "donor", label, "rest"])
+
+
 def _importance(hold: DataFrame, weights: dict, margin: str, label: str, repeats: int) -> DataFrame:
     """Drops in AUC on the hold-out rows (customer_id, label, margin, features)."""
     feats = list(weights)
     counts = hold.agg(F.count("*").alias("m"), F.sum(label).alias("p")).first()
     m, p = int(counts["m"]), int(counts["p"] or 0)
     base = stored(global_rank(hold, [F.col("customer_id").asc()], "_r").withColumn("_r", F.col("_r") - 1))
-    grid = F.array(*[F.struct(
-        F.lit(i * repeats + r).alias("gidx"), F.lit(i).alias("f"), F.lit(float(weights[f])).alias("w"),
-        F.array(*[F.lit(k).cast("long") for k in round_keys(f, r)]).alias("keys"))
-        for i, f in enumerate(feats) for r in range(repeats)])
-    values = F.array(*[F.col(f).cast("double") for f in feats])
-    long = base.select(label, margin, "_r", values.alias("_x"), F.explode(grid).alias("g")).select(
-        label, margin, "g.gidx", "g.f", "g.w", F.col("_x")[F.col("g.f")].alias("x"),
-        shuffled_rank(F.col("_r"), F.col("g.keys"), m).alias("donor"))
-    donors = base.select(F.col("_r").alias("donor"), F.posexplode(values).alias("f", "x_shuffled"))
-    rescored = long.join(donors, ["f", "donor"]).select(
-        "gidx", label, (F.col(margin) - F.col("w") * F.col("x") + F.col("w") * F.col("x_shuffled")).alias("m2"))
+    grid = [(i, f, float(weights[f]), round_keys(f, r)) for i, f in enumerate(feats) for r in range(repeats)]
+    wide = base.select("_r", label, F.col(margin).cast("double").alias(margin),
+                       *[F.col(f).cast("double").alias(f) for f in feats])
+    long = wide.repartition(-(-m // ROWS) or 1).mapInArrow(
+        lambda batches: _fanned(batches, grid, m, margin, label),
+        f"gidx int, f int, donor long, {label} {base.schema[label].dataType.simpleString()}, rest double")
+    own = F.array(*[F.lit(float(weights[f])) * F.col(f) for f in feats])
+    donors = wide.select(F.col("_r").alias("donor"), F.posexplode(own).alias("f", "shuffled"))
+    rescored = long.join(donors.hint("merge"), ["f", "donor"]).select(
+        "gidx", label, (F.col("rest") + F.col("shuffled")).alias("m2"))
     aucs = grouped_auc(rescored, "gidx", "m2", label, m, p, m - p)
     base_auc = grouped_auc(base.select(F.lit(0).alias("gidx"), F.col(margin).alias("m2"), label),
                            "gidx", "m2", label, m, p, m - p).select(F.col("auc").alias("base_auc"))

@@ -2,9 +2,10 @@
 
 import os
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from subpanel.operators import density, quality
+from subpanel.operators import density, importance, quality
 from subpanel.session import checkpoint_dir
 from subpanel.sources import star
 
@@ -49,3 +50,12 @@ def test_pairs_of_leaves_are_dealt_to_tasks_however_small_their_list(spark):
     rows = dealt.select("p", F.spark_partition_id().alias("task")).collect()
     assert sorted((r.na, r.nb) for row in rows for r in row.p) == [(a, b) for a in range(64) for b in range(a, 64)]
     assert max(len(row.p) for row in rows) <= density.DEALT and len({row.task for row in rows}) > 1
+
+
+def test_permuted_ranks_as_arrays_equal_the_column_expression(spark):
+    for m in (1, 2, 7, 50, 401):
+        keys = importance.round_keys("nps_score", m)
+        column = spark.range(m).select(importance.shuffled_rank(F.col("id"), F.array(*[
+            F.lit(k).cast("long") for k in keys]), m).alias("to"), "id").orderBy("id").collect()
+        found = importance.shuffled_ranks(np.arange(m), keys, m).tolist()
+        assert found == [r.to for r in column] and sorted(found) == list(range(m))
