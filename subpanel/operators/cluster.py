@@ -165,7 +165,8 @@ def best_k(search: list[dict]) -> dict:
 
 
 def best_k_labels(frame: DataFrame) -> DataFrame:
-    """The frame with the cluster that the best k's model assigns."""
+    """The frame with the cluster that the best k's model assigns; the frame is written once for both."""
+    frame = stored(frame)
     return assign_nearest(frame, best_k(kmeans_search(frame))["centres"])
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..session import stored
 
 MAX_STEPS = 300
+SLICE = 1 << 16      # distances measured at once, rows by centres
 LOOSE = 1e-2         # while restarts compete: a model whose centres move less altogether rests
 TIGHT = 1e-5         # for the winners
 
@@ -87,6 +88,36 @@ def _draw(table: DataFrame, cols: list[str], models: list[Model]) -> None:
         models[r["m"]].centres = np.append(models[r["m"]].centres, [r["x"]], axis=0)
 
 
+def _add_slice(total: np.ndarray, x: np.ndarray, stacked: np.ndarray, slots: np.ndarray) -> None:
+    """Add rows ``x`` to each model's counts and sums by centre, and to its inertia.
+
+    Distances lie centre by centre in one block that stays in the cache;
+    models of equal k that follow each other are compared together.
+    """
+    square, term = np.zeros((2, len(stacked), len(x)))
+    for i in range(x.shape[1]):
+        np.subtract.outer(stacked[:, i], x[:, i], out=term)
+        np.multiply(term, term, out=term)
+        np.add(square, term, out=square)
+    own = term      # its room serves for who belongs to whom
+    sizes = np.diff(slots)
+    runs = np.flatnonzero(np.diff(sizes, prepend=-1, append=-1))
+    for first, last in zip(runs, runs[1:], strict=False):
+        k, a, b = sizes[first], slots[first], slots[last]
+        to = square[a:b].reshape(last - first, k, len(x))
+        least = to[:, 0].copy()
+        near = np.zeros(least.shape, np.int16)
+        for j in range(1, k):
+            np.copyto(near, j, where=to[:, j] < least)
+            np.minimum(least, to[:, j], out=least)
+        mine = own[a:b].reshape(to.shape)
+        for j in range(k):
+            mine[:, j] = near == j
+        total[a:b:k, 1] += least.sum(axis=1)    # a model's sum is asked for, any of its slots may hold it
+    total[:, 0] += own.sum(axis=1)
+    total[:, 2:] += own @ x
+
+
 def step(table: DataFrame, cols: list[str], models: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """For each model's centres: rows by centre, their sums, and the inertia - one aggregate."""
     width = len(cols)
@@ -95,16 +126,11 @@ def step(table: DataFrame, cols: list[str], models: list[np.ndarray]) -> list[tu
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(stacked), width + 2))
+        height = max(1, SLICE // len(stacked))
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                x = _rows(batch.slice(at, 2048), width)
-                square = _squares(x, stacked)
-                for a, b in zip(slots, slots[1:], strict=False):
-                    near = square[:, a:b].argmin(axis=1)
-                    own = (near[:, None] == np.arange(b - a)).astype(np.float64)
-                    total[a:b, 0] += own.sum(axis=0)
-                    total[a:b, 1] += own.T @ square[np.arange(len(x)), a + near]
-                    total[a:b, 2:] += own.T @ x
+            x = _rows(batch, width)
+            for at in range(0, len(x), height):
+                _add_slice(total, x[at:at + height], stacked, slots)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(total))), *[pa.array(np.ascontiguousarray(total[:, i])) for i in range(width + 2)]],
             names=["slot", "n", "d", *[f"s{i}" for i in range(width)]])

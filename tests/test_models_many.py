@@ -59,6 +59,30 @@ def test_lloyd_step_and_inertia(spark):
     assert np.allclose(again[4].centres, once[4].centres)
 
 
+def test_lloyd_step_takes_models_of_several_sizes_together():
+    x, rng = np.random.default_rng(3).integers(-2, 3, (700, 6)).astype(float), np.random.default_rng(4)
+    models = [rng.integers(-2, 3, (k, 6)).astype(float) for k in (2, 2, 5, 2, 1)]     # many ties
+    models.append(models[2][[0, 0, 1]])     # one centre twice
+    slots = np.cumsum([0, *map(len, models)])
+    total = np.zeros((slots[-1], 8))
+    for at in range(0, len(x), 300):
+        lloyd._add_slice(total, x[at:at + 300], np.concatenate(models), slots)
+    for centres, a, b in zip(models, slots, slots[1:], strict=False):
+        square = ((x[:, None] - centres[None]) ** 2).sum(axis=2)
+        near = square.argmin(axis=1)
+        assert total[a:b, 0].tolist() == np.bincount(near, minlength=len(centres)).tolist()
+        assert total[a:b, 1].sum() == square.min(axis=1).sum()
+        assert total[a:b, 2:].tolist() == [x[near == i].sum(axis=0).tolist() for i in range(len(centres))]
+
+
+def test_best_k_labels_write_the_frame_once(spark):
+    _, frame = points(spark)
+    labelled = cluster.best_k_labels(frame.withColumn("_at", F.expr("uuid()")))
+    plan = labelled._jdf.queryExecution().optimizedPlan().toString()
+    assert "uuid" not in plan and "/steps/" in labelled.inputFiles()[0]
+    assert labelled.count() == frame.count()
+
+
 def test_lloyd_on_few_rows(spark):
     _, frame = points(spark)
     assert lloyd.fit(frame.limit(0), cluster.Z_FEATURES, [(2, 0)], group=lambda k, _: k) == {}
