@@ -51,13 +51,14 @@ from .common import discard, id_bucket, stored
 from .textops import ALNUM, Words, mix, slices
 
 TRAIN_ROWS = 20_000   # labelled examples, about
-HEAD = 512            # terms whose block maxima are kept
+HEAD = 1024           # terms whose block maxima are kept
 BLOCK = 64            # examples a block
-TILE = 8              # texts a block is multiplied with at a time; larger products wake idle threads
-SLACK = 1e-5          # more than single precision can be off by
+SLACK = 1e-4          # more than HEAD products in single precision can be off by
 LANES = 128           # texts searched at a time
+STEPS = 8             # within the terms of equal first bits, before a whole search
 PARTS = 64            # ranges of terms the index is packed by
 SEEDS = 4             # blocks whose k-th cosine the others have to reach
+SMALL = 1 << 16       # counts below have their logarithms in a table
 SIGNS = 32            # most frequent terms whose presence orders the examples
 CHUNK = 1 << 20       # postings handled at a time on the driver
 TASK_EXAMPLES = 1_000  # examples a task scores without themselves
@@ -92,10 +93,34 @@ def _counts(words: Words):
     return text[fresh], term[fresh], np.diff(np.append(fresh, len(text)))
 
 
-def _known_counts(words: Words, vocabulary: np.ndarray):
+def _starts(vocabulary: np.ndarray) -> np.ndarray:
+    """Where the hashes of each value of their first bits begin in a sorted vocabulary, about one a value."""
+    bits = max(1, len(vocabulary).bit_length())
+    return np.searchsorted(vocabulary >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(
+        np.int32)
+
+
+def _places(vocabulary: np.ndarray, starts: np.ndarray, term: np.ndarray) -> np.ndarray:
+    """``np.searchsorted(vocabulary, term)``: a few steps from where a term's first bits begin."""
+    shift = np.uint64(65 - len(starts).bit_length())
+    first = (term >> shift).astype(np.int64)
+    place, end = starts[first], starts[first + 1]
+    last = len(vocabulary) - 1
+    ahead = np.flatnonzero((place < end) & (vocabulary[np.minimum(place, last)] < term))
+    for _ in range(STEPS):
+        place[ahead] += 1
+        at = place[ahead]
+        ahead = ahead[(at < end[ahead]) & (vocabulary[np.minimum(at, last)] < term[ahead])]
+        if not len(ahead):
+            return place
+    place[ahead] = np.searchsorted(vocabulary, term[ahead])
+    return place
+
+
+def _known_counts(words: Words, vocabulary: np.ndarray, starts: np.ndarray):
     """(text, term, count) of the terms in a sorted vocabulary, as places there; (text, count) of all others."""
     text, term = _terms(words)
-    place = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
+    place = np.minimum(_places(vocabulary, starts, term), len(vocabulary) - 1)
     known = vocabulary[place] == term
     key, count = np.unique(text[known] * len(vocabulary) + place[known], return_counts=True)
     other = np.flatnonzero(~known)
@@ -153,7 +178,7 @@ class Index:
     vocabulary: np.ndarray   # sorted term hashes
     idf: np.ndarray          # times relevance
     unseen_idf: float        # of a term that isn't in the vocabulary
-    example: np.ndarray      # per posting, term by term
+    example: np.ndarray      # per posting, term by term, those of count 1 first
     count: np.ndarray
     bounds: np.ndarray       # postings of each term: bounds[term] … bounds[term + 1]
     norm: np.ndarray         # per example
@@ -170,12 +195,31 @@ class Index:
         return {k: v for k, v in self.__dict__.items() if k in self.__dataclass_fields__}
 
     @cached_property
-    def weight(self) -> np.ndarray:
-        out = np.empty(len(self.example))
+    def starts(self) -> np.ndarray:
+        return _starts(self.vocabulary)
+
+    @cached_property
+    def single(self) -> np.ndarray:
+        """Postings of count 1 of each term; they lead its others."""
+        out = np.zeros(len(self.bounds) - 1, np.int64)
         for a, b, term in _runs(self.bounds):
-            out[a:b] = (1 + np.log(self.count[a:b].astype(float))) * self.idf[term] / self.norm[self.example[a:b]]
+            if len(term):
+                out[term[0]:term[-1] + 1] += np.bincount(term[self.count[a:b] == 1] - term[0],
+                                                         minlength=term[-1] - term[0] + 1)
         return out
 
+    @cached_property
+    def tf(self) -> np.ndarray:
+        """1 + log of each small count, 0 of none."""
+        count = np.arange(min(int(self.count.max(initial=0)), SMALL) + 1)
+        return np.log(np.maximum(count, 1)) + (count > 0)
+
+    def times(self, count: np.ndarray) -> np.ndarray:
+        """1 + log of counts, 0 of none."""
+        if len(self.tf) <= SMALL:
+            return self.tf.take(count)
+        return np.log(np.maximum(count, 1).astype(float)) + (count > 0)
+
     @cached_property
     def rate(self) -> np.ndarray:
         return self.toxic / self.held
@@ -209,9 +253,11 @@ class Index:
 
     def head_weights(self, some: np.ndarray) -> np.ndarray:
         """Weights of frequent terms of some examples, in double precision."""
-        count = self.head[some].astype(float)
-        out = np.log(np.maximum(count, 1)) + (count > 0)
-        return out * self.idf[self.frequent] / self.norm[some][:, None]
+        return self.times(self.head[some]) * self.idf[self.frequent] / self.norm[some][:, None]
+
+    def head_products(self, some: np.ndarray, columns: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Products of some examples with a text's weights in some columns, in double precision."""
+        return self.times(self.head[np.ix_(some, columns)]) @ (query * self.idf[self.frequent[columns]]) / self.norm[some]
 
     @cached_property
     def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,8 +284,8 @@ class Index:
         at = np.flatnonzero((self.example >= first) & (self.example < stop))
         order = np.argsort(self.example[at], kind="stable")
         at = at[order]
-        return (self.example[at].astype(np.int64) - first, np.searchsorted(self.bounds, at, "right") - 1,
-                self.weight[at])
+        example, term = self.example[at].astype(np.int64), np.searchsorted(self.bounds, at, "right") - 1
+        return example - first, term, self.times(self.count[at]) * self.idf[term] / self.norm[example]
 
     def query_weights(self, text: np.ndarray, terms: np.ndarray, counts: np.ndarray, texts: int,
                       unseen: np.ndarray) -> np.ndarray:
@@ -257,8 +303,7 @@ class Index:
         at, column = np.searchsorted(text, np.arange(texts + 1)), self.column[terms]
         low = self.bounds[terms]
         size = np.where(column < 0, self.bounds[terms + 1] - low, 0)
-        most = int(np.bincount(text, size, minlength=1).max(initial=0))
-        places, weights = np.empty(most, np.intp), np.empty(most)  # of one text's postings
+        single, factor = np.where(column < 0, self.single[terms], 0), query * self.idf[terms]
         for start in range(0, texts, LANES):
             stop = min(start + LANES, texts)
             some = np.arange(at[start], at[stop])
@@ -267,15 +312,16 @@ class Index:
             dense[text[some] - start, column[some]] = query[some]
             tail = np.zeros((stop - start, len(self.ids)))
             for i in range(start, stop):
-                own = np.arange(at[i], at[i + 1])
-                own = own[size[own] > 0]
+                own = at[i] + np.flatnonzero(size[at[i]:at[i + 1]])
                 if len(own):
-                    posts = [slice(a, a + n) for a, n in zip(low[own].tolist(), size[own].tolist(), strict=True)]
-                    met = int(size[own].sum())
-                    np.concatenate([self.example[x] for x in posts], out=places[:met])
-                    np.concatenate([self.weight[x] for x in posts], out=weights[:met])
-                    weights[:met] *= np.repeat(query[own], size[own])
-                    tail[i - start] = np.bincount(places[:met], weights[:met], minlength=len(self.ids))
+                    one, own = single[own], np.concatenate((own, own))
+                    n = np.concatenate((one, size[own[len(one):]] - one))
+                    posts = np.repeat(low[own] + np.concatenate((np.zeros_like(one), one)) - np.cumsum(n) + n, n)
+                    posts += np.arange(len(posts))
+                    weights, plain = np.repeat(factor[own], n), int(one.sum())
+                    weights[plain:] *= self.times(self.count.take(posts[plain:]))
+                    np.divide(np.bincount(self.example.take(posts), weights, minlength=len(self.ids)), self.norm,
+                              out=tail[i - start])
             if without is not None:
                 tail[np.arange(stop - start), without[start:stop]] = -np.inf
             sums, least = self._sums(dense, tail, k)
@@ -284,7 +330,8 @@ class Index:
                 if len(near) > k:
                     score = sums[i, near]
                     near = near[score >= np.partition(score, -k)[-k] - SLACK]
-                exact = tail[i, near] + self.head_weights(near) @ dense[i]
+                columns = np.flatnonzero(dense[i])
+                exact = tail[i, near] + self.head_products(near, columns, dense[i, columns])
                 near, exact = near[exact > 0], exact[exact > 0]
                 order = np.lexsort((self.by_id[near], -exact))[:k]
                 yield near[order], exact[order]
@@ -298,10 +345,7 @@ class Index:
         texts, count = tail.shape
         thin = dense.astype(np.float32)
         bound = np.maximum.reduceat(tail, np.arange(0, count, BLOCK), axis=1)
-        for a in range(0, texts, TILE):
-            bound[a:a + TILE] += np.minimum(
-                _tiled(thin[a:a + TILE], maxima), np.sqrt(np.einsum("ij,ij->i", thin[a:a + TILE], thin[a:a + TILE]))
-                [:, None] * norms)
+        bound += np.minimum(thin @ maxima, np.sqrt(np.einsum("ij,ij->i", thin, thin))[:, None] * norms)
         least = np.zeros(texts)
         if count > SEEDS * BLOCK:
             for i, seeds in enumerate(np.argpartition(bound, -SEEDS, axis=1)[:, -SEEDS:]):
@@ -312,12 +356,11 @@ class Index:
         alive = bound >= least[:, None] - SLACK
         self.met += alive.size
         self.visited += int(alive.sum())
-        sums = np.full((texts, count), -np.inf)
+        sums, room = np.full((texts, count), -np.inf), np.empty_like(thin)
         for b in np.flatnonzero(alive.any(axis=0)):
-            block, lanes = slice(b * BLOCK, (b + 1) * BLOCK), np.flatnonzero(alive[:, b])
-            for a in range(0, len(lanes), TILE):
-                few = lanes[a:a + TILE]
-                sums[few, block] = tail[few, block] + thin[few] @ narrow[block].T
+            block, few = slice(b * BLOCK, (b + 1) * BLOCK), np.flatnonzero(alive[:, b])
+            some = np.take(thin, few, axis=0, out=room[:len(few)], mode="clip")  # into room already there
+            sums[few, block] = tail[few, block] + some @ narrow[block].T
         return sums, least
 
     def neighbours(self, terms: np.ndarray, counts: np.ndarray, k: int = NEIGHBOURS,
@@ -347,11 +390,6 @@ class Fitted:
     curve: tuple[np.ndarray, np.ndarray]  # calibration: votes, rates
 
 
-def _tiled(few: np.ndarray, wide: np.ndarray) -> np.ndarray:
-    """``few`` @ ``wide``, BLOCK columns at a time."""
-    return np.concatenate([few @ wide[:, a:a + BLOCK] for a in range(0, wide.shape[1], BLOCK)], axis=1)
-
-
 def _isotonic(x: np.ndarray, y: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Least-squares nondecreasing fit of y over x (pooled neighbours), as points to interpolate."""
     pools: list[list[float]] = []  # sum of x, sum of y, count
@@ -388,7 +426,7 @@ def build_index(vocabulary: np.ndarray, idf: np.ndarray, examples: pd.DataFrame,
     toxic, holds = examples["toxic"].to_numpy(dtype=float), size > 0
     terms = np.concatenate([*map(np.asarray, examples["terms"]), np.zeros(0, np.int64)]).astype(np.int64)
     counts = np.concatenate([*map(np.asarray, examples["counts"]), np.zeros(0, np.int64)]).astype(np.int64)
-    order = np.argsort(terms, kind="stable")
+    order = np.lexsort((counts > 1, terms))
     bounds = np.concatenate(([0], np.cumsum(np.bincount(terms, minlength=len(vocabulary)))))
     return _index(vocabulary, idf, unseen_idf, bounds,
                   np.repeat(np.arange(holds.sum()), size[holds])[order], _smallest(counts[order]),
@@ -493,7 +531,7 @@ def _packed(described: DataFrame, row: np.ndarray, number: np.ndarray, vocabular
         part, known = key[0].as_py(), len(shared.value[2])
         place, example, count = (np.concatenate([np.frombuffer(x, np.int32) for x in table[name].to_pylist()])
                                  for name in ("place", "example", "count"))
-        order = np.lexsort((example, place))
+        order = np.lexsort((example, count > 1, place))
         held = np.bincount(place - part * width, minlength=min(width, known - part * width)).astype(np.int32)
         return pa.table({"part": pa.array([part], pa.int32()), "held": pa.array([held.tobytes()], pa.binary()),
                          "example": pa.array([_smallest(example[order]).tobytes()], pa.binary()),
@@ -553,12 +591,12 @@ def _document_frequency(documents: DataFrame, text: str, vocabulary: np.ndarray)
     shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequency = np.zeros(len(shared.value) + 1, dtype=np.int64)
+        frequency, starts = np.zeros(len(shared.value) + 1, dtype=np.int64), _starts(shared.value)
         for batch in batches:
             frequency[-1] += batch.num_rows
             for words in slices(batch.column(0), ALNUM):
                 if len(shared.value):
-                    _, term, *_ = _known_counts(words, shared.value)
+                    _, term, *_ = _known_counts(words, shared.value, starts)
                     frequency[:-1] += np.bincount(term, minlength=len(shared.value))
         met = np.flatnonzero(frequency)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(frequency[met])], names=["term", "n"])
@@ -583,7 +621,7 @@ def score(documents: DataFrame, fitted: Fitted | None, doc_id: str = "doc_id",
             scores = np.full(n, index.none_rate if index else 0.0)
             nearest, cosine = [None] * n, [None] * n
             for words in slices(batch.column(1), ALNUM) if index and index.ids else ():
-                owner, term, count, other, times = _known_counts(words, index.vocabulary)
+                owner, term, count, other, times = _known_counts(words, index.vocabulary, index.starts)
                 unseen = np.bincount(other, ((1 + np.log(times)) * index.unseen_idf) ** 2, minlength=words.n)
                 has, text_ = np.unique(owner, return_inverse=True)
                 query = index.query_weights(text_, term, count, len(has), unseen[has])

@@ -182,3 +182,36 @@ def test_a_label_has_no_part_in_its_own_weights():
     whole = toxicity._relevance(held, toxic, 0.05)
     np.testing.assert_allclose(bad * whole, toxicity._relevance(held - 1, toxic - 1, 0.05))
     assert bad[0] < 1 < clean[0] and bad[1] == clean[1] == 1
+
+
+def test_places_are_those_of_a_whole_search():
+    rng = np.random.default_rng(6)
+    wide = rng.integers(0, 2 ** 64, 3000, dtype=np.uint64)
+    near = np.uint64(2 ** 63) + rng.integers(0, 500, 300).astype(np.uint64)  # all of equal first bits
+    for vocabulary in (np.unique(wide), np.unique(near), np.unique(np.concatenate((wide, near))), wide[:1]):
+        asked = np.concatenate((vocabulary, vocabulary + np.uint64(1), vocabulary - np.uint64(1),
+                                rng.integers(0, 2 ** 64, 500, dtype=np.uint64),
+                                np.array([0, 2 ** 64 - 1], dtype=np.uint64)))
+        got = toxicity._places(vocabulary, toxicity._starts(vocabulary), asked)
+        np.testing.assert_array_equal(got, np.searchsorted(vocabulary, asked))
+
+
+def test_single_counts_lead_and_large_ones_keep_their_weight(monkeypatch):
+    monkeypatch.setattr(toxicity, "HEAD", 3)
+    rng = np.random.default_rng(15)
+    for most, small in ((4, 1 << 16), (90_000, 1 << 16), (4, 2)):  # with and without a table of logarithms
+        monkeypatch.setattr(toxicity, "SMALL", small)
+        rows = [{"doc_id": i, "toxic": 0, "terms": np.sort(rng.choice(30, n, replace=False)),
+                 "counts": rng.choice([1, 1, 2, most], n)} for i, n in enumerate(rng.integers(1, 12, 200))]
+        index = toxicity.build_index(np.arange(30, dtype=np.uint64), rng.uniform(1, 5, 30), pd.DataFrame(rows), 0.3)
+        for t in range(30):
+            counts = index.count[index.bounds[t]:index.bounds[t + 1]]
+            assert (counts[:index.single[t]] == 1).all() and (counts[index.single[t]:] > 1).all()
+        dense = np.zeros((200, 30))
+        for r in rows:
+            dense[r["doc_id"], r["terms"]] = (1 + np.log(r["counts"])) * index.idf[r["terms"]]
+        dense /= np.sqrt((dense ** 2).sum(axis=1, keepdims=True))
+        for r in rows[::10]:
+            cosine = dense @ dense[r["doc_id"]]
+            np.testing.assert_allclose(index.neighbours(r["terms"], r["counts"])[1],
+                                       np.sort(cosine[cosine > 0])[::-1][:25], atol=1e-12)
