@@ -128,3 +128,31 @@ def test_regressors_use_levels_and_gaps(spark):
     frame = spark.createDataFrame(rows, "customer_id long, a double, s string, y double")
     got = {r["model"]: r["r2_mean"] for r in models.regressor_cv(frame, "y", ["a"], ["s"], "a", k=2, rounds_scale=0.2)}
     assert got["gradient_boosting"] > 0.8 and got["ridge"] > 0.95 and got["mean_baseline"] < 0.01
+
+
+def test_boosting_is_fitted_first_and_forests_one_at_a_time(spark, monkeypatch):
+    import threading
+    import time
+
+    lock, running, begun, most = threading.Lock(), [], [], []
+
+    class Fit:
+        def __init__(self, name):
+            self.name = name
+
+        def fit(self, train):
+            with lock:
+                begun.append(self.name)
+                running.append(self.name)
+                most.append(running.count("random_forest"))
+            time.sleep(0.3)
+            with lock:
+                running.remove(self.name)
+
+    monkeypatch.setattr(models, "classifier", lambda name, *_: Fit(name))
+    monkeypatch.setattr(models, "_fold_metrics", lambda name, model, test, label: (len(name) / 100, test.count() / 100))
+    frame = spark.createDataFrame([(i, i % 2, float(i)) for i in range(60)], "customer_id long, label int, x double")
+    rows = {r["model"]: r for r in models.compare_models(frame, ["x"], "label", k=3)}
+    assert begun[0] == "gradient_boosting" and max(most) == 1
+    assert {n: begun.count(n) for n in rows} == dict.fromkeys(models.MODEL_NAMES, 3)
+    assert all(r["fold_aucs"] == [len(n) / 100] * 3 and abs(r["accuracy_mean"] - 0.2) < 1e-9 for n, r in rows.items())
